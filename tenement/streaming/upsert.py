@@ -1,0 +1,15 @@
+"""Streaming form of the patch upsert."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
+
+from ..operators.upsert import fold_patches
+
+
+def stream_patches(items: DataFrame, checkpoint: str, merge: Callable[[DataFrame, int], None], key: str, seq: str, status: str, fields: Sequence[str]) -> StreamingQuery:
+    """Fold every micro-batch and hand it to ``merge`` (a table's upsert)."""
+    return items.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda df, i: merge(fold_patches(df, key, seq, status, fields), i)).trigger(availableNow=True).start()
