@@ -104,11 +104,11 @@ def train(docs: DataFrame) -> dict:
     folder = f"{shared_dir(spark).removeprefix('file://').removeprefix('file:')}/kn-{uuid.uuid4().hex}"
     pairs = cut(bigram_counts(docs))
     kinds = lambda c, p: [F.count_if(F.col(c) == i).alias(f"{p}{i}") for i in (1, 2, 3, 4)]
-    left = pairs.groupBy("v").agg(F.sum("c").alias("total"), F.count_if("c = 1").alias("k1"), F.count_if("c = 2").alias("k2"), F.count_if("c > 2").alias("k3"))
+    left = pairs.groupBy("v").agg(F.sum("c").alias("total"), F.count_if(F.col("c") == 1).alias("k1"), F.count_if(F.col("c") == 2).alias("k2"), F.count_if(F.col("c") > 2).alias("k3"))
     right = cut(pairs.groupBy("w").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("cont")))
     mix = F.pandas_udf(lambda v, w: pd.Series(pair_keys(v.to_numpy("int64"), w.to_numpy("int64"))), "long")
     two = pairs.agg(*kinds("c", "p")).first()
-    one = right.agg(F.sum("n").alias("N"), F.count(F.lit(1)).alias("V"), F.sum("cont").alias("B"), F.count_if("cont > 2").alias("many"), *kinds("cont", "p")).first()
+    one = right.agg(F.sum("n").alias("N"), F.count(F.lit(1)).alias("V"), F.sum("cont").alias("B"), F.count_if(F.col("cont") > 2).alias("many"), *kinds("cont", "p")).first()
     return {
         "N": one["N"] or 0, "V": one["V"], "B": one["B"] or 0, "kinds": (one["p1"], one["p2"], one["many"]),
         "d2": discounts(tuple(two)), "d1": discounts(tuple(one[f"p{i}"] for i in (1, 2, 3, 4))),
