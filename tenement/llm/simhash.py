@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, table, workers
 
 BLOCK = 65536
 
@@ -49,6 +49,8 @@ def anchor_links(points: DataFrame, radius: int = 1) -> DataFrame:
     if radius == 0:
         return points.select(F.col("fp").alias("u"), F.col("fp").alias("v")).limit(0)
     flips = F.array(F.lit(0).cast("long"), *[F.lit(1 << b if b < 63 else -(1 << 63)) for b in range(64)])
+    # Dealt out before the 65-fold growth, which the size of the points does not show.
+    points = points.repartition(workers(points.sparkSession), "fp")
     sent = points.select("fp", F.explode(flips).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("anchor"))
     met = sent.groupBy("anchor").agg(F.collect_list("fp").alias("m")).where(F.size("m") > 1).select(F.array_min("m").alias("v"), "m")
     return met.select(F.explode("m").alias("u"), "v").where("u > v").distinct()
