@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, table, workers
 
 WEIGHTS = (5.0, 2.0, 1.0)
 REPEAT = 3
@@ -61,7 +61,7 @@ def slots(sources: DataFrame, shard_blocks: int = 4096, seed: int = 17) -> DataF
     """One row per output slot: sid, shard, block. Each slot draws its shard at random, so a shard's source counts are
     multinomial draws with the target shares; slot j of a source takes block j of its permutation, a new one per pass."""
     groups = sources.withColumn("g", F.explode(F.expr(f"sequence(0L, cast((n_slots - 1) div {STEP} as bigint))"))).where("n_slots > 0")
-    each = groups.repartition("sid", "g").withColumn("slot", F.explode(F.expr(f"sequence(g * {STEP}, least((g + 1) * {STEP}, n_slots) - 1)")))
+    each = groups.repartition(workers(sources.sparkSession), "sid", "g").withColumn("slot", F.explode(F.expr(f"sequence(g * {STEP}, least((g + 1) * {STEP}, n_slots) - 1)")))
     salt = F.xxhash64(F.lit(seed), "sid", F.expr("slot div n_blocks"))
     shard = F.pmod(F.xxhash64(F.lit(seed + 1), "sid", "slot"), F.greatest(F.lit(1), F.ceil(F.col("all_slots") / shard_blocks)))
     return each.select("sid", "slot", shard.alias("shard"), permuted(F.col("slot") % F.col("n_blocks"), F.col("n_blocks"), salt).alias("block"))
