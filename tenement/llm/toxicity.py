@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .common import fold, table
 
-BUCKETS, DIM, WINDOW = 1 << 15, 8, 8
+BUCKETS, DIM, WINDOW = 1 << 15, 8, 4
 WORD = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
 
 
@@ -26,15 +26,14 @@ def subwords(word: str) -> np.ndarray:
     return np.array(sorted({zlib.crc32(p.encode()) % BUCKETS for p in parts}))
 
 
-def windows(text: str | None) -> list[list[str]]:
-    """The text's words, lower-case, in windows that overlap by half; one empty window if it has none."""
-    words = WORD.findall((text or "").lower())
-    return [words[i:i + WINDOW] for i in range(0, max(1, len(words) - WINDOW // 2), WINDOW // 2)] or [[]]
+def spans(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the windows over n words, which overlap by half; one empty window if there are none."""
+    a = np.arange(0, max(1, n - WINDOW // 2), WINDOW // 2)
+    return a, np.minimum(a + WINDOW, n)
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    e = np.exp(z - z.max(axis=-1, keepdims=True))
-    return e / e.sum(axis=-1, keepdims=True)
+def words_of(text: str | None) -> list[str]:
+    return WORD.findall((text or "").lower())
 
 
 class Model:
@@ -42,6 +41,7 @@ class Model:
 
     def __init__(self, emb: np.ndarray, out: np.ndarray, bias: np.ndarray):
         self.emb, self.out, self.bias, self.cache = emb, out, bias, {}
+        self.share = emb @ (out[:, 1] - out[:, 0])
 
     def logit(self, word: str) -> float:
         """A word's share of the difference of the two class scores."""
@@ -49,69 +49,89 @@ class Model:
         if v is None:
             if len(self.cache) > 500_000:
                 self.cache.clear()
-            v = self.cache[word] = float(self.emb[subwords(word)].mean(axis=0) @ (self.out[:, 1] - self.out[:, 0]))
+            v = self.cache[word] = float(self.share[subwords(word)].mean())
         return v
 
-    def windows_z(self, text: str | None) -> np.ndarray:
-        base = float(self.bias[1] - self.bias[0])
-        words = WORD.findall((text or "").lower())
-        if not words:
-            return np.array([base])
-        total = np.concatenate([[0.0], np.cumsum([self.logit(w) for w in words])])
-        a = np.arange(0, max(1, len(words) - WINDOW // 2), WINDOW // 2)
-        b = np.minimum(a + WINDOW, len(words))
-        return (total[b] - total[a]) / (b - a) + base
-
     def score(self, text: str | None) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.windows_z(text).max(), -50, 50))))
-
-
-def fit(texts: list[str | None], y: np.ndarray, epochs: int = 8, rate: float = 0.5, seed: int = 3) -> Model:
-    """Embeddings and softmax together, by gradient steps on windows: a toxic text teaches through its most toxic window, a clean one
-    through its most toxic and one random window. Subwords of words that only toxic texts hold start apart from the others."""
+        words, base = words_of(text), float(self.bias[1] - self.bias[0])
+        total = np.concatenate([[0.0], np.cumsum([self.logit(w) for w in words])])
+        a, b = spans(len(words))
+        z = ((total[b] - total[a]) / np.maximum(b - a, 1)).max() + base
+        return float(1 / (1 + np.exp(-np.clip(z, -50, 50))))
+
+
+class Bags:
+    """Training texts as arrays: tokens, the subwords of every distinct word, and windows with the text they belong to."""
+
+    def __init__(self, texts: list[str | None]):
+        ids: dict[str, int] = {}
+        parts = [np.array([ids.setdefault(w, len(ids)) for w in words_of(t)], dtype=np.int64) for t in texts]
+        self.tokens, sizes = np.concatenate(parts), np.array([len(p) for p in parts])
+        subs = [subwords(w) for w in ids]
+        self.n_subs = np.array([len(s) for s in subs], dtype=np.int64)
+        self.subs = np.concatenate(subs) if subs else np.zeros(0, dtype=np.int64)
+        self.at_subs = np.cumsum(self.n_subs) - self.n_subs
+        cuts, base = [spans(n) for n in sizes], np.cumsum(sizes) - sizes
+        self.start = np.concatenate([a + o for (a, _), o in zip(cuts, base, strict=True)])
+        self.end = np.concatenate([b + o for (_, b), o in zip(cuts, base, strict=True)])
+        self.n_windows = np.array([len(a) for a, _ in cuts])
+        self.first = np.cumsum(self.n_windows) - self.n_windows
+        self.owner = np.repeat(np.arange(len(texts)), self.n_windows)
+        self.size = np.maximum(self.end - self.start, 1)
+
+    def presence(self, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Toxic and clean texts that hold each word."""
+        text_of = np.repeat(np.arange(len(y)), np.diff(np.append(self.start[self.first], len(self.tokens))))
+        pair = np.unique(np.stack([self.tokens, text_of]), axis=1)
+        return (np.bincount(pair[0], y[pair[1]], len(self.n_subs)), np.bincount(pair[0], 1 - y[pair[1]], len(self.n_subs)))
+
+    def words(self, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(index into picks, word) of every word in the picked windows."""
+        at = self.start[picks][:, None] + np.arange(WINDOW)
+        inside = at < self.end[picks][:, None]
+        return np.nonzero(inside)[0], self.tokens[at[inside]]
+
+
+def fit(texts: list[str | None], y: np.ndarray, epochs: int = 40, rate: float = 0.2, seed: int = 3) -> Model:
+    """Embeddings and softmax together, by adaptive gradient steps on windows: a toxic text teaches through its most toxic window, a
+    clean one through its most toxic and one random window. Labels are not always right, so a toxic text that has no window near the toxic
+    class counts less, by that window's chance. Subwords of words that only toxic texts hold start apart from the others."""
     rng = np.random.default_rng(seed)
-    emb = rng.normal(0, 0.05, (BUCKETS, DIM))
-    out, bias = np.zeros((DIM, 2)), np.array([1.5, -1.5])
-    out[0] = [-2.0, 2.0]
-    model = Model(emb, out, bias)
+    emb, out, bias = rng.normal(0, 0.05, (BUCKETS, DIM)), np.zeros((DIM, 2)), np.array([1.5, -1.5])
     if len(y) == 0 or y.min() == y.max():
-        model.bias = np.array([0.0, 0.0]) if len(y) == 0 else np.array([-3.0, 3.0]) if y[0] == 1 else np.array([3.0, -3.0])
-        out[0] = 0
-        return model
-    seen = [set(WORD.findall((t or "").lower())) for t in texts]
-    count = {1: {}, 0: {}}
-    for words, label in zip(seen, y, strict=True):
-        for w in words:
-            count[int(label)][w] = count[int(label)].get(w, 0) + 1
-    n1, n0 = y.sum(), len(y) - y.sum()
-    lift, hits = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for w in count[1].keys() | count[0].keys():
-        a, b = count[1].get(w, 0), count[0].get(w, 0)
-        odds = np.log((a + 0.5) / (n1 + 1)) - np.log((b + 0.5) / (n0 + 1))
-        s = subwords(w)
-        lift[s] += odds * (a + b)
-        hits[s] += a + b
-    emb[:, 0] += np.where(hits > 0, lift / np.maximum(hits, 1) * np.minimum(hits, 5) / 5, 0)
-    parts = [windows(t) for t in texts]
-    for epoch in range(epochs):
-        step = rate * (1 - epoch / epochs)
-        for i in rng.permutation(len(texts)):
-            z = model.windows_z(texts[i])
-            picks = [min(int(z.argmax()), len(parts[i]) - 1)] + ([] if y[i] else [int(rng.integers(len(parts[i])))])
-            for k in picks:
-                words = parts[i][k]
-                if not words:
-                    continue
-                bags = [subwords(w) for w in words]
-                v = np.mean([emb[b].mean(axis=0) for b in bags], axis=0)
-                g = _softmax(v @ out + bias) - np.array([1 - y[i], y[i]])
-                grad = out @ g
-                out -= step * 0.1 * np.outer(v, g)
-                bias -= step * 0.1 * g
-                for b in bags:
-                    emb[b] -= step * 4 * grad / len(words)
-            model.cache.clear()
-    return model
+        return Model(emb, out, np.array([0.0, 0.0]) if len(y) == 0 else np.array([-3.0, 3.0]) if y[0] == 1 else np.array([3.0, -3.0]))
+    out[0] = [-2.0, 2.0]
+    bags = Bags(texts)
+    if len(bags.tokens) == 0:
+        return Model(emb, out * 0, np.log([(1 - y).mean(), y.mean()]))
+    toxic, clean = bags.presence(y)
+    odds = np.log((toxic + 0.5) / (y.sum() + 1)) - np.log((clean + 0.5) / (len(y) - y.sum() + 1))
+    hits = np.bincount(bags.subs, np.repeat(toxic + clean, bags.n_subs), BUCKETS)
+    lift = np.bincount(bags.subs, np.repeat(odds * (toxic + clean), bags.n_subs), BUCKETS)
+    emb[:, 0] += lift / np.maximum(hits, 1) * np.minimum(hits, 5) / 5
+    held = {"emb": np.full(emb.shape, 1e-8), "out": np.full(DIM, 1e-8), "bias": 1e-8}
+    for _ in range(epochs):
+        vectors = np.add.reduceat(emb[bags.subs], bags.at_subs) / bags.n_subs[:, None]
+        d = out[:, 1] - out[:, 0]
+        total = np.concatenate([[0.0], np.cumsum((vectors @ d)[bags.tokens])])
+        z = (total[bags.end] - total[bags.start]) / bags.size + bias[1] - bias[0]
+        high = np.flatnonzero(z == np.maximum.reduceat(z, bags.first)[bags.owner])
+        worst = high[np.unique(bags.owner[high], return_index=True)[1]]
+        picks = np.concatenate([worst, (bags.first + rng.integers(bags.n_windows))[y == 0]])
+        g = 1 / (1 + np.exp(-np.clip(z[picks], -50, 50))) - np.concatenate([y, np.zeros(int((y == 0).sum()))])
+        g[:len(y)][y == 1] *= np.minimum(1, 2 / (1 + np.exp(-np.clip(z[worst][y == 1], -50, 50))))
+        at, words = bags.words(picks)
+        pull = np.bincount(words, (g / bags.size[picks])[at], len(bags.n_subs))
+        grad_emb = np.bincount(bags.subs, np.repeat(pull / bags.n_subs, bags.n_subs), BUCKETS)[:, None] * d
+        grad_out, grad_bias = pull @ vectors, g.sum()
+        held["emb"] += grad_emb**2
+        held["out"] += grad_out**2
+        held["bias"] += grad_bias**2
+        emb -= rate * grad_emb / np.sqrt(held["emb"])
+        step = 0.5 * rate * np.stack([-grad_out, grad_out], axis=1) / np.sqrt(held["out"])[:, None]
+        out -= step
+        bias -= 0.5 * rate * np.array([-grad_bias, grad_bias]) / np.sqrt(held["bias"])
+    return Model(emb, out, bias)
 
 
 def train(docs: DataFrame, labels: DataFrame, bound: int = 1000) -> Model:
