@@ -21,9 +21,9 @@ def _words(df: DataFrame) -> DataFrame:
 
 
 def _grams(df: DataFrame, *keys: str) -> DataFrame:
-    runs = F.arrays_zip(*[F.slice("w", i + 1, F.greatest(F.size("w"), F.lit(1))).alias(f"g{i}") for i in range(N)])
-    each = df.select(*keys, F.posexplode(runs).alias("at", "g")).where(F.col(f"g.g{N - 1}").isNotNull())
-    return each.select(*keys, "at", F.xxhash64(*[f"g.g{i}" for i in range(N)]).alias("h"))
+    """keys, at, h: one row per word n-gram; only its hash is carried on."""
+    run = F.transform(F.sequence(F.lit(0), F.size("w") - N), lambda i: F.xxhash64(*[F.get("w", i + k) for k in range(N)]))
+    return df.where(F.size("w") >= N).select(*keys, F.posexplode(run).alias("at", "h"))
 
 
 def seeds(items: DataFrame, shared: int = 2) -> DataFrame:
@@ -51,21 +51,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = 0.5,
     """doc_id, item_id, score: pairs whose best local alignment reaches ``min_score``.
 
     Items of under N words have no seed and are left out, as are rows of null id; null texts are empty; equal rows give one pair;
-    further columns are ignored. The seed table is broadcast up to BROADCAST_ROWS rows and shuffled beyond.
+    further columns are ignored. The seed table and the ids of rows with votes are broadcast up to BROADCAST_ROWS rows each and
+    shuffled beyond.
     """
     items = _words(benchmark.where("item_id is not null").groupBy("item_id").agg(F.max("text").alias("text"))).withColumn("n", F.size("w"))
     table_of_seeds = cut(seeds(items.select("item_id", "n", "text")))
     if table_of_seeds.count() <= BROADCAST_ROWS:
         table_of_seeds = F.broadcast(table_of_seeds)
-    words = _words(docs.where("doc_id is not null").select("doc_id", "text"))
-    hits = _grams(words, "doc_id").join(table_of_seeds, "h")
+    texts = docs.where("doc_id is not null").select("doc_id", "text")
+    hits = _grams(_words(texts), "doc_id").join(table_of_seeds, "h")
     # A seed votes for the stretch of item length that holds its diagonal and for the next one, so every alignment has a whole one.
     place = F.floor((F.col("at") - F.col("i_at")) / F.col("n"))
     votes = hits.select("doc_id", "item_id", "n", "i_at", F.explode(F.array(place, place + 1)).alias("place"))
     spots = votes.groupBy("doc_id", "item_id", "n", "place").agg(F.count_distinct("i_at").alias("k")).where(F.col("k") >= F.least(F.lit(min_seeds), F.col("n") - N + 1))
     spots = cut(spots.groupBy("doc_id", "item_id", "n").agg(F.array_sort(F.collect_set("place")).alias("places")))
-    texts = words.select("doc_id", "w").join(spots.select("doc_id").distinct(), "doc_id", "left_semi")
-    windows = spots.withColumn("place", F.explode("places")).join(texts, "doc_id")
+    hit = spots.select("doc_id").distinct()
+    if spots.count() <= BROADCAST_ROWS:
+        hit = F.broadcast(hit)
+    windows = spots.withColumn("place", F.explode("places")).join(_words(texts.join(hit, "doc_id", "left_semi")).drop("text"), "doc_id")
     start = F.greatest(F.lit(0), (F.col("place") - 1) * F.col("n") - 4)
     windows = windows.select("doc_id", "item_id", F.slice("w", (start + 1).cast("int"), (3 * F.col("n") + 8).cast("int")).alias("b"))
     pairs = windows.join(items.select("item_id", F.col("w").alias("a")), "item_id")
