@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -18,12 +17,14 @@ BUCKETS, DIM, WINDOW = 1 << 15, 8, 4
 WORD = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
 
 
-@lru_cache(maxsize=200_000)
-def subwords(word: str) -> np.ndarray:
+def pieces(word: str) -> set[int]:
     """Buckets of the word and its 3- to 5-character pieces."""
     w = f"<{word[:64]}>" if len(word) <= 64 else f"<{word[:32]}{word[-32:]}>"
-    parts = {w} | {w[i:i + n] for n in (3, 4, 5) for i in range(len(w) - n + 1)}
-    return np.array(sorted({zlib.crc32(p.encode()) % BUCKETS for p in parts}))
+    return {zlib.crc32(p.encode()) % BUCKETS for p in {w, *[w[i:i + n] for n in (3, 4, 5) for i in range(len(w) - n + 1)]}}
+
+
+def subwords(word: str) -> np.ndarray:
+    return np.array(sorted(pieces(word)), dtype=np.int64)
 
 
 def spans(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -36,25 +37,32 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
+class Logits(dict):
+    """A word's share of the difference of the two class scores, worked out once for each word."""
+
+    def __init__(self, share: list[float]):
+        super().__init__()
+        self.share = share
+
+    def __missing__(self, word: str) -> float:
+        if len(self) > 500_000:
+            self.clear()
+        at = sorted(pieces(word))
+        v = self[word] = sum([self.share[b] for b in at]) / len(at)
+        return v
+
+
 class Model:
     """Word vectors are means of subword vectors, a window's vector the mean of its words', a text scores as its most toxic window."""
 
     def __init__(self, emb: np.ndarray, out: np.ndarray, bias: np.ndarray):
-        self.emb, self.out, self.bias, self.cache = emb, out, bias, {}
-        self.share = emb @ (out[:, 1] - out[:, 0])
-
-    def logit(self, word: str) -> float:
-        """A word's share of the difference of the two class scores."""
-        v = self.cache.get(word)
-        if v is None:
-            if len(self.cache) > 500_000:
-                self.cache.clear()
-            v = self.cache[word] = float(self.share[subwords(word)].mean())
-        return v
+        self.emb, self.out, self.bias = emb, out, bias
+        self.logits = Logits((emb @ (out[:, 1] - out[:, 0])).tolist())
 
     def score(self, text: str | None) -> float:
         words, base = words_of(text), float(self.bias[1] - self.bias[0])
-        total = np.concatenate([[0.0], np.cumsum([self.logit(w) for w in words])])
+        total = np.zeros(len(words) + 1)
+        np.cumsum(np.fromiter(map(self.logits.__getitem__, words), dtype=float, count=len(words)), out=total[1:])
         a, b = spans(len(words))
         z = ((total[b] - total[a]) / np.maximum(b - a, 1)).max() + base
         return float(1 / (1 + np.exp(-np.clip(z, -50, 50))))
