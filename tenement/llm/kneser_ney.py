@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, fold, shared_dir, table
+from .common import fold, shared_dir, table, written
 
 START, END = np.int64(1), np.int64(2)
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -46,7 +46,7 @@ def bigram_counts(docs: DataFrame) -> DataFrame:
 
 
 def store(df: DataFrame, key: str, values: list[str], folder: str) -> list[tuple]:
-    """Write df as arrays sorted by key, one file per range of keys, into the shared folder; returns (low, high, path) by range.
+    """Write df, a stored table, as arrays sorted by key, one file per range of keys, into the shared folder; returns (low, high, path) by range.
 
     A rerun task writes the file again under a new name, and only names of finished tasks are returned.
     """
@@ -61,7 +61,6 @@ def store(df: DataFrame, key: str, values: list[str], folder: str) -> list[tuple
             np.save(path, out)
             yield pd.DataFrame({"low": [out[key][0]], "high": [out[key][-1]], "path": [path]})
 
-    df = cut(df)
     shards = max(1, -(-df.count() // SHARD_ROWS))
     files = df.repartitionByRange(shards, key).sortWithinPartitions(key).mapInPandas(write, "low long, high long, path string")
     return [tuple(r) for r in files.orderBy("low").collect()]
@@ -102,10 +101,10 @@ def train(docs: DataFrame) -> dict:
     """Count, store, and return the model's file lists and totals (a few numbers and one row per file)."""
     spark = docs.sparkSession
     folder = f"{shared_dir(spark).removeprefix('file://').removeprefix('file:')}/kn-{uuid.uuid4().hex}"
-    pairs = cut(bigram_counts(docs))
+    pairs = written(bigram_counts(docs).sortWithinPartitions("v", "w"), "kn-pairs")
     kinds = lambda c, p: [F.count_if(F.col(c) == i).alias(f"{p}{i}") for i in (1, 2, 3, 4)]
-    left = pairs.groupBy("v").agg(F.sum("c").alias("total"), F.count_if(F.col("c") == 1).alias("k1"), F.count_if(F.col("c") == 2).alias("k2"), F.count_if(F.col("c") > 2).alias("k3"))
-    right = cut(pairs.groupBy("w").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("cont")))
+    left = written(pairs.groupBy(F.col("v").alias("left")).agg(F.sum("c").alias("total"), F.count_if(F.col("c") == 1).alias("k1"), F.count_if(F.col("c") == 2).alias("k2"), F.count_if(F.col("c") > 2).alias("k3")), "kn-left")
+    right = written(pairs.groupBy(F.col("w").alias("right")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("cont")), "kn-right")
     mix = F.pandas_udf(lambda v, w: pd.Series(pair_keys(v.to_numpy("int64"), w.to_numpy("int64"))), "long")
     two = pairs.agg(*kinds("c", "p")).first()
     one = right.agg(F.sum("n").alias("N"), F.count(F.lit(1)).alias("V"), F.sum("cont").alias("B"), F.count_if(F.col("cont") > 2).alias("many"), *kinds("cont", "p")).first()
@@ -113,8 +112,8 @@ def train(docs: DataFrame) -> dict:
         "N": one["N"] or 0, "V": one["V"], "B": one["B"] or 0, "kinds": (one["p1"], one["p2"], one["many"]),
         "d2": discounts(tuple(two)), "d1": discounts(tuple(one[f"p{i}"] for i in (1, 2, 3, 4))),
         "pair": store(pairs.select(mix("v", "w").alias("pair"), "c"), "pair", ["c"], folder),
-        "left": store(left.withColumnRenamed("v", "left"), "left", ["total", "k1", "k2", "k3"], folder),
-        "right": store(right.withColumnRenamed("w", "right"), "right", ["n", "cont"], folder),
+        "left": store(left, "left", ["total", "k1", "k2", "k3"], folder),
+        "right": store(right, "right", ["n", "cont"], folder),
     }
 
 
