@@ -53,3 +53,45 @@ def render_human(c: Column, kind: str) -> Column:
 
 def feature_mark(c: Column) -> Column:
     return F.when(F.length(c) > 0, F.concat(F.lit("_"), c))
+
+
+# Chinese numerals of deposit months.
+NUMERALS = "零一二三四五六七八九十"
+
+
+def deposit(s: Column, price: Column) -> tuple[Column, Column]:
+    """months, amount: ``押金X個月`` gives months and amount from the price; a number is the amount; else both null."""
+    word = F.nullif(F.regexp_extract(s, f"押金([{NUMERALS}])個月", 1), F.lit(""))
+    months = (F.instr(F.lit(NUMERALS), word) - 1).cast("double")
+    amount = F.when(word.isNull(), clean_number(s))
+    return F.coalesce(months, F.try_divide(amount, price)), F.coalesce(months * price, amount)
+
+
+def rooms(s: Column) -> Column:
+    """``2房1廳1衛`` as numbers by position."""
+    return F.transform(F.regexp_extract_all(s, F.lit(r"(\d+)\D"), F.lit(1)), lambda x: x.try_cast("int"))
+
+
+def page_count(link: Column) -> Column:
+    return F.coalesce(F.regexp_extract(link, r"page=(\d+)", 1).try_cast("long"), F.lit(1).cast("long"))
+
+
+def period_label(day: Column, period: str) -> Column:
+    """``YYYYMM``, ``YYYYQn`` or ``YYYY``."""
+    year = F.year(day).cast("string")
+    return {"month": F.date_format(day, "yyyyMM"), "quarter": F.concat(year, F.lit("Q"), F.quarter(day).cast("string")), "year": year}[period]
+
+
+def author_key(truth: Column, secret: str) -> Column:
+    """Stable pseudonym; the secret is a parameter kept outside the repository."""
+    return F.sha2(F.concat(F.lit(secret), truth).cast("binary"), 256)
+
+
+def within(v: Column, low: float, high: float) -> Column:
+    """The value if strictly inside, else null."""
+    return F.when((v > low) & (v < high), v)
+
+
+def split_flags(m: Column) -> tuple[Column, Column]:
+    """Keys that are true, keys that are false."""
+    return F.map_keys(F.map_filter(m, lambda k, v: v)), F.map_keys(F.map_filter(m, lambda k, v: ~v))

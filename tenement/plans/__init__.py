@@ -1 +1,3 @@
 
+
+from . import catalog, fields  # noqa: F401
