@@ -7,58 +7,39 @@ from pyspark.sql import functions as F
 
 from .common import cut, table, workers
 
-SHORT = 1024
-KEEP = 32
+# Scripts written without blanks: each of their characters is a unit.
+LONE = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\uA4CF\uF900-\uFAFF\x{20000}-\x{3FFFF}"
+CUT = "aeiouAEIOU02468аеиоуыэюя"
+UNIT = rf"[{LONE}]|(?<!\S)[\S&&[^{LONE}]]{{1,12}}+(?!\S)|[\S&&[^{LONE}{CUT}]]{{0,11}}[{CUT}]|[\S&&[^{LONE}]]{{1,12}}"
+EDGE = -(1 << 63)
 
 
-def units(text: Column, short: int = SHORT) -> Column:
-    """Hashes of single characters for short texts, else of words cut to at most 12 characters."""
-    pieces = F.when(F.char_length(text) <= short, F.split(text, "")).otherwise(F.regexp_extract_all(text, F.lit(r"\S{1,12}"), F.lit(0)))
-    return F.transform(pieces, lambda w: F.xxhash64(w))
+def units(text: Column) -> Column:
+    """Hashes of a text's units, the same for all lengths: words, those of over 12 characters cut after characters of CUT, so that
+    an edit moves the cuts near it only; two edge marks at both ends, so that one word is enough for a run of three."""
+    marks = F.array(F.lit(EDGE), F.lit(EDGE))
+    pieces = F.regexp_extract_all(text, F.lit(UNIT), F.lit(0))
+    return F.when(text.rlike(r"\S"), F.concat(marks, F.transform(pieces, lambda w: F.xxhash64(w)), marks)).otherwise(F.expr("cast(array() as array<bigint>)"))
 
 
-def _runs(hashes: Column, n: int) -> Column:
-    """All runs of n neighbours as structs; the last n - 1, cut off by the end, hold nulls."""
-    return F.arrays_zip(*[F.slice(hashes, i + 1, F.greatest(F.size(hashes) - i, F.lit(0))).alias(f"h{i}") for i in range(n)])
+def with_syncmers(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Add array<struct<at,hash>>: every run of three units whose least unit is the first or the last one.
 
-
-def closed_syncmers(df: DataFrame, hashes: str, out: str, k: int, s: int) -> DataFrame:
-    """Add array<struct<at,hash>>: the k-mers whose least s-mer is the first or the last one.
-
-    The steps are columns of their own, so that no step evaluates an array again for each element.
+    The units are a column of their own, so that they are not evaluated again for each element.
     """
-    last = k - s
-    inner = F.transform(_runs(F.col(hashes), s), lambda x: F.when(x[f"h{s - 1}"].isNotNull(), F.xxhash64(x)))
-
     def mer(x: Column, i: Column) -> Column:
-        low = F.least(*[x[f"h{j}"] for j in range(last + 1)])
-        edge = x[f"h{last}"].isNotNull() & ((x["h0"] == low) | (x[f"h{last}"] == low))
-        return F.when(edge, F.struct(i.alias("at"), F.xxhash64(x).alias("hash")))
-
-    return (df.withColumn("_inner", inner).withColumn("_runs", _runs(F.col("_inner"), last + 1))
-            .withColumn(out, F.filter(F.transform("_runs", mer), lambda m: m.isNotNull())).drop("_inner", "_runs"))
-
+        y, z = F.get("_h", i + 1), F.get("_h", i + 2)
+        edge = ((x <= y) & (x <= z)) | ((z <= x) & (z <= y))
+        return F.when(edge, F.struct(i.alias("at"), F.xxhash64(x, y, z).alias("hash")))
 
-def with_sketch(df: DataFrame, text: str, out: str, keep: int = KEEP) -> DataFrame:
-    """Add the bottom sketch of a text's syncmers: ``c:`` (characters) or ``w:`` (words), then sorted hashes; the whole text's
-    hash if there are none. Empty text gives ``c:``."""
-    kind = F.char_length(text) <= SHORT
-    none = F.expr("cast(array() as array<bigint>)")
     df = df.withColumn("_h", units(F.col(text)))
-    df = df.withColumn("_c", F.when(kind, F.col("_h")).otherwise(none)).withColumn("_w", F.when(kind, none).otherwise(F.col("_h")))
-    df = closed_syncmers(closed_syncmers(df, "_c", "_cm", 7, 3), "_w", "_wm", 3, 1)
-    df = df.withColumn("_s", F.slice(F.array_sort(F.array_distinct(F.transform(F.concat("_cm.hash", "_wm.hash"), lambda v: F.lpad(F.hex(v), 16, "0")))), 1, keep))
-    whole = F.when(F.col(text) == "", F.expr("cast(array() as array<string>)")).otherwise(F.array(F.lpad(F.hex(F.xxhash64(text)), 16, "0")))
-    listed = F.when(F.size("_s") > 0, F.col("_s")).otherwise(whole)
-    return df.withColumn(out, F.concat(F.when(kind, "c:").otherwise("w:"), F.array_join(listed, ","))).drop("_h", "_c", "_w", "_cm", "_wm", "_s")
+    return df.withColumn(out, F.filter(F.transform("_h", mer), lambda m: m.isNotNull())).drop("_h")
 
 
-def likeness(a: Column, b: Column, keep: int = KEEP) -> Column:
-    """Jaccard estimate from two sketches: shared share of the ``keep`` least hashes of their union; 1 if equal."""
-    parts = lambda x: F.filter(F.split(F.substring(x, 3, 1 << 20), ","), lambda v: v != "")
-    least = F.slice(F.array_sort(F.array_union(parts(a), parts(b))), 1, keep)
-    shared = F.size(F.array_intersect(F.array_intersect(least, parts(a)), parts(b)))
-    return F.when(a == b, 1.0).when(F.substring(a, 1, 1) != F.substring(b, 1, 1), 0.0).otherwise(shared / F.greatest(F.size(least), F.lit(1))).cast("double")
+def likeness(a: Column, b: Column) -> Column:
+    """Jaccard similarity of all syncmers of two texts; 1 if both have none."""
+    every = F.size(F.array_union(a["hash"], b["hash"]))
+    return F.when(every == 0, 1.0).otherwise(F.size(F.array_intersect(a["hash"], b["hash"])) / every).cast("double")
 
 
 def successors(ids: DataFrame) -> DataFrame:
@@ -91,7 +72,7 @@ def edited_texts(docs: DataFrame) -> DataFrame:
 
 def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = edited_texts(table(spark, sf_dir, "documents"))
-    prints = with_sketch(with_sketch(texts, "text", "fingerprint"), "edited", "edited_fingerprint")
+    prints = with_syncmers(with_syncmers(texts, "text", "fingerprint"), "edited", "edited_fingerprint")
     prints = cut(prints.select("doc_id", "next_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint"))
     following = prints.select(F.col("doc_id").alias("next_id"), F.col("fingerprint").alias("next_fingerprint"))
     both = prints.join(following, "next_id", "left")

@@ -102,6 +102,17 @@ def test_syncmer_query(spark):
     assert all(seen.setdefault(text[r.doc_id], r.fingerprint) == r.fingerprint for r in got)
 
 
+def test_syncmers_any_length(spark, tmp_path):
+    long = " ".join(f"w{i * i % 7919}" for i in range(4000))
+    texts = [" ".join(f"a{i:04d}" for i in range(183)), "tiny!", long[:1020], long[:1020] + " more text", long, " ".join(f"x{i}" for i in range(4000)) + " " + long[-900:], "日本語の文" * 3, "q"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in syncmers.op10_syncmers(spark, str(tmp_path)).collect()}
+    assert got[0].n_chars > 1024 and got[0].near_edited > 0.7
+    assert got[2].near_next > 0.95 and 0 < got[4].near_next < 0.1
+    assert len(got[4].fingerprint) > 2000 and [m["at"] for m in got[4].fingerprint] == sorted({m["at"] for m in got[4].fingerprint})
+    assert got[6].near_edited > 0.3 and len(got[7].fingerprint) > 0
+
+
 def test_licenses(docs):
     got = {r.doc_id: r for r in licenses.scan(docs).collect()}
     assert (got[6].n_base, got[6].first_word, got[6].last_word, got[6].base_labels) == (2, 0, 3, "cc-by,reserved")
