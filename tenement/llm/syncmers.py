@@ -12,6 +12,7 @@ LONE = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\uA4CF\uF900-\uFAFF\x{200
 CUT = "aeiouAEIOU02468аеиоуыэюя"
 UNIT = rf"[{LONE}]|(?<!\S)[\S&&[^{LONE}]]{{1,12}}+(?!\S)|[\S&&[^{LONE}{CUT}]]{{0,11}}[{CUT}]|[\S&&[^{LONE}]]{{1,12}}"
 EDGE = -(1 << 63)
+BROADCAST_ROWS = 2_000_000
 
 
 def units(text: Column) -> Column:
@@ -43,38 +44,49 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def successors(ids: DataFrame) -> DataFrame:
-    """doc_id, n_chars -> doc_id, n_chars, next_id, prev_need by ascending doc_id, around the end.
+    """doc_id -> doc_id, next_id by ascending doc_id, around the end.
 
     Ids are dealt by range; neighbours come from a window in each range, those across ranges from one row per range.
     """
-    dealt = cut(ids.where("doc_id is not null").repartitionByRange(workers(ids.sparkSession), "doc_id").withColumn("part", F.spark_partition_id()))
-    ends = dealt.groupBy("part").agg(F.min("doc_id").alias("first"), F.max(F.struct("doc_id", "n_chars")).alias("last"))
+    dealt = cut(ids.where("doc_id is not null").select("doc_id").repartitionByRange(workers(ids.sparkSession), "doc_id").withColumn("part", F.spark_partition_id()))
+    ends = dealt.groupBy("part").agg(F.min("doc_id").alias("first"))
     line, every = Window.orderBy("part"), Window.partitionBy()
-    ends = ends.select("part", F.coalesce(F.lead("first").over(line), F.min("first").over(every)).alias("next_first"), F.coalesce(F.lag("last").over(line), F.max("last").over(every))["n_chars"].alias("prev_n"))
-    w = Window.partitionBy("part").orderBy("doc_id")
-    near = dealt.withColumn("next_in", F.lead("doc_id").over(w)).withColumn("prev_in", F.lag("n_chars").over(w))
-    return near.join(ends, "part").select("doc_id", F.coalesce("next_in", "next_first").alias("next_id"), F.floor(F.coalesce("prev_in", "prev_n") / 4).alias("prev_need"))
+    ends = ends.select("part", F.coalesce(F.lead("first").over(line), F.min("first").over(every)).alias("next_first"))
+    near = dealt.withColumn("next_in", F.lead("doc_id").over(Window.partitionBy("part").orderBy("doc_id")))
+    return near.join(ends, "part").select("doc_id", F.coalesce("next_in", "next_first").alias("next_id"))
 
 
 def edited_texts(docs: DataFrame) -> DataFrame:
-    """doc_id, text, next_id, edited. Rows sharing a doc_id are one document, the least text; a null doc_id has no next one:
-    its edited text only loses the tail. Null text counts as empty."""
-    one = docs.groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
-    order = successors(docs.groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text")).select("doc_id", F.char_length("text").alias("n_chars")))
-    known = one.join(order, "doc_id", "left")
-    heads = known.where("doc_id is not null").select("doc_id", F.expr("substring(text, 1, cast(prev_need as int))").alias("head"))
-    after = order.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("prev_id"))
-    heads = heads.join(after, "doc_id").select(F.col("prev_id").alias("doc_id"), "head")
-    cut_at = F.char_length("text") - F.floor(F.char_length("text") / 4)
-    edited = F.concat(F.col("text").substr(F.lit(1), cut_at.cast("int")), F.coalesce("head", F.lit("")))
-    return known.join(heads, "doc_id", "left").select("doc_id", "text", "next_id", edited.alias("edited"))
+    """doc_id, text, next_text, edited of every row. The next text is the least one of the next doc_id; a null doc_id has none:
+    its edited text only loses the tail. Null text counts as empty.
+
+    Texts are dealt out by doc_id once and moved to the rows before them once; only those of ids with several texts are
+    compared, all else goes by their hashes.
+    """
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    known = docs.where("doc_id is not null")
+    ids = cut(known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.min(F.xxhash64("text")).alias("least"), F.max(F.xxhash64("text")).alias("other")))
+    order = successors(ids)
+    several = ids.where("least <> other").select("doc_id")
+    n_several = several.count()
+    if n_several:
+        held = known.join(F.broadcast(several) if n_several <= BROADCAST_ROWS else several, "doc_id", "left_semi")
+        first = held.groupBy("doc_id").agg(F.xxhash64(F.min("text")).alias("first"))
+        ids = ids.join(first, "doc_id", "left").select("doc_id", "rows", F.coalesce("first", "least").alias("least"))
+    to = cut(ids.select(F.col("doc_id").alias("next_id"), "rows", "least").join(order.withColumnRenamed("doc_id", "prev_id"), "next_id").withColumnRenamed("next_id", "doc_id"))
+    # Not written as an equality, which would become a join key and deal the texts out a second time.
+    nexts = known.join(to, "doc_id").where(F.xxhash64("text").bitwiseXOR(F.col("least")) == 0).select(F.col("prev_id").alias("doc_id"), F.col("text").alias("next_text"))
+    if not to.where("rows > 1").isEmpty():
+        nexts = nexts.groupBy("doc_id").agg(F.min("next_text").alias("next_text"))
+    rows = known.join(nexts, "doc_id", "left").unionByName(docs.where("doc_id is null").withColumn("next_text", F.lit(None).cast("string")))
+    tail = F.floor(F.char_length("text") / 4).cast("int")
+    edited = F.concat(F.col("text").substr(F.lit(1), F.char_length("text") - tail), F.coalesce(F.col("next_text").substr(F.lit(1), tail), F.lit("")))
+    return rows.withColumn("edited", edited)
 
 
 def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = edited_texts(table(spark, sf_dir, "documents"))
-    prints = with_syncmers(with_syncmers(texts, "text", "fingerprint"), "edited", "edited_fingerprint")
-    prints = cut(prints.select("doc_id", "next_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint"))
-    following = prints.select(F.col("doc_id").alias("next_id"), F.col("fingerprint").alias("next_fingerprint"))
-    both = prints.join(following, "next_id", "left")
-    return both.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-                       F.coalesce(likeness(F.col("fingerprint"), F.col("next_fingerprint")), F.lit(0.0)).alias("near_next"))
+    texts = texts.select("doc_id", "text", "edited", "next_text", F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
+    prints = with_syncmers(with_syncmers(with_syncmers(texts, "text", "fingerprint"), "edited", "edited_fingerprint"), "next_text", "next_fingerprint")
+    return prints.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+                         F.when(F.col("next_text").isNull(), 0.0).otherwise(likeness(F.col("fingerprint"), F.col("next_fingerprint"))).alias("near_next"))

@@ -113,6 +113,16 @@ def test_syncmers_any_length(spark, tmp_path):
     assert got[6].near_edited > 0.3 and len(got[7].fingerprint) > 0
 
 
+def test_syncmers_every_row(spark, tmp_path):
+    rows = [(1, "one two three four"), (2, "zz yy xx ww vv"), (2, "aa bb cc dd ee"), (2, "aa bb cc dd ee"), (None, "no id at all"), (None, "none here either"), (None, None), (3, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    nexts = {1: "aa bb cc dd ee", 2: "", 3: "one two three four", None: ""}
+    edits = [(i, t[:len(t) - len(t) // 4] + nexts[i][:len(t) // 4]) for i, t in ((i, t or "") for i, t in rows)]
+    got = syncmers.op10_syncmers(spark, str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.edited_sha256) for r in got), key=str) == sorted(((i, hashlib.sha256(e.encode()).hexdigest()) for i, e in edits), key=str)
+    assert sorted(len(r.fingerprint) > 0 for r in got) == [False] * 2 + [True] * 6
+
+
 def test_licenses(docs):
     got = {r.doc_id: r for r in licenses.scan(docs).collect()}
     assert (got[6].n_base, got[6].first_word, got[6].last_word, got[6].base_labels) == (2, 0, 3, "cc-by,reserved")
