@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, cut, table
@@ -20,19 +20,25 @@ def _words(df: DataFrame) -> DataFrame:
     return df.withColumn("w", F.regexp_extract_all(ascii_lower(F.coalesce("text", F.lit(""))), F.lit(WORDS), F.lit(0)))
 
 
+def _runs(n: int):
+    """Hashes of the runs of n words in w."""
+    return F.transform(F.sequence(F.lit(0), F.size("w") - n), lambda i: F.xxhash64(*[F.get("w", i + k) for k in range(n)]))
+
+
 def _grams(df: DataFrame, *keys: str) -> DataFrame:
     """keys, at, h: one row per word n-gram; only its hash is carried on."""
-    run = F.transform(F.sequence(F.lit(0), F.size("w") - N), lambda i: F.xxhash64(*[F.get("w", i + k) for k in range(N)]))
-    return df.where(F.size("w") >= N).select(*keys, F.posexplode(run).alias("at", "h"))
+    return df.where(F.size("w") >= N).select(*keys, F.posexplode(_runs(N)).alias("at", "h"))
 
 
-def seeds(items: DataFrame, shared: int = 2) -> DataFrame:
-    """Rare n-grams of each item (in at most ``shared`` items); an item without any rare one keeps all its n-grams."""
+def seeds(items: DataFrame, shared: int = 2, least: int = 2) -> DataFrame:
+    """Rare n-grams of each item (in at most ``shared`` items); a stretch of N n-grams with under ``least`` rare ones keeps all of
+    its n-grams, so an item keeps seeds all over. n_seeds is their number in the item."""
     grams = _grams(_words(items), "item_id", "n")
     spread = grams.groupBy("h").agg(F.count_distinct("item_id").alias("spread"))
     grams = grams.join(spread, "h").withColumn("rare", F.col("spread") <= shared)
-    none = grams.groupBy("item_id").agg(F.max("rare").alias("any_rare"))
-    return grams.join(none, "item_id").where("rare or not any_rare").select("h", "item_id", "n", F.col("at").alias("i_at"))
+    stretch = Window.partitionBy("item_id", F.floor(F.col("at") / N))
+    kept = grams.withColumn("n_rare", F.count_if("rare").over(stretch)).where(F.col("rare") | (F.col("n_rare") < least))
+    return kept.select("h", "item_id", "n", F.col("at").alias("i_at"), F.count(F.lit(1)).over(Window.partitionBy("item_id")).alias("n_seeds"))
 
 
 def align(a: np.ndarray, b: np.ndarray) -> float:
@@ -47,30 +53,45 @@ def align(a: np.ndarray, b: np.ndarray) -> float:
     return best / (2 * len(a)) if len(a) else 0.0
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = 0.5, min_seeds: int = 2) -> DataFrame:
-    """doc_id, item_id, score: pairs whose best local alignment reaches ``min_score``.
+def text_key():
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def short_pairs(texts: DataFrame, items: DataFrame) -> DataFrame:
+    """key, item_id, score 1: texts that hold an item of under N words as a run of words."""
+    out = texts.sparkSession.createDataFrame([], f"key long, item_id {items.schema['item_id'].dataType.simpleString()}, score double")
+    short = cut(items.where(F.size("w").between(1, N - 1)).select("item_id", "n", "w"))
+    for n in sorted(r.n for r in short.select("n").distinct().collect()):  # at most N - 1 lengths
+        whole = _small(short.where(F.col("n") == n).select("item_id", F.element_at(_runs(n), 1).alias("h")))
+        runs = _words(texts).where(F.size("w") >= n).select("key", F.explode(F.array_distinct(_runs(n))).alias("h"))
+        out = out.union(runs.join(whole, "h").select("key", "item_id", F.lit(1.0).alias("score")).distinct())
+    return out
 
-    Items of under N words have no seed and are left out, as are rows of null id; null texts are empty; equal rows give one pair;
-    further columns are ignored. The seed table and the ids of rows with votes are broadcast up to BROADCAST_ROWS rows each and
-    shuffled beyond.
+
+def text_pairs(docs: DataFrame, benchmark: DataFrame, min_score: float = 0.5, min_seeds: int = 2) -> DataFrame:
+    """key (hash of the text), item_id, score: pairs whose best local alignment reaches ``min_score``.
+
+    Items of under N words match where the text holds all of their words in a run. Equal texts are aligned once. Null texts are empty; null
+    item ids are left out. The seed table and the keys of texts with votes are broadcast up to BROADCAST_ROWS rows each and shuffled beyond.
     """
     items = _words(benchmark.where("item_id is not null").groupBy("item_id").agg(F.max("text").alias("text"))).withColumn("n", F.size("w"))
-    table_of_seeds = cut(seeds(items.select("item_id", "n", "text")))
-    if table_of_seeds.count() <= BROADCAST_ROWS:
-        table_of_seeds = F.broadcast(table_of_seeds)
-    texts = docs.where("doc_id is not null").select("doc_id", "text")
-    hits = _grams(_words(texts), "doc_id").join(table_of_seeds, "h")
+    table_of_seeds = _small(cut(seeds(items.select("item_id", "n", "text"), least=min_seeds)))
+    texts = docs.select(text_key().alias("key"), "text")
+    hits = _grams(_words(texts), "key").join(table_of_seeds, "h")
     # A seed votes for the stretch of item length that holds its diagonal and for the next one, so every alignment has a whole one.
     place = F.floor((F.col("at") - F.col("i_at")) / F.col("n"))
-    votes = hits.select("doc_id", "item_id", "n", "i_at", F.explode(F.array(place, place + 1)).alias("place"))
-    spots = votes.groupBy("doc_id", "item_id", "n", "place").agg(F.count_distinct("i_at").alias("k")).where(F.col("k") >= F.least(F.lit(min_seeds), F.col("n") - N + 1))
-    spots = cut(spots.groupBy("doc_id", "item_id", "n").agg(F.array_sort(F.collect_set("place")).alias("places")))
-    hit = spots.select("doc_id").distinct()
-    if spots.count() <= BROADCAST_ROWS:
-        hit = F.broadcast(hit)
-    windows = spots.withColumn("place", F.explode("places")).join(_words(texts.join(hit, "doc_id", "left_semi")).drop("text"), "doc_id")
+    votes = hits.select("key", "item_id", "n", "n_seeds", "i_at", F.explode(F.array(place, place + 1)).alias("place"))
+    spots = votes.groupBy("key", "item_id", "n", "n_seeds", "place").agg(F.count_distinct("i_at").alias("k")).where(F.col("k") >= F.least(F.lit(min_seeds), "n_seeds"))
+    spots = cut(spots.groupBy("key", "item_id", "n").agg(F.array_sort(F.collect_set("place")).alias("places")))
+    hit = _small(cut(spots.select("key").distinct()))
+    found = texts.join(hit, "key", "left_semi").dropDuplicates(["key"])
+    windows = spots.withColumn("place", F.explode("places")).join(_words(found).drop("text"), "key")
     start = F.greatest(F.lit(0), (F.col("place") - 1) * F.col("n") - 4)
-    windows = windows.select("doc_id", "item_id", F.slice("w", (start + 1).cast("int"), (3 * F.col("n") + 8).cast("int")).alias("b"))
+    windows = windows.select("key", "item_id", F.slice("w", (start + 1).cast("int"), (3 * F.col("n") + 8).cast("int")).alias("b"))
     pairs = windows.join(items.select("item_id", F.col("w").alias("a")), "item_id")
 
     @F.pandas_udf("double")
@@ -78,7 +99,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = 0.5,
         for a, b in batches:
             yield pd.Series([align(np.asarray(x, dtype=object), np.asarray(y, dtype=object)) for x, y in zip(a, b, strict=True)], dtype="float64")
 
-    return pairs.select("doc_id", "item_id", score("a", "b").alias("score")).groupBy("doc_id", "item_id").agg(F.max("score").alias("score")).where(F.col("score") >= min_score)
+    scores = pairs.select("key", "item_id", score("a", "b").alias("score")).groupBy("key", "item_id").agg(F.max("score").alias("score")).where(F.col("score") >= min_score)
+    return cut(scores.unionByName(short_pairs(texts, items)))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = 0.5, min_seeds: int = 2) -> DataFrame:
+    """doc_id, item_id, score of text_pairs, the best one per doc_id; a null doc_id is searched like any other. Further columns are ignored."""
+    pairs = _small(text_pairs(docs, benchmark, min_score, min_seeds))
+    return docs.select("doc_id", text_key().alias("key")).join(pairs, "key").groupBy("doc_id", "item_id").agg(F.max("score").alias("score"))
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """docs without the rows whose text holds a benchmark passage."""
+    bad = _small(text_pairs(docs, benchmark).select(F.col("key").alias("_key")).distinct())
+    return docs.join(bad, text_key() == F.col("_key"), "left_anti")
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

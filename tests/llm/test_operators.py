@@ -144,6 +144,17 @@ def test_decontaminate(spark):
     assert decontaminate.contaminated(docs.limit(0), items).count() == 0
 
 
+def test_decontaminate_templates(spark):
+    stem = "what is the capital city of the country called"
+    items = spark.createDataFrame([(i, f"{stem} {w}") for i, w in enumerate(("norway", "peru", "ghana", "nepal"))] + [(7, "quid novi"), (8, "xyzzy")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"so {stem} peru then"), (2, stem.replace("what is the", "name some other") + " peru"), (3, "say quid novi or not"), (4, "novi quid"), (5, "plain text of the day"), (None, f"a {stem} ghana"), (None, "clean of it"), (6, "XYZZY")], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(docs, items).collect()}
+    assert got[1, 1] == 1 and got[2, 1] >= 0.5 and got[None, 2] == 1 and got[3, 7] == 1 and got[6, 8] == 1
+    assert {k[0] for k in got} == {1, 2, 3, 6, None}
+    kept = decontaminate.without_contaminated(docs, items).collect()
+    assert sorted(r.text for r in kept) == ["clean of it", "novi quid", "plain text of the day"]
+
+
 def test_kneser_ney(spark, docs):
     import math
     from collections import Counter
