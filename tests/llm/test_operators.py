@@ -66,6 +66,32 @@ def test_anchor_chain(spark):
     assert got[15] == got[3] == got[0] == got[1 << 40] != got[-1] == got[-4]
 
 
+def test_pipeline_near_dedup(spark):
+    import corpus_pipeline
+
+    long = [f"w{i * i % 997}x{i}" for i in range(120)]
+    edit = lambda *at: " ".join("changed" if i in at else w for i, w in enumerate(long))
+    rows = [(5, " ".join(long)), (4, edit(60)), (9, edit(20, 90)), (7, edit(*range(0, 120, 4))), (1, "short one"), (2, "Short  ONE"), (None, "gone astray"), (None, "gone astray"), (None, edit(119)), (8, None), (3, "")]
+    got = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert sorted((r.doc_id or 0) for r in got) == [0, 1, 3, 4, 7]
+
+
+def test_near_links_complete(spark):
+    import random
+
+    from tenement.llm import neardup
+
+    draw = random.Random(1)
+    base = [f"v{i}" for i in range(200)]
+    texts = {k: " ".join("z" if draw.random() < 0.012 else w for w in base) for k in range(60)}
+    sets = {k: set(neardup.shingles(t).tolist()) for k, t in texts.items()}
+    root = {k: k for k in texts}
+    for _ in texts:
+        root = {i: min(root[j] for j in texts if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])) for i in texts}
+    found = {r.u: r.root for r in simhash.components(neardup.similar_links(spark.createDataFrame(list(texts.items()), "key long, text string"))).collect()}
+    assert {k: found.get(k, k) for k in texts} == root and len(set(root.values())) > 1
+
+
 def test_mixing(docs):
     got = mixing.mix(docs).collect()
     assert len(got) == docs.count() and all(r.taken <= 3 * r.size for r in got)
