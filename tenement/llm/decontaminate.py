@@ -6,9 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from . import tokens
 from .common import ascii_lower, cut, table
 
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -20,24 +23,39 @@ def _words(df: DataFrame) -> DataFrame:
     return df.withColumn("w", F.regexp_extract_all(ascii_lower(F.coalesce("text", F.lit(""))), F.lit(WORDS), F.lit(0)))
 
 
-def _runs(n: int):
-    """Hashes of the runs of n words in w."""
-    return F.transform(F.sequence(F.lit(0), F.size("w") - n), lambda i: F.xxhash64(*[F.get("w", i + k) for k in range(n)]))
+def grams(df: DataFrame, n: int = N, wanted: np.ndarray | None = None) -> DataFrame:
+    """df's columns but ``text``, at, h: one row per run of n words of every text, or those in ``wanted`` (sorted hashes) only.
 
-
-def _grams(df: DataFrame, *keys: str) -> DataFrame:
-    """keys, at, h: one row per word n-gram; only its hash is carried on."""
-    return df.where(F.size("w") >= N).select(*keys, F.posexplode(_runs(N)).alias("at", "h"))
+    Words are hashed once and a run's hash is rolled from theirs, by array steps over slices of a few megabytes of text.
+    """
+    keys = [f for f in df.schema if f.name != "text"]
+    held = None if wanted is None else df.sparkSession.sparkContext.broadcast(wanted)  # at most BROADCAST_ROWS hashes
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = tokens.raw(batch.column(len(keys)))
+            for i, j in tokens.slices(offsets):
+                words, ends = tokens.word_hashes(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], tokens.SIGNS)
+                h, text, at = tokens.runs(words, ends, n)
+                if held is not None and len(h):
+                    among = np.minimum(np.searchsorted(held.value, h), max(len(held.value) - 1, 0))
+                    keep = np.flatnonzero(held.value[among] == h) if len(held.value) else np.zeros(0, dtype=np.int64)
+                    h, text, at = h[keep], text[keep], at[keep]
+                if len(h):
+                    rows = batch.slice(i, j - i).take(pa.array(text))
+                    yield pa.RecordBatch.from_arrays([*rows.columns[:len(keys)], pa.array(at.astype(np.int32)), pa.array(h.view(np.int64))], [*(f.name for f in keys), "at", "h"])
+
+    return df.select(*(f.name for f in keys), "text").mapInArrow(find, T.StructType([*keys, T.StructField("at", T.IntegerType()), T.StructField("h", T.LongType())]))
 
 
 def seeds(items: DataFrame, shared: int = 2, least: int = 2) -> DataFrame:
     """Rare n-grams of each item (in at most ``shared`` items); a stretch of N n-grams with under ``least`` rare ones keeps all of
     its n-grams, so an item keeps seeds all over. n_seeds is their number in the item."""
-    grams = _grams(_words(items), "item_id", "n")
-    spread = grams.groupBy("h").agg(F.count_distinct("item_id").alias("spread"))
-    grams = grams.join(spread, "h").withColumn("rare", F.col("spread") <= shared)
+    found = cut(grams(items.select("item_id", "n", "text")))
+    spread = found.groupBy("h").agg(F.count_distinct("item_id").alias("spread"))
+    found = found.join(spread, "h").withColumn("rare", F.col("spread") <= shared)
     stretch = Window.partitionBy("item_id", F.floor(F.col("at") / N))
-    kept = grams.withColumn("n_rare", F.count_if("rare").over(stretch)).where(F.col("rare") | (F.col("n_rare") < least))
+    kept = found.withColumn("n_rare", F.count_if("rare").over(stretch)).where(F.col("rare") | (F.col("n_rare") < least))
     return kept.select("h", "item_id", "n", F.col("at").alias("i_at"), F.count(F.lit(1)).over(Window.partitionBy("item_id")).alias("n_seeds"))
 
 
@@ -61,14 +79,20 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def _wanted(seeds_of: DataFrame) -> np.ndarray | None:
+    """The sorted distinct hashes of a table of seeds, if there are no more than BROADCAST_ROWS; else none, and all runs are joined."""
+    each = seeds_of.select("h").distinct()
+    return np.sort(np.array([r.h for r in each.collect()], dtype=np.int64).view(np.uint64)) if each.count() <= BROADCAST_ROWS else None
+
+
 def short_pairs(texts: DataFrame, items: DataFrame) -> DataFrame:
     """key, item_id, score 1: texts that hold an item of under N words as a run of words."""
     out = texts.sparkSession.createDataFrame([], f"key long, item_id {items.schema['item_id'].dataType.simpleString()}, score double")
-    short = cut(items.where(F.size("w").between(1, N - 1)).select("item_id", "n", "w"))
+    short = cut(items.where(F.size("w").between(1, N - 1)).select("item_id", "n", "text"))
     for n in sorted(r.n for r in short.select("n").distinct().collect()):  # at most N - 1 lengths
-        whole = _small(short.where(F.col("n") == n).select("item_id", F.element_at(_runs(n), 1).alias("h")))
-        runs = _words(texts).where(F.size("w") >= n).select("key", F.explode(F.array_distinct(_runs(n))).alias("h"))
-        out = out.union(runs.join(whole, "h").select("key", "item_id", F.lit(1.0).alias("score")).distinct())
+        whole = cut(grams(short.where(F.col("n") == n).select("item_id", "text"), n).select("item_id", "h"))
+        found = grams(texts.select("key", "text"), n, _wanted(whole)).select("key", "h").distinct()
+        out = out.union(found.join(_small(whole), "h").select("key", "item_id", F.lit(1.0).alias("score")).distinct())
     return out
 
 
@@ -76,12 +100,12 @@ def text_pairs(docs: DataFrame, benchmark: DataFrame, min_score: float = 0.5, mi
     """key (hash of the text), item_id, score: pairs whose best local alignment reaches ``min_score``.
 
     Items of under N words match where the text holds all of their words in a run. Equal texts are aligned once. Null texts are empty; null
-    item ids are left out. The seed table and the keys of texts with votes are broadcast up to BROADCAST_ROWS rows each and shuffled beyond.
+    item ids are left out; of texts that share an item id the greatest counts. The seed table and the keys of texts with votes are broadcast up to BROADCAST_ROWS rows each and shuffled beyond.
     """
     items = _words(benchmark.where("item_id is not null").groupBy("item_id").agg(F.max("text").alias("text"))).withColumn("n", F.size("w"))
-    table_of_seeds = _small(cut(seeds(items.select("item_id", "n", "text"), least=min_seeds)))
+    table_of_seeds = cut(seeds(items, least=min_seeds))
     texts = docs.select(text_key().alias("key"), "text")
-    hits = _grams(_words(texts), "key").join(table_of_seeds, "h")
+    hits = grams(texts, N, _wanted(table_of_seeds)).join(_small(table_of_seeds), "h")
     # A seed votes for the stretch of item length that holds its diagonal and for the next one, so every alignment has a whole one.
     place = F.floor((F.col("at") - F.col("i_at")) / F.col("n"))
     votes = hits.select("key", "item_id", "n", "n_seeds", "i_at", F.explode(F.array(place, place + 1)).alias("place"))
