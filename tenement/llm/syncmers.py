@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table, workers
+from .common import table, workers
 
 # Scripts written without blanks: each of their characters is a unit.
 LONE = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\uA4CF\uF900-\uFAFF\x{20000}-\x{3FFFF}"
@@ -37,56 +37,86 @@ def with_syncmers(df: DataFrame, text: str, out: str) -> DataFrame:
     return df.withColumn(out, F.filter(F.transform("_h", mer), lambda m: m.isNotNull())).drop("_h")
 
 
+def with_print(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Add array<int>, the fingerprint: for every syncmer a hash of it and of its distance to the one before, so that equal stretches
+    match by content and inner positions wherever they stand in a text. No syncmer is left out."""
+    def element(m: Column, i: Column) -> Column:
+        return F.hash(m["hash"], m["at"] - F.coalesce(F.get("_s", i - 1)["at"], m["at"]))
+
+    return with_syncmers(df, text, "_s").withColumn(out, F.transform("_s", element)).drop("_s")
+
+
+def written_out(elements: Column) -> Column:
+    """The fingerprint as text, 8 hex digits an element in the order of the text."""
+    return F.array_join(F.transform(elements, lambda x: F.lpad(F.hex(x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), "")
+
+
 def likeness(a: Column, b: Column) -> Column:
-    """Jaccard similarity of all syncmers of two texts; 1 if both have none."""
-    every = F.size(F.array_union(a["hash"], b["hash"]))
-    return F.when(every == 0, 1.0).otherwise(F.size(F.array_intersect(a["hash"], b["hash"])) / every).cast("double")
+    """Jaccard similarity of two fingerprints; 1 if both are empty."""
+    every = F.size(F.array_union(a, b))
+    return F.when(every == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / every).cast("double")
 
 
-def successors(ids: DataFrame) -> DataFrame:
-    """doc_id -> doc_id, next_id by ascending doc_id, around the end.
+def ranges(ids: DataFrame) -> tuple[Column, dict[int, int]]:
+    """The range of a doc_id as a column, and the least doc_id of every range that has rows (a few per worker)."""
+    n = 16 * workers(ids.sparkSession)
+    cuts = ids.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * n)).first()[0] or []
+    cuts = sorted(set(cuts))
+    step = max(1, int(len(cuts) ** 0.5))
+    groups = [cuts[i:i + step] for i in range(0, len(cuts), step)]
+    under = lambda bounds: F.size(F.filter(bounds, lambda b: b <= F.col("doc_id")))
+    column = F.lit(0)
+    if groups:
+        group = under(F.array(*[F.lit(g[0]) for g in groups])) - 1
+        column = F.when(group < 0, 0).otherwise(group * step + under(F.get(F.array(*[F.array(*map(F.lit, g)) for g in groups]), group)))
+    least = {r.part: r.least for r in ids.groupBy(column.alias("part")).agg(F.min("doc_id").alias("least")).collect()}
+    return column, dict(sorted(least.items()))
 
-    Ids are dealt by range; neighbours come from a window in each range, those across ranges from one row per range.
-    """
-    dealt = cut(ids.where("doc_id is not null").select("doc_id").repartitionByRange(workers(ids.sparkSession), "doc_id").withColumn("part", F.spark_partition_id()))
-    ends = dealt.groupBy("part").agg(F.min("doc_id").alias("first"))
-    line, every = Window.orderBy("part"), Window.partitionBy()
-    ends = ends.select("part", F.coalesce(F.lead("first").over(line), F.min("first").over(every)).alias("next_first"))
-    near = dealt.withColumn("next_in", F.lead("doc_id").over(Window.partitionBy("part").orderBy("doc_id")))
-    return near.join(ends, "part").select("doc_id", F.coalesce("next_in", "next_first").alias("next_id"))
+
+def _few(df: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
 def edited_texts(docs: DataFrame) -> DataFrame:
-    """doc_id, text, next_text, edited of every row. The next text is the least one of the next doc_id; a null doc_id has none:
-    its edited text only loses the tail. Null text counts as empty.
+    """doc_id, text, print, next_text, next_print, edited of every row. The next text is the least one of the next doc_id (a whole
+    number); a null doc_id has none: its edited text only loses the tail. Null text counts as empty.
 
-    Texts are dealt out by doc_id once and moved to the rows before them once; only those of ids with several texts are
-    compared, all else goes by their hashes.
+    Texts are dealt out once, by ranges of doc_id; each range also gets the first document of the next one. Of an id
+    with several rows one row stands in the line, and all its rows get what follows it.
     """
+    spark = docs.sparkSession
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     known = docs.where("doc_id is not null")
-    ids = cut(known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.min(F.xxhash64("text")).alias("least"), F.max(F.xxhash64("text")).alias("other")))
-    order = successors(ids)
-    several = ids.where("least <> other").select("doc_id")
+    ids = known.select("doc_id")
+    part, least = ranges(ids)
+    several = ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id")
     n_several = several.count()
+    line = known
+    if n_several:
+        several = _few(several, n_several)
+        held = known.join(several, "doc_id", "left_semi")
+        line = known.join(several, "doc_id", "left_anti").unionByName(held.groupBy("doc_id").agg(F.min("text").alias("text")))
+    line = line.withColumn("part", part).withColumn("guest", F.lit(False))
+    parts = list(least)
+    guests = [(least[parts[(i + 1) % len(parts)]], p) for i, p in enumerate(parts)]
+    guests = F.broadcast(spark.createDataFrame(guests, "doc_id long, part int"))
+    guests = line.drop("part", "guest").join(guests, "doc_id").withColumn("guest", F.lit(True))
+    dealt = line.unionByName(guests).repartition(workers(spark), "part")
+    order = Window.partitionBy("part").orderBy("guest", "doc_id")
+    marked = with_print(dealt, "text", "print")
+    marked = marked.withColumn("next_text", F.lead("text").over(order)).withColumn("next_print", F.lead("print").over(order)).where("not guest").drop("part", "guest")
     if n_several:
-        held = known.join(F.broadcast(several) if n_several <= BROADCAST_ROWS else several, "doc_id", "left_semi")
-        first = held.groupBy("doc_id").agg(F.xxhash64(F.min("text")).alias("first"))
-        ids = ids.join(first, "doc_id", "left").select("doc_id", "rows", F.coalesce("first", "least").alias("least"))
-    to = cut(ids.select(F.col("doc_id").alias("next_id"), "rows", "least").join(order.withColumnRenamed("doc_id", "prev_id"), "next_id").withColumnRenamed("next_id", "doc_id"))
-    # Not written as an equality, which would become a join key and deal the texts out a second time.
-    nexts = known.join(to, "doc_id").where(F.xxhash64("text").bitwiseXOR(F.col("least")) == 0).select(F.col("prev_id").alias("doc_id"), F.col("text").alias("next_text"))
-    if not to.where("rows > 1").isEmpty():
-        nexts = nexts.groupBy("doc_id").agg(F.min("next_text").alias("next_text"))
-    rows = known.join(nexts, "doc_id", "left").unionByName(docs.where("doc_id is null").withColumn("next_text", F.lit(None).cast("string")))
+        info = marked.join(several, "doc_id", "left_semi").select("doc_id", "next_text", "next_print")
+        marked = marked.join(several, "doc_id", "left_anti").unionByName(with_print(held, "text", "print").join(info, "doc_id"))
+    lone = with_print(docs.where("doc_id is null"), "text", "print").withColumn("next_text", F.lit(None).cast("string")).withColumn("next_print", F.lit(None).cast("array<int>"))
+    rows = marked.unionByName(lone)
     tail = F.floor(F.char_length("text") / 4).cast("int")
     edited = F.concat(F.col("text").substr(F.lit(1), F.char_length("text") - tail), F.coalesce(F.col("next_text").substr(F.lit(1), tail), F.lit("")))
     return rows.withColumn("edited", edited)
 
 
 def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = edited_texts(table(spark, sf_dir, "documents"))
-    texts = texts.select("doc_id", "text", "edited", "next_text", F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
-    prints = with_syncmers(with_syncmers(with_syncmers(texts, "text", "fingerprint"), "edited", "edited_fingerprint"), "next_text", "next_fingerprint")
-    return prints.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-                         F.when(F.col("next_text").isNull(), 0.0).otherwise(likeness(F.col("fingerprint"), F.col("next_fingerprint"))).alias("near_next"))
+    texts = with_print(edited_texts(table(spark, sf_dir, "documents")), "edited", "edited_print")
+    return texts.select("doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+                        written_out(F.col("print")).alias("fingerprint"), written_out(F.col("edited_print")).alias("edited_fingerprint"), likeness(F.col("print"), F.col("edited_print")).alias("near_edited"),
+                        F.when(F.col("next_print").isNull(), 0.0).otherwise(likeness(F.col("print"), F.col("next_print"))).alias("near_next"))

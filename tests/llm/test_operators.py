@@ -135,7 +135,7 @@ def test_syncmers_any_length(spark, tmp_path):
     got = {r.doc_id: r for r in syncmers.op10_syncmers(spark, str(tmp_path)).collect()}
     assert got[0].n_chars > 1024 and got[0].near_edited > 0.7
     assert got[2].near_next > 0.95 and 0 < got[4].near_next < 0.1
-    assert len(got[4].fingerprint) > 2000 and [m["at"] for m in got[4].fingerprint] == sorted({m["at"] for m in got[4].fingerprint})
+    assert len(got[4].fingerprint) > 8 * 2000
     assert got[6].near_edited > 0.3 and len(got[7].fingerprint) > 0
 
 
