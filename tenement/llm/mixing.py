@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, table, workers
@@ -10,6 +10,9 @@ from .common import cut, table, workers
 WEIGHTS = (5.0, 2.0, 1.0)
 REPEAT = 3
 STEP = 4096
+SEED = 17
+FEW = 100_000
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def targets(sources: DataFrame, weights: tuple = WEIGHTS, repeat: int = REPEAT) -> DataFrame:
@@ -30,23 +33,27 @@ def targets(sources: DataFrame, weights: tuple = WEIGHTS, repeat: int = REPEAT)
     return s.withColumn("target", F.least("cap", F.coalesce(F.col("level") * F.col("weight"), F.col("cap")))).drop("level", "cap", "weight")
 
 
+def few(sources: DataFrame) -> DataFrame:
+    """The table of sources, broadcast up to FEW rows."""
+    return F.broadcast(sources) if sources.count() <= FEW else sources
+
+
 def packed(sized: DataFrame, sources: DataFrame) -> DataFrame:
     """Place every document in its source's token stream: start (exclusive sum of sizes) and block length.
 
     The stream is cut in hashed chunks of about STEP documents; chunk sums are added up first, so no task sees a whole source.
     """
-    key = F.col("source").eqNullSafe(F.col("s"))
-    s = sources.withColumnRenamed("source", "s").withColumn("chunks", F.greatest(F.lit(1), F.col("n_docs") / STEP).cast("long"))
-    placed = sized.where("size > 0").join(s, key).drop("s").withColumn("chunk", F.pmod(F.xxhash64("doc_id", "row_hash"), F.col("chunks")))
+    s = few(sources).withColumnRenamed("source", "s").withColumn("chunks", F.greatest(F.lit(1), F.col("n_docs") / STEP).cast("long"))
+    placed = sized.where("size > 0").join(s, F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("chunk", F.pmod(F.xxhash64("doc_id", "row_hash", "nth"), F.col("chunks")))
     sums = placed.groupBy("sid", "chunk").agg(F.sum("size").alias("chunk_size"))
     above = Window.partitionBy("sid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("sid", "chunk", F.coalesce(F.sum("chunk_size").over(above), F.lit(0)).alias("base"))
-    inner = Window.partitionBy("sid", "chunk").orderBy("doc_id", "row_hash").rowsBetween(Window.unboundedPreceding, 0)
+    inner = Window.partitionBy("sid", "chunk").orderBy("doc_id", "row_hash", "nth").rowsBetween(Window.unboundedPreceding, 0)
     placed = placed.withColumn("upto", F.sum("size").over(inner))
     return placed.join(sums, ["sid", "chunk"]).withColumn("start", F.col("base") + F.col("upto") - F.col("size"))
 
 
-def permuted(index, count, salt, rounds: int = 16):
+def permuted(index, count, salt, rounds: int = 8):
     """Pseudorandom permutation of [0, count): swap-or-not rounds, any count."""
     keys = F.array(*[F.lit(r) for r in range(rounds)])
 
@@ -57,46 +64,101 @@ def permuted(index, count, salt, rounds: int = 16):
     return F.aggregate(keys, index, step)
 
 
-def slots(sources: DataFrame, shard_blocks: int = 4096, seed: int = 17) -> DataFrame:
-    """One row per output slot: sid, shard, block. Each slot draws its shard at random, so a shard's source counts are
-    multinomial draws with the target shares; slot j of a source takes block j of its permutation, a new one per pass."""
-    groups = sources.withColumn("g", F.explode(F.expr(f"sequence(0L, cast((n_slots - 1) div {STEP} as bigint))"))).where("n_slots > 0")
-    each = groups.repartition(workers(sources.sparkSession), "sid", "g").withColumn("slot", F.explode(F.expr(f"sequence(g * {STEP}, least((g + 1) * {STEP}, n_slots) - 1)")))
-    salt = F.xxhash64(F.lit(seed), "sid", F.expr("slot div n_blocks"))
-    shard = F.pmod(F.xxhash64(F.lit(seed + 1), "sid", "slot"), F.greatest(F.lit(1), F.ceil(F.col("all_slots") / shard_blocks)))
-    return each.select("sid", "slot", shard.alias("shard"), permuted(F.col("slot") % F.col("n_blocks"), F.col("n_blocks"), salt).alias("block"))
+def shard_counts(sources: DataFrame, shard_slots: int = STEP) -> DataFrame:
+    """shard, sid, group, count, first: slots that each source gets in each output shard, and the first one's place in its shard.
 
+    A shard of n slots draws its sources by the target shares, slot i with a random point of the i-th n-th of their cumulative sum: a
+    stratified multinomial draw, with the same expected counts, of which only those at the bounds of a source are at random.
+    """
+    last = f"(all_slots - 1) div {shard_slots}"
+    groups = sources.where("high > low and all_slots > 0").withColumn("end", F.max("sid").over(Window.partitionBy()))
+    groups = groups.withColumn("group", F.explode(F.expr(f"sequence(0L, ({last}) div {STEP})"))).repartition(workers(sources.sparkSession), "sid", "group")
+    each = groups.withColumn("shard", F.explode(F.expr(f"sequence(group * {STEP}, least((group + 1) * {STEP} - 1, {last}))")))
+    each = each.withColumn("n", F.least(F.lit(shard_slots), F.col("all_slots") - F.col("shard") * shard_slots))
 
-def shard_counts(drawn: DataFrame) -> DataFrame:
-    """Blocks per output shard and source."""
-    return drawn.groupBy("shard", "sid").agg(F.count(F.lit(1)).alias("blocks"))
+    def below(bound: Column) -> Column:
+        at = bound * F.col("n")
+        slot = F.floor(at)
+        jitter = F.pmod(F.xxhash64(F.lit(SEED + 1), F.col("shard"), slot), F.lit(1 << 53)) / float(1 << 53)
+        return slot + F.when(jitter < at - slot, 1).otherwise(0)
 
+    first = below(F.col("low"))
+    return each.select("shard", "sid", "group", first.alias("first"), (F.when(F.col("sid") == F.col("end"), F.col("n")).otherwise(below(F.col("high"))) - first).alias("count")).where("count > 0")
 
-def mix(docs: DataFrame, weights: tuple = WEIGHTS, repeat: int = REPEAT, block: int = 64) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken for every row.
 
-    Sizes count words; null text is size 0; null source is a source of its own, last. Equal rows are told apart only by
-    position and may be taken unequally. Empty tables give no rows. Further columns are ignored.
+def slots(sources: DataFrame, repeat: int = REPEAT) -> DataFrame:
+    """shard, position, sid, block: one row per output slot. The slots that the shards drew from a source are numbered through; slot j takes
+    block j of the source's permutation, a new one per pass; no block is taken in more than ``repeat`` passes.
+
+    Shards are numbered through in groups of STEP whose sums are added up first, so no task sees all shards of a source.
     """
+    drawn = cut(shard_counts(sources))
+    above = Window.partitionBy("sid").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    sums = drawn.groupBy("sid", "group").agg(F.sum("count").alias("n")).select("sid", "group", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("base"))
+    inner = Window.partitionBy("sid", "group").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    drawn = drawn.withColumn("upto", F.coalesce(F.sum("count").over(inner), F.lit(0))).join(sums, ["sid", "group"])
+    drawn = drawn.repartition(workers(sources.sparkSession), "sid", "shard").join(few(sources.select("sid", "n_blocks")), "sid")
+    each = drawn.select("*", F.explode(F.expr("sequence(0L, count - 1)")).alias("k")).withColumn("slot", F.col("base") + F.col("upto") + F.col("k")).where(F.col("slot") < F.col("n_blocks") * repeat)
+    salt = F.xxhash64(F.lit(SEED), "sid", F.expr("slot div n_blocks"))
+    return each.select("shard", (F.col("first") + F.col("k")).alias("position"), "sid", permuted(F.col("slot") % F.col("n_blocks"), F.col("n_blocks"), salt).alias("block"))
+
+
+def plan(docs: DataFrame, weights: tuple = WEIGHTS, repeat: int = REPEAT, block: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows with their sizes and the sources with targets, shares and blocks. All blocks have one length: ``block`` words, by
+    default 64, in corpora of under 65,536 such blocks as many less as give that number."""
     text = F.coalesce("text", F.lit(""))
-    words = F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
-    sized = docs.select("doc_id", "source", words.alias("size"), F.xxhash64(text, "source").alias("row_hash"))
+    sized = docs.select("doc_id", "source", F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.xxhash64(text, "source").alias("row_hash"))
     sized = cut(sized.groupBy("doc_id", "source", "row_hash", "size").agg(F.count(F.lit(1)).alias("rows")).select(
-        "doc_id", "source", "size", "row_hash", F.explode(F.expr("sequence(1, cast(rows as int))")).alias("nth")).withColumn("row_hash", F.xxhash64("row_hash", "nth")).drop("nth"))
+        "doc_id", "source", "size", "row_hash", F.explode(F.expr("sequence(1L, rows)")).alias("nth")))
     sources = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")), weights, repeat)
-    length = F.least(F.lit(block), F.greatest(F.lit(1), F.expr("source_size div 256"))).cast("long")
-    sources = sources.withColumn("length", length).withColumn("n_blocks", F.ceil(F.col("source_size") / F.col("length")))
-    sources = sources.withColumn("n_slots", F.when(F.col("source_size") > 0, F.least(F.round(F.col("target") * F.col("n_blocks") / F.greatest(F.col("source_size"), F.lit(1))), F.col("n_blocks") * repeat)).otherwise(0).cast("long"))
-    sources = cut(sources.withColumn("sid", F.row_number().over(Window.orderBy(F.asc_nulls_last("source")))).withColumn("all_slots", F.sum("n_slots").over(Window.partitionBy())))
-    times = slots(sources).groupBy("sid", "block").agg(F.count(F.lit(1)).alias("times"))
-    placed = packed(sized, sources)
-    pieces = placed.withColumn("block", F.explode(F.expr("sequence(start div length, (start + size - 1) div length)")))
-    words_in = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * F.col("length")) - F.greatest(F.col("start"), F.col("block") * F.col("length"))
-    pieces = pieces.select("doc_id", "row_hash", "sid", "block", words_in.alias("words"))
-    taken = pieces.join(times, ["sid", "block"]).groupBy("doc_id", "row_hash").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    taken = taken.withColumnsRenamed({"doc_id": "d", "row_hash": "h"})
-    out = sized.join(taken, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row_hash") == F.col("h")), "left")
-    named = sources.select(F.col("source").alias("s"), "source_size", "target")
+    every = Window.partitionBy()  # one row per source, here and below
+    length = F.lit(block) if block else F.greatest(F.lit(1), F.least(F.lit(64), F.expr("total div 65536")))
+    sources = sources.withColumn("total", F.sum("source_size").over(every)).withColumn("length", length.cast("long")).withColumn("n_blocks", F.ceil(F.col("source_size") / F.col("length")))
+    sources = sources.withColumn("sid", F.row_number().over(Window.orderBy(F.asc_nulls_last("source"))))
+    wanted = F.sum("target").over(every)
+    upto = F.sum("target").over(Window.orderBy("sid"))
+    sources = sources.withColumn("low", (upto - F.col("target")) / wanted).withColumn("high", upto / wanted)
+    sources = sources.withColumn("low", F.coalesce(F.lag("high").over(Window.orderBy("sid")), F.lit(0.0)))
+    sources = sources.withColumn("all_slots", F.round(wanted / F.col("length")).cast("long"))
+    last = F.max(F.when(F.col("target") > 0, F.col("sid"))).over(every)
+    return sized, cut(sources.withColumn("high", F.when(F.col("sid") >= last, 1.0).otherwise(F.col("high"))))
+
+
+def pieces(sized: DataFrame, sources: DataFrame) -> DataFrame:
+    """doc_id, row_hash, nth, sid, block, from_word, words: the stretches of documents that make up the blocks of each source."""
+    placed = packed(sized, sources).withColumn("block", F.explode(F.expr("sequence(start div length, (start + size - 1) div length)")))
+    begin = F.greatest(F.col("start"), F.col("block") * F.col("length"))
+    words = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * F.col("length")) - begin
+    return placed.select("doc_id", "row_hash", "nth", "sid", "block", (begin - F.col("start")).alias("from_word"), (begin - F.col("block") * F.col("length")).alias("at"), words.alias("words"))
+
+
+def mixed_blocks(docs: DataFrame, weights: tuple = WEIGHTS, repeat: int = REPEAT, block: int | None = None) -> DataFrame:
+    """shard, position, source, block, tokens: the mix itself, one row per output slot, by a join of slots and blocks on the block's index.
+
+    A source's last block may be shorter. Rows and sources as in ``mix``.
+    """
+    sized, sources = plan(docs, weights, repeat, block)
+    text = F.coalesce("text", F.lit(""))
+    texts = docs.select(F.col("doc_id").alias("d"), F.xxhash64(text, "source").alias("h"), F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("w")).dropDuplicates(["d", "h"])
+    part = pieces(sized, sources).join(texts, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row_hash") == F.col("h")))
+    part = part.select("sid", "block", F.struct("at", F.expr("slice(w, cast(from_word + 1 as int), cast(words as int))").alias("w")).alias("p"))
+    blocks = part.groupBy("sid", "block").agg(F.flatten(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["w"])).alias("tokens"))
+    named = few(sources.select("sid", "source"))
+    return slots(sources, repeat).join(blocks.hint("merge"), ["sid", "block"]).join(named, "sid").select("shard", "position", "source", "block", "tokens")
+
+
+def mix(docs: DataFrame, weights: tuple = WEIGHTS, repeat: int = REPEAT, block: int | None = None) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken for every row: what ``mixed_blocks`` takes, without its tokens.
+
+    Sizes count words; null text is size 0; null source is a source of its own, last. Equal rows are told apart only by
+    position and may be taken unequally. Empty tables give no rows. Further columns are ignored.
+    """
+    sized, sources = plan(docs, weights, repeat, block)
+    times = slots(sources, repeat).groupBy("sid", "block").agg(F.count(F.lit(1)).alias("times"))
+    taken = pieces(sized, sources).join(times.hint("merge"), ["sid", "block"]).groupBy("doc_id", "row_hash", "nth").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+    taken = taken.withColumnsRenamed({"doc_id": "d", "row_hash": "h", "nth": "m"})
+    out = sized.join(taken.hint("merge"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row_hash") == F.col("h")) & (F.col("nth") == F.col("m")), "left")
+    named = few(sources.select(F.col("source").alias("s"), "source_size", "target"))
     return out.join(named, F.col("source").eqNullSafe(F.col("s"))).select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 

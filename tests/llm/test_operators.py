@@ -103,6 +103,26 @@ def test_mixing(docs):
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, mixing.mix(docs).collect()), key=str)
 
 
+def test_mixed_blocks(spark, docs):
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    sources = spark.range(1).selectExpr("1 as sid", "0.0D as low", "0.3D as high", "10000L as all_slots").union(spark.range(1).selectExpr("2 as sid", "0.3D as low", "1.0D as high", "10000L as all_slots"))
+    counts = {(r.shard, r.sid): r["count"] for r in mixing.shard_counts(sources).collect()}
+    assert [sum(c for (k, _), c in counts.items() if k == i) for i in range(3)] == [4096, 4096, 10000 - 8192] and all(abs(counts[i, 1] - 0.3 * n) <= 1 for i, n in ((0, 4096), (1, 4096), (2, 1808)))
+    got = mixing.mixed_blocks(docs, block=2).collect()
+    assert len({(r.shard, r.position) for r in got}) == len(got) and max(Counter((r.source, r.block) for r in got).values()) <= 3
+    assert {len(r.tokens) for r in got} <= {1, 2}
+    for s in {r.source for r in got}:
+        mixed = Counter(w for r in got if r.source == s for w in r.tokens)
+        own = Counter(w for r in docs.collect() if r.source == s for w in words(r.text))
+        assert set(mixed) <= set(own) and all(mixed[w] <= 3 * own[w] for w in mixed)
+    digest = mixing.mix(docs, block=2).groupBy("source").agg(F.sum("taken").alias("taken")).collect()
+    assert {r.source: r.taken for r in digest if r.taken} == dict(Counter(r.source for r in got for _ in r.tokens))
+    assert mixing.mix(docs.limit(0)).count() == 0 and mixing.mix(docs.where("text is null")).collect()[0].taken == 0
+
+
 def test_permutation(spark):
     from pyspark.sql import functions as F
 
