@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import tokens
-from .common import ascii_lower, cut, table
+from .common import ascii_lower, cut, fresh, table
 
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 N = 3
@@ -135,8 +135,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = 0.5,
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the rows whose text holds a benchmark passage."""
-    bad = _small(text_pairs(docs, benchmark).select(F.col("key").alias("_key")).distinct())
-    return docs.join(bad, text_key() == F.col("_key"), "left_anti")
+    (key,) = fresh(docs, "key")
+    bad = _small(text_pairs(docs, benchmark).select(F.col("key").alias(key)).distinct())
+    return docs.join(bad, text_key() == F.col(key), "left_anti")
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

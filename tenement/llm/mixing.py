@@ -117,11 +117,11 @@ def plan(docs: DataFrame, weights: tuple = WEIGHTS, repeat: int = REPEAT, block:
     sources = sources.withColumn("sid", F.row_number().over(Window.orderBy(F.asc_nulls_last("source"))))
     wanted = F.sum("target").over(every)
     upto = F.sum("target").over(Window.orderBy("sid"))
-    sources = sources.withColumn("low", (upto - F.col("target")) / wanted).withColumn("high", upto / wanted)
+    sources = sources.withColumn("high", F.coalesce(F.try_divide(upto, wanted), F.lit(0.0)))
     sources = sources.withColumn("low", F.coalesce(F.lag("high").over(Window.orderBy("sid")), F.lit(0.0)))
     sources = sources.withColumn("all_slots", F.round(wanted / F.col("length")).cast("long"))
     last = F.max(F.when(F.col("target") > 0, F.col("sid"))).over(every)
-    return sized, cut(sources.withColumn("high", F.when(F.col("sid") >= last, 1.0).otherwise(F.col("high"))))
+    return sized, cut(sources.withColumn("high", F.when(F.col("sid") == last, 1.0).otherwise(F.col("high"))))
 
 
 def pieces(sized: DataFrame, sources: DataFrame) -> DataFrame:

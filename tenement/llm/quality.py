@@ -12,7 +12,8 @@ FEATURES = ("n_chars", "n_words", "word_len", "upper", "symbol", "digit", "excla
 
 
 def statistics(docs: DataFrame) -> DataFrame:
-    """Statistics of the whole text (null: empty); no identifier, language or source goes in."""
+    """Statistics of the whole text (null: empty); no identifier, language or source goes in. ``docs`` needs doc_id and text; of other
+    columns those whose names begin with ``f_`` or are ``_w`` or ``_l`` would be hidden, so ``scored`` sets all of them aside first."""
     text = F.coalesce("text", F.lit(""))
     d = docs.withColumn("_w", F.split(F.trim(text), r"\s+")).withColumn("_l", F.filter(F.split(text, "\n"), lambda x: x != ""))
     n = F.greatest(F.char_length(text), F.lit(1))
@@ -108,10 +109,11 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = 20000) -> tuple[list,
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """All columns of documents plus quality_score. Null text scores as empty; repeated rows score alike; with no labels every
+    """All columns of documents plus quality_score, which replaces one of that name. Null text scores as empty; repeated rows score alike; with no labels every
     score is 0.5; with one label only, near that label."""
-    known = [c for c in docs.columns]
-    return statistics(docs).withColumn("quality_score", compile_rules(*train(docs, labels))).select(*known, "quality_score")
+    kept = [c for c in docs.columns if c != "quality_score"]
+    aside = docs.select("text", F.struct(*kept).alias("row"))
+    return statistics(aside).withColumn("quality_score", compile_rules(*train(docs, labels))).select(*[F.col("row")[c].alias(c) for c in kept], "quality_score")
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,6 +45,39 @@ def test_pii_base(spark, docs, source, tmp_path):
         assert r.base_sha256 == hashlib.sha256(",".join(itertools.chain(*want.values())).encode()).hexdigest()
 
 
+def test_pii_bootstrap(spark):
+    hexes = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(12)]
+    rows = [f'so token = "{h}" then' for h in hexes] + [f'so token = "ZX-8{i}-QQPL" then' for i in range(3)]  # these words are known by the token pattern only
+    rows += [f"with badge number ZX-8{i}-QQPL today" for i in range(3)] + ["with badge number QK-77-AAXZ today", 'my token = "lettersonly" x', "in chapter number 123456 of it", "plain words only", None]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: [(e.kind, rows[r.doc_id][e.start:e.end]) for e in r.extra] for r in pii.find_pii(docs).collect()}
+    assert [got[i] for i in range(12)] == [[("secret", h)] for h in hexes]
+    assert got[12] == [("id", "ZX-80-QQPL")] and got[18] == [("id", "QK-77-AAXZ")] and got[19] == [("id", "lettersonly")]
+    assert got[20] == got[21] == got[22] == []
+    clean = {r.doc_id: r.text for r in pii.redact(docs, pii.find_pii(docs)).collect()}
+    assert clean[18] == "with badge number [ID] today" and clean[21] == rows[21] and clean[22] is None
+
+
+def test_pii_overlap_and_many(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    many = " ".join(f"a{i}@b.cd 10.0.{i % 200}.1" for i in range(8000))
+    docs = spark.createDataFrame([(1, "x 10.0.0.1@host.org y"), (2, many), (3, "")], "doc_id long, text string").withColumn("_k", F.lit(1)).withColumn("spans", F.lit(2))
+    found = pii.find_pii(docs)
+    began = time.time()
+    out = {r.doc_id: r.text for r in pii.redact(docs, found).collect()}
+    assert out[1] == "x [EMAIL] y" or out[1] == "x [IP] y"
+    assert out[2] == " ".join("[EMAIL] [IP]" for _ in range(8000)) and time.time() - began < 60
+
+
+def test_running(spark):
+    for n in (0, 1, 2, 7, 100, 101):
+        rows = spark.createDataFrame([(list(range(n)),)], "a array<bigint>").select(pii.running(pii.F.col("a"), lambda a, x: a + x).alias("s")).first()
+        assert rows.s == list(itertools.accumulate(range(n)))
+
+
 def test_simhash_components(spark, docs):
     both = docs.select("doc_id", "text").union(spark.read.parquet(f"{SF}/documents.parquet").selectExpr("doc_id + 1000", "text"))
     got = simhash.near_duplicates(both).collect()
@@ -201,24 +234,81 @@ def test_decontaminate_templates(spark):
     assert sorted(r.text for r in kept) == ["clean of it", "novi quid", "plain text of the day"]
 
 
-def test_kneser_ney(spark, docs):
+def plain_kneser_ney(training, texts):
+    """n_tokens, n_known, train_tokens, base_score, score by dictionaries."""
     import math
     from collections import Counter
 
-    got = {r.doc_id: r for r in kneser_ney.scored(docs, docs).collect()}
-    lower = [[*words((r.text or "").lower()), "\0"] for r in docs.collect()]
-    c = Counter(itertools.chain(*lower))
-    n = sum(c.values())
-    assert got[2].train_tokens == n and got[2].n_known == 5 and got[1].n_tokens == 1
-    assert math.isclose(got[2].base_score, sum(math.log10((c[w] + 1) / (n + len(c) + 1)) for w in [*words(TEXTS[2]), "\0"]))
-    assert got[2].score > got[2].base_score
-    model = kneser_ney.train(docs)
-    import numpy as np
-
-    score = kneser_ney.scorer(model)
-    w = np.unique(np.concatenate([kneser_ney.token_hashes(t) for t in TEXTS]))
-    total = 10 ** score(np.repeat(kneser_ney.token_hashes("one")[:1], len(w)), w)[1]
-    assert 0.9 < total.sum() <= 1 + 1e-9  # the unknown word holds the rest
+    tokens = lambda t: ["<s>", "<s>", *words((t or "").encode().lower().decode()), "</s>"]
+    c3, one = Counter(), Counter()
+    for t in map(tokens, training):
+        one.update(t[2:])
+        c3.update(zip(t, t[1:], t[2:]))
+    c2 = Counter()
+    for (_, v, w), c in c3.items():
+        c2[v, w] += c if v == "<s>" else 1
+    c1 = Counter(w for _, w in c2)
+    c3 = {k: c for k, c in c3.items() if k[1] != "<s>"}
+    d3, d2, d1 = (kneser_ney.discounts([sum(c == i for c in x.values()) for i in (1, 2, 3, 4)]) for x in (c3, c2, c1))
+    total, spare = Counter(), Counter()
+    for c_all, d in ((c3, d3), (c2, d2), (c1, d1)):
+        for k, c in c_all.items():
+            total[k[:-1] if c_all is not c1 else ()] += c
+            spare[k[:-1] if c_all is not c1 else ()] += d[min(c, 3)]
+    v_size, n = len(one), sum(one.values())
+
+    def mixed(c, d, context, low):
+        return (max(c - d[min(c, 3)], 0) + spare[context] * low) / total[context] if total[context] else low
+
+    def p(u, v, w):
+        return mixed(c3.get((u, v, w), 0), d3, (u, v), mixed(c2.get((v, w), 0), d2, (v,), mixed(c1.get(w, 0), d1, (), 1 / (v_size + 1))))
+
+    for t in map(tokens, texts):
+        yield len(t) - 2, sum(one[w] > 0 for w in t[2:]), n, sum(math.log10((one[w] + 1) / (n + v_size + 1)) for w in t[2:]), sum(math.log10(p(*x)) for x in zip(t, t[1:], t[2:]))
+
+
+@pytest.mark.parametrize("training", ["all", "some", "none"])
+def test_kneser_ney(spark, docs, training):
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + [(100 + r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").limit(40).collect()]
+    every = spark.createDataFrame(rows, "doc_id long, text string")
+    keep = {"all": "true", "some": "doc_id % 3 > 0", "none": "false"}[training]
+    used = [t for i, t in rows if training == "all" or training == "some" and i % 3]
+    want = {i: x for (i, _), x in zip(rows, plain_kneser_ney(used, [t for _, t in rows]))}
+    got = kneser_ney.scored(every, every.where(keep)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert tuple(r)[1:4] == want[r.doc_id][:3] and all(abs(a - b) <= 1e-8 * max(1, abs(b)) for a, b in zip(tuple(r)[4:], want[r.doc_id][3:]))
+
+
+@pytest.mark.parametrize("bits", [3, 6])
+def test_kneser_ney_small_files(spark, bits, tmp_path):
+    """Frequent words dealt over several files, many flushes, contexts with stored sums: as the same text in one process."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    script = tmp_path / "run.py"
+    script.write_text(f"""
+import random, sys, json
+sys.path.insert(0, {str(Path(__file__).parents[2])!r})
+import numpy as np, pyarrow as pa, pandas as pd
+from tenement.llm import kneser_ney as K
+K.SHARD, K.FLUSH, K.PART, K.MANY, K.BITS = {1 << bits}, 100, 7, 3, 7
+from tests.llm.test_operators import plain_kneser_ney
+draw = random.Random(3)
+texts = [" ".join(draw.choice([f"w{{i}}" for i in range(40)][:draw.choice([2, 5, 40])]) for _ in range(draw.randint(0, 60))) for _ in range(120)]
+from pyspark.sql import SparkSession
+import pyspark.cloudpickle
+pyspark.cloudpickle.register_pickle_by_value(K)
+spark = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").getOrCreate()
+docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+got = {{r.doc_id: tuple(r)[1:] for r in K.scored(docs, docs.where("doc_id % 3 > 0")).collect()}}
+for i, want in enumerate(plain_kneser_ney([t for i, t in enumerate(texts) if i % 3], texts)):
+    assert got[i][:3] == want[:3] and all(abs(a - b) < 1e-8 * max(1, abs(b)) for a, b in zip(got[i][3:], want[3:])), (i, got[i], want)
+print("same")
+""")
+    out = subprocess.run([sys.executable, str(script)], capture_output=True, text=True, timeout=300, check=False)
+    assert "same" in out.stdout, out.stderr[-2000:]
 
 
 def test_classifiers(spark):
