@@ -13,7 +13,8 @@ def clean_number(s: Column) -> Column:
 
 
 def clean_strings(a: Column) -> Column:
-    return F.filter(F.transform(a, lambda s: F.trim(F.replace(s, F.lit(" "), F.lit("")))), lambda s: s != "")
+    """Without no-break spaces and blanks around; empty ones go."""
+    return F.filter(F.transform(a, lambda s: F.regexp_replace(F.replace(s, F.lit("\u00a0"), F.lit("")), r"^\s+|\s+$", "")), lambda s: s != "")
 
 
 def price_range(s: Column) -> tuple[Column, Column]:
@@ -33,22 +34,24 @@ def id_from_url(url: Column) -> Column:
     return F.element_at(F.split(F.split_part(url, F.lit("?"), F.lit(1)), "/"), -1)
 
 
-def floor_number(s: Column, total: Column) -> Column:
-    """``B1`` is negative, roof additions are one above, whole buildings 0."""
-    n = clean_number(F.regexp_replace(F.split_part(s, F.lit("~"), F.lit(1)), "-", "")).cast("int")
-    return F.when(F.contains(s, F.lit("頂樓加蓋")), total + 1).when(F.contains(s, F.lit("整棟")), 0).when(s.startswith("B"), -n).otherwise(n)
-
-
-def feature_code(balcony: Column, bath: Column, bed: Column, living: Column) -> Column:
-    return F.concat(*[F.lpad(c.cast("string"), 2, "0") for c in (balcony, bath, bed, living)])
+def render_human(c: Column, kind: str, letters: bool = True) -> Column:
+    """Text for people: ``-`` for null or empty, T/F or 1/0 for booleans and the texts ``true`` and ``false``, times with their zone."""
+    yes, no = ("T", "F") if letters else ("1", "0")
+    if kind == "boolean":
+        return F.when(c.isNull(), "-").when(c, yes).otherwise(no)
+    if kind == "time":
+        return F.coalesce(F.date_format(c.cast("timestamp"), "yyyy-MM-dd HH:mm:ss z"), F.lit("-"))
+    s = c.cast("string")
+    return F.when(s.isNull() | (s == ""), "-").when(s == "true", yes).when(s == "false", no).otherwise(s)
 
 
-def render_human(c: Column, kind: str) -> Column:
-    """Text for people: ``-`` for null or empty, T/F for booleans."""
-    if kind == "boolean":
-        return F.when(c.isNull(), "-").when(c, "T").otherwise("F")
-    s = F.date_format(c, "yyyy-MM-dd HH:mm:ss") if kind == "time" else c.cast("string")
-    return F.coalesce(F.nullif(s, F.lit("")), F.lit("-"))
+def render_machine(c: Column, kind: str) -> Column:
+    """The typed value: null for null or empty text, booleans for the texts ``true`` and ``false``; times stay."""
+    if kind in ("boolean", "time", "number"):
+        return c
+    if kind == "flag":
+        return F.when(c == "true", True).when(c == "false", False)
+    return F.nullif(c, F.lit(""))
 
 
 def feature_mark(c: Column) -> Column:
@@ -59,19 +62,6 @@ def feature_mark(c: Column) -> Column:
 NUMERALS = "零一二三四五六七八九十"
 
 
-def deposit(s: Column, price: Column) -> tuple[Column, Column]:
-    """months, amount: ``押金X個月`` gives months and amount from the price; a number is the amount; else both null."""
-    word = F.nullif(F.regexp_extract(s, f"押金([{NUMERALS}])個月", 1), F.lit(""))
-    months = (F.instr(F.lit(NUMERALS), word) - 1).cast("double")
-    amount = F.when(word.isNull(), clean_number(s))
-    return F.coalesce(months, F.try_divide(amount, price)), F.coalesce(months * price, amount)
-
-
-def rooms(s: Column) -> Column:
-    """``2房1廳1衛`` as numbers by position."""
-    return F.transform(F.regexp_extract_all(s, F.lit(r"(\d+)\D"), F.lit(1)), lambda x: x.try_cast("int"))
-
-
 def page_count(link: Column) -> Column:
     return F.coalesce(F.regexp_extract(link, r"page=(\d+)", 1).try_cast("long"), F.lit(1).cast("long"))
 

@@ -1,3 +1,3 @@
 
 
-from . import catalog, fields  # noqa: F401
+from . import catalog, fields, listings  # noqa: F401

@@ -191,12 +191,6 @@ def o3_first_n(spark, d):
     return table(spark, d, "customer").withColumn("r", F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey"))).where("r <= 90").select("c_nationkey", "c_custkey")
 
 
-@query("select l_orderkey, l_linenumber from lineitem join part on l_partkey = p_partkey where p_size < 40 and l_quantity <= p_size + 2 and l_extendedprice / l_quantity <= 15000")
-def f3_should_be_house(spark, d):
-    rows = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    return rows.where("p_size < 40 and l_quantity <= p_size + 2 and l_extendedprice / l_quantity <= 15000").select("l_orderkey", "l_linenumber")
-
-
 @query("""select o_custkey, min(o_orderdate) as first, max(o_orderdate) as last from orders group by 1
 having min(o_orderdate) <= timestamp '1996-12-31' and max(o_orderdate) >= timestamp '1996-01-01'""")
 def f1_period_filter(spark, d):
@@ -214,22 +208,11 @@ def p2_json_project(spark, d):
     return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
 
 
-@query("""select o_orderkey, case when o_orderstatus = 'F' then 'T' else 'F' end as closed, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as seen,
-case when length(o_orderpriority) > 0 then '_' || o_orderpriority end as mark from orders""")
-def p3_render(spark, d):
-    return table(spark, d, "orders").select("o_orderkey", N.render_human(F.col("o_orderstatus") == "F", "boolean").alias("closed"), N.render_human(F.col("o_orderdate"), "time").alias("seen"), N.feature_mark(F.col("o_orderpriority")).alias("mark"))
-
-
 @query("select page_id, list_extract(string_split(split_part(url, '?', 1), '/'), -1) as id from pages")
 def n19_id_from_url(spark, d):
     return table(spark, d, "pages").select("page_id", N.id_from_url(F.col("url")).alias("id"))
 
 
-@query("select c_custkey, cast(regexp_replace(c_name, '[^0-9]', '', 'g') as double) as n from customer")
-def n1_clean_number(spark, d):
-    return table(spark, d, "customer").select("c_custkey", N.clean_number(F.regexp_replace("c_name", "[#-]", "")).alias("n"))
-
-
 @query("select c_custkey, c_name from customer where c_nationkey in (1, 3, 5) order by c_custkey desc")
 def f2_region_in(spark, d):
     return table(spark, d, "customer").where(F.col("c_nationkey").isin(1, 3, 5)).select("c_custkey", "c_name").orderBy(F.desc("c_custkey"))

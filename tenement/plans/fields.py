@@ -100,32 +100,6 @@ def k6_release_reconcile(spark, d):
     return o.groupBy("status").agg(rows().alias("n")).join(manifest, "status").select("status", "n", (F.col("n") == F.col("m")).alias("agrees"))
 
 
-@query("select o_orderkey, o_totalprice * 2 as amount, 2.0::double as months from orders where o_orderstatus = 'F' union all select o_orderkey, o_orderkey::double, o_orderkey / o_totalprice from orders where o_orderstatus <> 'F'")
-def n4_deposit(spark, d):
-    text = F.when(F.col("o_orderstatus") == "F", "押金二個月").otherwise(F.concat(F.col("o_orderkey").cast("string"), F.lit("元")))
-    months, amount = N.deposit(text, F.col("o_totalprice"))
-    return table(spark, d, "orders").select("o_orderkey", amount.alias("amount"), months.alias("months"))
-
-
-@query("select p_partkey, case when p_size = 24 then -24 else p_size end as floor from part")
-def n12_floors(spark, d):
-    size = F.col("p_size").cast("string")
-    text = F.when(F.col("p_size") == 24, F.concat(F.lit("B"), size)).otherwise(F.concat(size, F.lit("F")))
-    return table(spark, d, "part").select("p_partkey", N.floor_number(text, F.col("p_size") + 3).alias("floor"))
-
-
-@query("select p_partkey, p_size as bed, 1 as living, p_size % 3 as bath, lpad((p_size % 3)::varchar, 2, '0') || lpad(p_size::varchar, 2, '0') as code from part")
-def n13_rooms(spark, d):
-    r = N.rooms(F.concat(F.col("p_size").cast("string"), F.lit("房1廳"), (F.col("p_size") % 3).cast("string"), F.lit("衛")))
-    got = table(spark, d, "part").withColumn("r", r).select("p_partkey", F.get("r", 0).alias("bed"), F.get("r", 1).alias("living"), F.get("r", 2).alias("bath"))
-    return got.withColumn("code", F.concat(*[F.lpad(F.col(c).cast("string"), 2, "0") for c in ("bath", "bed")]))
-
-
-@query("select page_id, coalesce(try_cast(regexp_extract(url, 'page=([0-9]+)', 1) as bigint), 1) as pages from pages")
-def n20_page_count(spark, d):
-    return table(spark, d, "pages").select("page_id", N.page_count(F.col("url")).alias("pages"))
-
-
 @query("select o_orderkey, year(o_orderdate) as y, month(o_orderdate) as m, day(o_orderdate) as d, 0 as h from orders")
 def n21_timestamp_slot(spark, d):
     return table(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"), F.dayofmonth("o_orderdate").alias("d"), F.lit(0).alias("h"))
@@ -167,12 +141,6 @@ def p8_facility_split(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.array_join(has, "/").alias("supported"), F.array_join(hasnt, "/").alias("unsupported"))
 
 
-@query("select p_partkey, list_contains(string_split(p_name, ' '), 'cold') as cold, replace(p_name, ' ', '/') as joined from part")
-def p9_tenant_membership(spark, d):
-    words = F.split("p_name", " ")
-    return table(spark, d, "part").select("p_partkey", F.array_contains(words, "cold").alias("cold"), F.array_join(words, "/").alias("joined"))
-
-
 @query("select o_orderstatus, count(*) as n, max(late) as late from (select o_orderstatus, null as late from orders where o_orderkey % 2 = 0 union all select o_orderstatus, o_orderkey from orders where o_orderkey % 2 = 1) group by 1")
 def u1_union_months(spark, d):
     o = table(spark, d, "orders")
@@ -185,3 +153,9 @@ def w3_duplicate_rank(spark, d):
     e = table(spark, d, "events").select("event_id", F.to_date("ts").alias("day"), F.get_json_object("props", "$.k").alias("k"))
     w = Window.partitionBy("day", "k")
     return e.withColumn("r", F.row_number().over(w.orderBy("event_id"))).withColumn("n", rows().over(w)).where("r = 1 and n > 1").select("event_id", "k")
+
+
+@query("select vec_id, embedding[1]::double as x, embedding[2]::double as y from embeddings")
+def p5_point_xy(spark, d):
+    point = F.struct(F.get("embedding", 0).cast("double").alias("x"), F.get("embedding", 1).cast("double").alias("y"))
+    return table(spark, d, "embeddings").select("vec_id", point.alias("p")).select("vec_id", "p.x", "p.y")
