@@ -192,7 +192,7 @@ def normalize_listings(raw: DataFrame, regions: DataFrame, strict: bool = True)
     for key, out in (("_top", "top_region"), ("_sub", "sub_region")):
         df = df.join(names.withColumnsRenamed({"name": f"{out}_name", "code": f"{out}_code"}), c(key) == c(f"{out}_name"), "left")
         df = df.withColumn(out, F.when(c(key).isNotNull(), F.coalesce(f"{out}_code", F.lit(UNKNOWN))))
-    df = df.withColumn("price", price).withColumn("min_monthly_price", least).withColumn("property_code", property_type(F.get("breadcrumb", 2), c("property_type")))
+    df = df.withColumns({"price": price, "min_monthly_price": least, "property_code": property_type(F.get("breadcrumb", 2), c("property_type"))})
     df = df.withColumn("found", c("deal_status") != NOT_FOUND).withColumn("home", c("found") & (F.coalesce(c("property_code"), F.lit(UNKNOWN)) != PROPERTY.index("車位")))
     df = df.withColumn("floor_ping", clean_number(c("floor_ping")))
     parts = {

@@ -13,10 +13,17 @@ def merge_mode(df: DataFrame, key: Sequence[str], columns: Sequence[str]) -> Dat
     return df.groupBy(*key).agg(*[F.mode(c, True).alias(c) for c in columns])
 
 
-def dedup_listings(df: DataFrame, keys: Sequence[str], id_col: str, modes: Sequence[str] = (), maxima: Sequence[str] = ()) -> DataFrame:
-    """One row per set of equal attributes, with the number of rows and the id range; null attributes group together."""
-    return df.groupBy(*keys).agg(F.count(id_col).alias("n_dup"), F.max(id_col).alias("max_id"), F.min(id_col).alias("min_id"),
-                                 *[F.mode(c, True).alias(f"mode_{c}") for c in modes], *[F.max(c).alias(f"max_{c}") for c in maxima])
+def dedup_listings(df: DataFrame, keys: Sequence[str], id_col: str, modes: Sequence[str] = (), maxima: Sequence[str] = (), minima: Sequence[str] = (), ordered: bool = False) -> DataFrame:
+    """One row per set of equal attributes, with the number of rows and the id range; null attributes group together. ``ordered`` lists the
+    most repeated first, then by id."""
+    out = df.groupBy(*keys).agg(F.count(id_col).alias("n_dup"), F.max(id_col).alias("max_id"), F.min(id_col).alias("min_id"), *[F.mode(c, True).alias(f"mode_{c}") for c in modes],
+                                *[F.max(c).alias(f"max_{c}") for c in maxima], *[F.min(c).alias(f"min_{c}") for c in minima])
+    return out.orderBy(F.desc("n_dup"), F.desc("max_id")) if ordered else out
+
+
+def extent(x: str, y: str) -> list:
+    """Bounding box of points as four aggregates."""
+    return [f(c).alias(f"{n}_{c}") for c in (x, y) for n, f in (("min", F.min), ("max", F.max))]
 
 
 def count_by(df: DataFrame, *keys: str) -> DataFrame:
@@ -30,10 +37,32 @@ def audit_static(df: DataFrame, key: str, attributes: Sequence[str]) -> DataFram
 
 
 def audit_small_diff(df: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
-    """Fields whose largest value per key is over twice the least, not negative one."""
-    bounds = df.groupBy(key).agg(*[F.struct(F.min(c).cast("double").alias("low"), F.max(c).cast("double").alias("high")).alias(c) for c in fields])
-    each = bounds.select(key, F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("b")) for c in fields])).alias("f"))
-    return each.select(key, "f.field", "f.b.low", "f.b.high").where("high / 2 > low and low >= 0")
+    """Keys of which some field's largest value is over twice the least, not negative one: each once, with its fields."""
+    bounds = df.groupBy(key).agg(*[F.struct(F.lit(c).alias("field"), F.min(c).cast("double").alias("low"), F.max(c).cast("double").alias("high")).alias(c) for c in fields])
+    wide = F.filter(F.array(*fields), lambda b: (b["high"] / 2 > b["low"]) & (b["low"] >= 0))
+    return bounds.select(key, wide.alias("fields")).where(F.size("fields") > 0)
+
+
+def daily_stats(history: DataFrame, requests: DataFrame, items: DataFrame, vendor: str = "vendor", status: str = "status", kind: str = "kind", listing: str = "list") -> DataFrame:
+    """Per vendor of one slot: remaining list and detail requests, crawled, closed and dealt rows, new items, and what was expected. Missing is 0.
+
+    Each table is summed up on its own, so what is shuffled and united are rows per vendor.
+    """
+    parts = [
+        requests.groupBy(vendor).agg(F.count_if(F.col(kind) == listing).alias("n_list_fail"), F.count_if(F.col(kind) != listing).alias("n_fail")),
+        history.groupBy(vendor).agg(F.count_if(F.col(status).isin(0, 1, 2)).alias("n_crawled"), F.count_if(F.col(status) == 1).alias("n_closed"), F.count_if(F.col(status) == 2).alias("n_dealt")),
+        items.groupBy(vendor).agg(F.count(F.lit(1)).alias("n_new_item")),
+    ]
+    every = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+    names = ("n_list_fail", "n_fail", "n_crawled", "n_closed", "n_dealt", "n_new_item")
+    out = every.groupBy(vendor).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+    return out.withColumn("n_expected", F.col("n_crawled") + F.col("n_fail"))
+
+
+def failure_alerts(stats: DataFrame, vendor: str = "vendor") -> DataFrame:
+    """Vendors with failed requests, with the message to send."""
+    message = F.format_string("%s get failed list/detail (%d/%d) requests", vendor, "n_list_fail", "n_fail")
+    return stats.where("n_fail > 0 or n_list_fail > 0").select(vendor, message.alias("message"))
 
 
 def export_manifest(df: DataFrame, key: str) -> DataFrame:

@@ -11,21 +11,35 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Field:
-    """A published column: ``aggregate`` makes it an aggregate of a grouped export, ``fn`` renders the value."""
+    """A published column: ``key`` takes a value of a JSON text or map, ``enum`` adds ``<label>_coding`` with the name of the code, ``aggregate`` makes it an
+    aggregate of a grouped export, ``fn`` renders the value, ``children`` are the parts of a struct as columns ``<label>_<child>``."""
 
     column: str
     label: str
     aggregate: Callable[[str], Column] | None = None
     fn: Callable[[Column], Column] | None = None
+    key: str | None = None
+    enum: Sequence[str] | None = None
+    children: Sequence[str] = ()
+
+
+def columns(df: DataFrame, f: Field) -> list[Column]:
+    c = F.col(f.column)
+    if f.key:
+        c = F.get_json_object(c, f"$.{f.key}") if df.schema[f.column].dataType.simpleString() == "string" else c[f.key]
+    if f.children:
+        return [c[child].alias(f"{f.label}_{child}") for child in f.children]
+    out = [(f.fn(c) if f.fn else c).alias(f.label)]
+    return out if f.enum is None else [*out, F.get(F.array(*map(F.lit, f.enum)), c).alias(f"{f.label}_coding")]
 
 
 def project(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
-    return df.select(*[(f.fn(F.col(f.column)) if f.fn else F.col(f.column)).alias(f.label) for f in fields])
+    return df.select(*[c for f in fields for c in columns(df, f)])
 
 
 def grouped(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """Fields without an aggregate are the keys."""
     keys = [f for f in fields if f.aggregate is None]
-    out = df.groupBy(*[f.column for f in keys]).agg(*[f.aggregate(f.column).alias(f.label) for f in fields if f.aggregate])
-    named = [Field(f.column if f.aggregate is None else f.label, f.label, fn=f.fn) for f in fields]
-    return project(out, named)
+    made = df.select("*", *[c.alias(f"_{f.label}") for f in keys for c in columns(df, Field(f.column, f.label, key=f.key))])
+    out = made.groupBy(*[f"_{f.label}" for f in keys]).agg(*[f.aggregate(f.column).alias(f"_{f.label}") for f in fields if f.aggregate])
+    return project(out, [Field(f"_{f.label}", f.label, fn=f.fn, enum=f.enum) for f in fields])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,3 +23,9 @@ def release_house(p: str = "property_type", per_ping: str = "per_ping_price", to
 def overlaps(first: str, last: str, start, end) -> Column:
     """Lifetime [first, last] meets the period."""
     return (F.col(first) <= end) & (F.col(last) >= start)
+
+
+def period(start: date, end: date, created: str = "created", crawled: str = "crawled_at", told: str = "additional_fee") -> Column:
+    """Listings with details whose life meets the days from ``start`` to ``end``, both included, in either order."""
+    start, end = sorted((start, end))
+    return F.col(told).isNotNull() & overlaps(created, crawled, F.lit(start), F.lit(end + timedelta(days=1)))

@@ -24,6 +24,24 @@ def fold_patches(items: DataFrame, key: str, seq: str, status: str, fields: Sequ
     return items.groupBy(key).agg(folded.alias(status), *map(last, fields), F.max(seq).alias(seq))
 
 
+def upsert_patches(base: DataFrame, items: DataFrame, key: Sequence[str], seq: str, status: str, fields: Sequence[str], present: str | None = None, keep_deal: bool = True) -> DataFrame:
+    """``base`` (one row per key) with the items of a batch: new keys come in, fields that an item carries replace what is held (a carried null too),
+    in the order of ``seq``. With ``keep_deal`` a NOT_FOUND after a DEAL leaves the DEAL, as in the table of latest states; history takes it.
+
+    One shuffle by key: items fold to one row per key first, with partial aggregation, then meet the base in a full outer join.
+    """
+    def last(c: str):
+        carried = F.array_contains(present, c) if present else F.lit(True)
+        return F.max_by(F.struct(F.col(c).alias("value")), F.when(carried, F.col(seq))).alias(f"_new_{c}")
+
+    real = F.max_by(status, F.when(F.col(status) != NOT_FOUND, F.col(seq))).alias("_real")
+    new = items.groupBy(*key).agg(F.max_by(status, seq).alias("_last"), real, *map(last, fields), F.max(seq).alias("_seq"))
+    both = base.select(*key, status, *fields, seq).join(new, list(key), "full_outer")
+    kept = (F.col("_last") == NOT_FOUND) & (F.coalesce("_real", status) == DEAL) & F.lit(keep_deal)
+    values = [F.when(F.col(f"_new_{c}").isNotNull(), F.col(f"_new_{c}.value")).otherwise(F.col(c)).alias(c) for c in fields]
+    return both.select(*key, F.when(kept, DEAL).otherwise(F.coalesce("_last", status)).alias(status), *values, F.coalesce("_seq", seq).alias(seq))
+
+
 def update_join(base: DataFrame, derived: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Write derived columns back where there is a derived value."""
     d = derived.select(key, *[F.col(c).alias(f"_{c}") for c in columns])

@@ -34,27 +34,6 @@ DAILY = """h as (select user_id, day, arg_max(status, (ts, event_id)) as status
  case event_type when 'purchase' then 2 when 'error' then 1 else 0 end as status from events) group by all)"""
 
 
-@query("""with c as (select l_partkey, l_returnflag v, count(*) n from lineitem where l_returnflag is not null group by all),
-d as (select l_partkey, l_linenumber v, count(*) n from lineitem where l_linenumber is not null group by all)
-select l_partkey, (select v from c where c.l_partkey = k.l_partkey order by n desc, v limit 1) as l_returnflag,
-(select v from d where d.l_partkey = k.l_partkey order by n desc, v limit 1) as l_linenumber from (select distinct l_partkey from lineitem) k""")
-def a1_merge_months_mode(spark, d):
-    return A.merge_mode(table(spark, d, "lineitem"), ["l_partkey"], ["l_returnflag", "l_linenumber"])
-
-
-@query("""select p_brand, p_type, p_size, l_returnflag, l_quantity, count(l_orderkey * 10 + l_linenumber) as n_dup, max(l_orderkey * 10 + l_linenumber) as max_id,
-min(l_orderkey * 10 + l_linenumber) as min_id, max(l_shipdate) as max_l_shipdate from lineitem join part on l_partkey = p_partkey
-where p_size < 45 and l_extendedprice / l_quantity < 15000 group by all""")
-def a2_dedup_listings(spark, d):
-    rows = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).withColumn("id", F.expr("l_orderkey * 10 + l_linenumber"))
-    return A.dedup_listings(rows.where("p_size < 45 and l_extendedprice / l_quantity < 15000"), ["p_brand", "p_type", "p_size", "l_returnflag", "l_quantity"], "id", maxima=["l_shipdate"])
-
-
-@query("select s_nationkey, min(s_acctbal) as low, max(s_acctbal) as high, max(s_name) as author from supplier group by s_nationkey")
-def a3_extent(spark, d):
-    return table(spark, d, "supplier").groupBy("s_nationkey").agg(F.min("s_acctbal").alias("low"), F.max("s_acctbal").alias("high"), F.max("s_name").alias("author"))
-
-
 @query("select event_type, count(*) as n from events group by event_type")
 def a4_count_by_vendor(spark, d):
     return A.count_by(table(spark, d, "events"), "event_type")
@@ -66,26 +45,6 @@ def a5_audit_static_fields(spark, d):
     return A.audit_static(table(spark, d, "orders"), "o_custkey", ["o_orderstatus", "o_orderpriority"])
 
 
-@query("""select l_partkey, field, low, high from (select l_partkey, 'l_quantity' field, min(l_quantity) low, max(l_quantity) high from lineitem group by 1
-union all select l_partkey, 'l_extendedprice', min(l_extendedprice), max(l_extendedprice) from lineitem group by 1) where high / 2 > low and low >= 0""")
-def a6_audit_small_diff(spark, d):
-    return A.audit_small_diff(table(spark, d, "lineitem"), "l_partkey", ["l_quantity", "l_extendedprice"])
-
-
-@query("""select cast(ts as date) as day, count_if(event_type = 'error') as n_closed, count_if(event_type = 'purchase') as n_dealt, count(*) as n_crawled,
-count_if(event_type = 'error') > 0 as alert from events group by 1""")
-def a7_daily_stats(spark, d):
-    kind = F.col("event_type")
-    return table(spark, d, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count_if(kind == "error").alias("n_closed"), F.count_if(kind == "purchase").alias("n_dealt"),
-                                                                               F.count(F.lit(1)).alias("n_crawled"), (F.count_if(kind == "error") > 0).alias("alert"))
-
-
-@query("select year(o_orderdate) as y, month(o_orderdate) as m, count(*) as n, count(distinct o_custkey) * 1.0::double / count(*) as ratio from orders group by all")
-def a9_monthly_ratio(spark, d):
-    return table(spark, d, "orders").groupBy(F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m")).agg(
-        F.count(F.lit(1)).alias("n"), (F.count_distinct("o_custkey") / F.count(F.lit(1))).alias("ratio"))
-
-
 @query("select month(ts) as m, min(case when event_type = 'view' then event_id end) as low_old, max(case when event_type <> 'view' then event_id end) as high_new from events group by 1")
 def a12_id_range(spark, d):
     return table(spark, d, "events").groupBy(F.month("ts").alias("m")).agg(F.min(F.when(F.col("event_type") == "view", F.col("event_id"))).alias("low_old"),
@@ -100,11 +59,6 @@ def a14_daily_flow(spark, d):
     return ends.groupBy("e.day").agg(F.sum("e.n").alias("n_new"), F.sum("e.c").alias("n_last")).withColumn("sunday", F.dayofweek("day") == 1)
 
 
-@query("select source, 1 - count(distinct text) * 1.0::double / count(*) as dup_share from documents group by source")
-def a15_dup_rate(spark, d):
-    return table(spark, d, "documents").groupBy("source").agg((1 - F.count_distinct("text") / F.count(F.lit(1))).alias("dup_share"))
-
-
 @query("select coalesce(event_type, '_total') as event_type, count(*) as n from events group by rollup(event_type)")
 def k3_export_manifest(spark, d):
     return A.export_manifest(table(spark, d, "events"), "event_type")
@@ -117,14 +71,6 @@ def j1_dim_lookup(spark, d):
     return qty.join(s, F.col("l_suppkey") == F.col("s_suppkey")).groupBy("n_name", "s_name").agg(F.sum("qty").alias("qty"))
 
 
-@query("""with e as (select user_id, event_id, value, case event_type when 'purchase' then 2 when 'error' then 1 else 0 end s from events)
-select user_id, case when arg_max(s, event_id) = 1 and arg_max(s, event_id) filter (where s <> 1) = 2 then 2 else arg_max(s, event_id) end as status,
-arg_max(value, event_id) as value, max(event_id) as event_id from e group by user_id""")
-def j2_patch_upsert(spark, d):
-    s = F.when(F.col("event_type") == "purchase", 2).when(F.col("event_type") == "error", 1).otherwise(0)
-    return U.fold_patches(table(spark, d, "events").select("user_id", "event_id", "value", s.alias("status")), "user_id", "event_id", "status", ["value"])
-
-
 @query("select conv_id, role, arg_max(text, turn) as text, max(turn) as turn from conversations group by conv_id, role")
 def j3_raw_upsert(spark, d):
     return table(spark, d, "conversations").groupBy("conv_id", "role").agg(F.max_by("text", "turn").alias("text"), F.max("turn").alias("turn"))
@@ -136,12 +82,6 @@ def j4_update_join(spark, d):
     return U.update_join(table(spark, d, "customer").select("c_custkey", "c_acctbal"), best, "c_custkey", ["c_acctbal"])
 
 
-@query("select c_custkey, max(o_orderdate) as crawled_at from customer join orders on c_custkey = o_custkey group by 1")
-def j5_backfill(spark, d):
-    last = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderdate").alias("crawled_at"))
-    return table(spark, d, "customer").select("c_custkey").join(last, "c_custkey")
-
-
 @query("""select event_id from events where event_id not in (select min(event_id) from events group by cast(ts as date), json_extract_string(props, '$.k') having count(*) > 1)""")
 def j6_delete_duplicates(spark, d):
     e = table(spark, d, "events").select("event_id", F.to_date("ts").alias("day"), F.get_json_object("props", "$.k").alias("k"))
@@ -191,13 +131,6 @@ def o3_first_n(spark, d):
     return table(spark, d, "customer").withColumn("r", F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey"))).where("r <= 90").select("c_nationkey", "c_custkey")
 
 
-@query("""select o_custkey, min(o_orderdate) as first, max(o_orderdate) as last from orders group by 1
-having min(o_orderdate) <= timestamp '1996-12-31' and max(o_orderdate) >= timestamp '1996-01-01'""")
-def f1_period_filter(spark, d):
-    life = table(spark, d, "orders").groupBy("o_custkey").agg(F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last"))
-    return life.where(overlaps("first", "last", F.expr("timestamp_ntz '1996-01-01'"), F.expr("timestamp_ntz '1996-12-31'")))
-
-
 @query("select o_custkey, o_orderkey from orders where o_orderstatus = 'O'")
 def f10_worklist(spark, d):
     return table(spark, d, "orders").where("o_orderstatus = 'O'").select("o_custkey", "o_orderkey")

@@ -15,12 +15,6 @@ def rows():
     return F.count(F.lit(1))
 
 
-@query("""select day, 'failed ' || n || ' of ' || total as message from (select cast(ts as date) as day, count_if(event_type = 'error') as n, count(*) as total from events group by 1) where n > 0""")
-def a8_failure_alerts(spark, d):
-    s = table(spark, d, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count_if(F.col("event_type") == "error").alias("n"), rows().alias("total"))
-    return s.where("n > 0").select("day", F.format_string("failed %d of %d", "n", "total").alias("message"))
-
-
 @query("""with m as (select user_id % 7 as part, count(*) as a, count_if(event_type = 'view') as b, count(distinct cast(ts as date)) as d from events group by 1),
 x as (select max(b::double / a) filter (where part = 0) as base from m) select part, d * base / (b::double / a) as expected, (d * base / (b::double / a) - d) / (d * base / (b::double / a)) as loss from m, x""")
 def a11_loss_estimate(spark, d):
@@ -59,22 +53,6 @@ def f9_new_format_rows(spark, d):
     return table(spark, d, "documents").select("doc_id", "n_chars").join(table(spark, d, "labels"), "doc_id", "left").where("toxic is null and n_chars is not null").select("doc_id")
 
 
-@query("select page_id, nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') as title, nullif(regexp_extract(html, '<html lang=\"([a-z]+)\"', 1), '') as lang from pages")
-def h1_extract_fields(spark, d):
-    return table(spark, d, "pages").select("page_id", F.nullif(F.regexp_extract("html", "<title>([^<]*)</title>", 1), F.lit("")).alias("title"), F.nullif(F.regexp_extract("html", '<html lang="([a-z]+)"', 1), F.lit("")).alias("lang"))
-
-
-@query("""select page_id, pos, links[pos] as link from (select page_id, links, unnest(range(1, len(links) + 1)) as pos from (select page_id, regexp_extract_all(html, '<a href="([^"]+)"', 1) as links from pages))""")
-def h2_list_cards(spark, d):
-    cards = table(spark, d, "pages").select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit('<a href="([^"]+)"'), F.lit(1))).alias("pos", "link"))
-    return cards.select("page_id", (F.col("pos") + 1).cast("long").alias("pos"), "link")
-
-
-@query("select page_id, nullif(regexp_extract(url, '[?&]utm_source=([^&#]*)', 1), '') as q from pages")
-def h5_map_coordinate(spark, d):
-    return table(spark, d, "pages").select("page_id", F.nullif(F.regexp_extract("url", "[?&]utm_source=([^&#]*)", 1), F.lit("")).alias("q"))
-
-
 @query("select n_nationkey, coalesce(r_name, n_name) as region from nation left join (select * from region where r_regionkey < 3) on n_regionkey = r_regionkey")
 def j8_region_fallback(spark, d):
     r = table(spark, d, "region").where("r_regionkey < 3")
@@ -87,19 +65,6 @@ def j9_enum_or_unknown(spark, d):
     return table(spark, d, "part").join(F.broadcast(codes), "p_type", "left").select("p_partkey", F.coalesce("code", F.lit(65535)).alias("code"))
 
 
-@query("""select k, archived, kept from (select cast(ts as date) as k, count_if(ts < timestamp '2024-01-11') as archived, count_if(ts >= timestamp '2024-01-11') as kept from events group by 1)""")
-def k4_history_archive(spark, d):
-    old = F.col("ts") < F.lit("2024-01-11").cast("timestamp_ntz")
-    return table(spark, d, "events").groupBy(F.to_date("ts").alias("k")).agg(F.count_if(old).alias("archived"), F.count_if(~old).alias("kept"))
-
-
-@query("select l.status, l.n, l.n = r.n as agrees from (select o_orderstatus as status, count(*) as n from orders group by 1) l join (select o_orderstatus as status, count(o_orderkey) as n from orders group by rollup(o_orderstatus)) r on l.status = r.status")
-def k6_release_reconcile(spark, d):
-    o = table(spark, d, "orders").withColumnRenamed("o_orderstatus", "status")
-    manifest = o.rollup("status").agg(F.count("o_orderkey").alias("m")).where("status is not null")
-    return o.groupBy("status").agg(rows().alias("n")).join(manifest, "status").select("status", "n", (F.col("n") == F.col("m")).alias("agrees"))
-
-
 @query("select o_orderkey, year(o_orderdate) as y, month(o_orderdate) as m, day(o_orderdate) as d, 0 as h from orders")
 def n21_timestamp_slot(spark, d):
     return table(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"), F.dayofmonth("o_orderdate").alias("d"), F.lit(0).alias("h"))
@@ -128,12 +93,6 @@ def p1_enum_decode(spark, d):
     return table(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"), F.coalesce(names[F.col("o_orderstatus")], F.lit("partial")).alias("status_coding"))
 
 
-@query("""select p_brand as brand, p_size as size, count(p_partkey) as n_dup, max(p_retailprice) as price from part group by all""")
-def p7_field_spec(spark, d):
-    spec = [Field("p_brand", "brand"), Field("p_size", "size"), Field("p_partkey", "n_dup", F.count), Field("p_retailprice", "price", F.max)]
-    return grouped(table(spark, d, "part"), spec)
-
-
 @query("""select l_orderkey, l_linenumber, concat_ws('/', case when l_discount > 0.05 then 'cheap' end, case when l_tax > 0.04 then 'taxed' end) as supported,
 concat_ws('/', case when l_discount <= 0.05 then 'cheap' end, case when l_tax <= 0.04 then 'taxed' end) as unsupported from lineitem""")
 def p8_facility_split(spark, d):

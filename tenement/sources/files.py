@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+import tempfile
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -10,15 +15,51 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def read_csvs(spark: SparkSession, glob: str, schema: StructType) -> DataFrame:
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below the one that the cluster shares (spark.checkpoint.dir); a temporary one on a local master only."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return f"{base or tempfile.mkdtemp(prefix='spark-')}/{name}-{uuid.uuid4().hex}"
+
+
+def read_csvs(spark: SparkSession, glob: str, schema: StructType | str) -> DataFrame:
     """Many monthly files as one table; ``-`` is null."""
     return spark.read.schema(schema).csv(glob, header=True, nullValue="-")
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.csv(path, header=True, nullValue="-")
+def write_csv(df: DataFrame, path: str, order: list[Column] | None = None) -> None:
+    """One header per file, null as ``-``. ``order`` sorts the whole export by range."""
+    (df.orderBy(*order) if order else df).write.csv(path, header=True, nullValue="-", emptyValue="-", escape='"')
 
 
 def write_json_by(df: DataFrame, path: str, region: str) -> None:
-    """JSON lines, one folder per region; unknown regions under ``default``."""
-    df.fillna("default", [region]).write.partitionBy(region).json(path)
+    """JSON lines with keys in order, one folder per region; unknown regions under ``default``."""
+    df.select(*sorted(df.columns)).fillna("default", [region]).write.partitionBy(region).json(path)
+
+
+def read_codes(spark: SparkSession, path: str) -> DataFrame:
+    """kind, name, code of a JSON document that maps each kind to pairs of name and code."""
+    doc = spark.read.schema("value string").text(path, wholetext=True)
+    kinds = F.from_json("value", "map<string,array<array<string>>>")
+    pairs = doc.select(F.explode(kinds).alias("kind", "pairs")).select("kind", F.explode("pairs").alias("p"))
+    return pairs.select("kind", F.get("p", 0).alias("name"), F.get("p", 1).try_cast("int").alias("code"))
+
+
+def landed(df: DataFrame, raw: str) -> DataFrame:
+    """Rows of a landing table that hold raw text, to be read again."""
+    return df.where(F.col(raw).isNotNull())
+
+
+def archive(df: DataFrame, ts: str, cutoff: Column, path: str, hot: str) -> None:
+    """Rows from before the day after ``cutoff`` go to ``path`` as JSON by year, month and day; the others become the new hot table."""
+    old = F.col(ts) < F.date_add(cutoff, 1)
+    dated = df.where(old).withColumns({"y": F.date_format(ts, "yyyy"), "m": F.date_format(ts, "MM"), "d": F.date_format(ts, "dd")})
+    dated.repartition("y", "m", "d").write.mode("append").partitionBy("y", "m", "d").json(path)
+    df.where(~old | F.col(ts).isNull()).write.parquet(hot)
+
+
+def release_files(spark: SparkSession, path: str) -> DataFrame:
+    """file, bytes, rows of a release, without its header lines."""
+    lines = spark.read.text(path).select("value", "_metadata.file_name", "_metadata.file_size")
+    return lines.groupBy(F.col("file_name").alias("file"), F.col("file_size").alias("bytes")).agg((F.count(F.lit(1)) - 1).alias("rows"))
