@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, table, workers
@@ -38,22 +38,38 @@ def fingerprints(docs: DataFrame, k: int = 3) -> DataFrame:
     return docs.select("doc_id", fp("text").alias("fp"))
 
 
-def anchor_links(points: DataFrame, radius: int = 1) -> DataFrame:
-    """Links (u > v) that connect all distinct fingerprints at 2 * radius or fewer differing bits (radius 0 or 1).
+def anchors(fp: Column) -> Column:
+    """The codewords within 2 bits of a fingerprint, 33 or 2 of them.
 
-    Anchors are all 64-bit words, the covering code of covering radius 0, with the threshold shared by both ends: two words
-    differ in at most 2 bits exactly if some anchor lies within 1 bit of both. So every fingerprint goes to its 65 anchors.
-    All members of an anchor are within the threshold of each other and there are at most 65 of them, whatever the data:
-    a star to the smallest one keeps the connectivity without making pairs.
+    The code is the Hamming code of length 63, whose words cover all others within 1 bit, with a free last bit. Place i (1 to 63) is bit i - 1; the syndrome s is
+    the XOR of the places of all set bits. A word of syndrome s comes to the code by flipping place s, or places i and i XOR s.
     """
-    if radius == 0:
-        return points.select(F.col("fp").alias("u"), F.col("fp").alias("v")).limit(0)
-    flips = F.array(F.lit(0).cast("long"), *[F.lit(1 << b if b < 63 else -(1 << 63)) for b in range(64)])
-    # Dealt out before the 65-fold growth, which the size of the points does not show.
+    place = lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), i - 1)
+    masks = [sum(1 << (i - 1) for i in range(1, 64) if i >> k & 1) for k in range(6)]
+    syndrome = sum(((F.bit_count(fp.bitwiseAND(F.lit(m))) % 2) * (1 << k) for k, m in enumerate(masks)), F.lit(0))
+    free = fp.bitwiseXOR(F.lit(-(1 << 63)))
+
+    def coded(s: Column) -> Column:
+        pairs = F.filter(F.sequence(F.lit(1), F.lit(63)), lambda i: i < i.bitwiseXOR(s))
+        near = F.array(fp.bitwiseXOR(place(s)), free.bitwiseXOR(place(s)))
+        return F.when(s == 0, F.array(fp, free)).otherwise(F.concat(near, F.transform(pairs, lambda i: fp.bitwiseXOR(place(i)).bitwiseXOR(place(i.bitwiseXOR(s))))))
+
+    return F.get(F.transform(F.array(syndrome.cast("int")), coded), 0)
+
+
+def anchor_links(points: DataFrame) -> DataFrame:
+    """Links (u > v) between all distinct fingerprints that differ in 2 or fewer bits.
+
+    Two such words have one between them, within 1 bit of both, and the code covers that one within 1 bit: so they share a codeword within 2 bits of
+    both, the covering radius and each end's half of the threshold. Every fingerprint goes to these anchors, and per anchor all members are
+    compared. An anchor has at most 2,081 members, the words within 2 bits of it, whatever the data.
+    """
+    # Dealt out before the growth, which the size of the points does not show.
     points = points.repartition(workers(points.sparkSession), "fp")
-    sent = points.select("fp", F.explode(flips).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("anchor"))
-    met = sent.groupBy("anchor").agg(F.collect_list("fp").alias("m")).where(F.size("m") > 1).select(F.array_min("m").alias("v"), "m")
-    return met.select(F.explode("m").alias("u"), "v").where("u > v").distinct()
+    sent = points.select("fp", F.explode(anchors(F.col("fp"))).alias("anchor"))
+    met = sent.groupBy("anchor").agg(F.collect_list("fp").alias("m")).where(F.size("m") > 1)
+    links = met.select(F.explode("m").alias("u"), "m").select("u", F.explode(F.filter("m", lambda v: (v < F.col("u")) & (F.bit_count(v.bitwiseXOR(F.col("u"))) <= 2))).alias("v"))
+    return links.distinct()
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:

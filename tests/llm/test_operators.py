@@ -99,6 +99,24 @@ def test_anchor_chain(spark):
     assert got[15] == got[3] == got[0] == got[1 << 40] != got[-1] == got[-4]
 
 
+def test_anchors_link_every_pair(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    draw = random.Random(4)
+    base = [draw.getrandbits(64) for _ in range(6)] + [0, (1 << 64) - 1]
+    points = {b ^ sum(1 << k for k in draw.sample(range(64), draw.randint(0, 3))) for b in base for _ in range(40)}
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    rows = spark.createDataFrame([(signed(x),) for x in points], "fp long")
+    got = {(r.u, r.v) for r in simhash.anchor_links(rows).collect()}
+    want = {(max(a, b), min(a, b)) for a, b in itertools.combinations(map(signed, points), 2) if ((a ^ b) & (1 << 64) - 1).bit_count() <= 2}
+    assert got == want and len(want) > 100
+    assert set(rows.select(F.size(simhash.anchors(F.col("fp"))).alias("n")).distinct().toPandas().n) <= {2, 33}
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert simhash.near_duplicates(empty).count() == 0
+
+
 def test_pipeline_near_dedup(spark):
     import corpus_pipeline
 
