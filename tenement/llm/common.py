@@ -38,6 +38,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder by the file system it is in."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(conf).delete(target, True)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """The names, with underscores before them until no column of df has them."""
     taken, pad = {c.lower() for c in df.columns}, "_"
