@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, table
+from .common import ascii_lower, cut, table
 
 # Base phrases and their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -18,20 +18,26 @@ TEMPLATES = {
     "mit": ["released under the mit license", "permission is hereby granted free of charge to any person obtaining a copy of this software"],
 }
 K = 2
+FEW = 500_000
 
 
 def license_words(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), F.lit(0))
 
 
-def template_grams(spark: SparkSession, base: dict = BASE, templates: dict = TEMPLATES) -> DataFrame:
-    """Rows tid, label, is_base, n_grams, t_at, a, b: every word pair of every template. Its size is fixed by the lists."""
-    lines = [(p, label, True) for p, label in base.items()] + [(t, label, False) for label, ts in templates.items() for t in ts]
-    rows = [(tid, label, is_base, len(w := line.split()) - K + 1, i, w[i], w[i + 1]) for tid, (line, label, is_base) in enumerate(lines) for i in range(len(line.split()) - K + 1)]
-    return spark.createDataFrame(rows, "tid int, label string, is_base boolean, n_grams int, t_at int, a string, b string").withColumn("h", F.xxhash64("a", "b"))
+def template_grams(spark: SparkSession, base: dict = BASE, templates: dict | DataFrame = TEMPLATES) -> DataFrame:
+    """Rows tid, label, is_base, n_grams, t_at, a, b, h: every word pair of every template. ``templates`` maps labels to lines, or is a table of
+    label and text, such as whole licences of any number."""
+    lines = spark.createDataFrame([(p, label, True) for p, label in base.items()], "text string, label string, is_base boolean")
+    if isinstance(templates, dict):
+        templates = spark.createDataFrame([(t, label) for label, ts in templates.items() for t in ts], "text string, label string")
+    rows = lines.unionByName(templates.select("text", "label", F.lit(False).alias("is_base"))).where("label is not null")
+    rows = rows.select("label", "is_base", F.xxhash64("text", "label", "is_base").alias("tid"), license_words(F.col("text")).alias("w")).where(F.size("w") >= K).dropDuplicates(["tid"])
+    pairs = F.posexplode(F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w")), lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("t_at", "p")
+    return rows.select("tid", "label", "is_base", (F.size("w") - K + 1).alias("n_grams"), pairs).select("tid", "label", "is_base", "n_grams", "t_at", "p.a", "p.b", F.xxhash64("p.a", "p.b").alias("h"))
 
 
-def license_spans(docs: DataFrame, base: dict = BASE, templates: dict = TEMPLATES, coverage: float = 0.6, drift: int = 2) -> DataFrame:
+def license_spans(docs: DataFrame, base: dict = BASE, templates: dict | DataFrame = TEMPLATES, coverage: float = 0.6, drift: int = 2) -> DataFrame:
     """doc_id, key, label, is_base, first, last, share: verified places.
 
     Word pairs vote for (template, offset); a base phrase needs all its pairs on one diagonal. For the others diagonals
@@ -40,7 +46,8 @@ def license_spans(docs: DataFrame, base: dict = BASE, templates: dict = TEMPLATE
     words = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"), license_words(F.col("text")).alias("w"))
     pairs = words.select("doc_id", "key", F.posexplode(F.arrays_zip(F.col("w").alias("x"), F.slice("w", 2, F.greatest(F.size("w"), F.lit(1))).alias("y"))).alias("at", "p"))
     pairs = pairs.select("doc_id", "key", "at", F.col("p.x").alias("x"), F.col("p.y").alias("y")).where("y is not null").withColumn("h", F.xxhash64("x", "y"))
-    votes = pairs.join(F.broadcast(template_grams(docs.sparkSession, base, templates)), "h").where("x = a and y = b")
+    grams = cut(template_grams(docs.sparkSession, base, templates))
+    votes = pairs.join(F.broadcast(grams) if grams.count() <= FEW else grams, "h").where("x = a and y = b")
     lines = votes.groupBy("doc_id", "key", "tid", "label", "is_base", "n_grams", (F.col("at") - F.col("t_at")).alias("diag")).agg(
         F.collect_set("t_at").alias("held"), F.min("at").alias("first"), F.max("at").alias("last"))
     w = Window.partitionBy("doc_id", "key", "tid").orderBy("diag")

@@ -8,18 +8,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import fold, table
 
-BUCKETS, DIM, WINDOW = 1 << 15, 8, 4
+BUCKETS, DIM, WINDOW, LONG = 1 << 15, 8, 4, 48
 WORD = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
 
 
 def pieces(word: str) -> set[int]:
     """Buckets of the word and its 3- to 5-character pieces."""
-    w = f"<{word[:64]}>" if len(word) <= 64 else f"<{word[:32]}{word[-32:]}>"
+    w = f"<{word}>"
     return {zlib.crc32(p.encode()) % BUCKETS for p in {w, *[w[i:i + n] for n in (3, 4, 5) for i in range(len(w) - n + 1)]}}
 
 
@@ -34,7 +34,11 @@ def spans(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    """The words of a text; a run of over LONG characters, as in scripts without blanks, is many overlapping words of that length."""
+    words = WORD.findall((text or "").lower())
+    if all(len(w) <= LONG for w in words):
+        return words
+    return [x for w in words for x in ([w] if len(w) <= LONG else [w[i:i + LONG] for i in range(0, len(w) - LONG // 2, LONG // 2)])]
 
 
 class Logits(dict):
@@ -142,12 +146,15 @@ def fit(texts: list[str | None], y: np.ndarray, epochs: int = 40, rate: float =
     return Model(emb, out, bias)
 
 
-def train(docs: DataFrame, labels: DataFrame, bound: int = 1000) -> Model:
-    """Fit on at most ``bound`` labelled rows of each class, those of least hashed id, of folds other than 0 (mod 5)."""
+def train(docs: DataFrame, labels: DataFrame, bound: int = 1000, most_bytes: int = 64 << 20) -> Model:
+    """Fit on at most ``bound`` different labelled texts of each class and ``most_bytes`` of text, those of least hashed id, of folds other than 0 (mod 5)."""
     some = labels.where("toxic is not null and doc_id is not null").where(fold(F.col("doc_id"), 5) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     some = some.where("toxic = 1").orderBy(*order).limit(bound).union(some.where("toxic = 0").orderBy(*order).limit(bound))
-    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").toPandas().sort_values(["doc_id", "text"], kind="stable")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(some), "doc_id").withColumn("_h", F.xxhash64("doc_id", "text")).dropDuplicates(["doc_id", "_h"])
+    rows = rows.orderBy("_h").limit(2 * bound)
+    upto = F.sum(F.octet_length("text")).over(Window.orderBy("_h").rowsBetween(Window.unboundedPreceding, 0))  # over at most 2 * bound rows
+    rows = rows.withColumn("_b", upto).where(F.col("_b") <= most_bytes).select("doc_id", "text", "toxic").toPandas().sort_values(["doc_id", "text"], kind="stable")
     return fit(rows["text"].tolist(), rows["toxic"].to_numpy(float))
 
 

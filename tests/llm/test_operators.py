@@ -329,6 +329,78 @@ print("same")
     assert "same" in out.stdout, out.stderr[-2000:]
 
 
+def plain_licenses(text):
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").encode().lower().decode())
+    at = [(i, label) for p, label in licenses.BASE.items() for i in range(len(w)) if w[i:i + len(p.split())] == p.split()]
+    return len(w), len(at), min((i for i, _ in at), default=None), max((i for i, _ in at), default=None), ",".join(sorted({x for _, x in at}))
+
+
+def test_license_base_columns(spark, docs):
+    more = ["cc by cc by", "general public license general public license all rights reserved", "CC-BY all  rights\nreserved", "cc " * 50 + "by", "all rights", "x" * 70000 + " cc by"]
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + [(50 + i, t) for i, t in enumerate(more)] + [(r.doc_id + 100, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    text = dict(rows)
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == plain_licenses(text[r.doc_id])
+        assert set(filter(None, r.base_labels.split(","))) <= set(filter(None, r.labels.split(","))) and 0 <= r.score <= 1
+    assert licenses.scan(docs.limit(0)).count() == 0
+
+
+def test_license_table_of_templates(spark):
+    whole = " ".join(f"clause{i}" for i in range(300))
+    table = spark.createDataFrame([("long-1.0", whole), ("long-1.0", None), (None, "a b c")], "label string, text string")
+    cut = " ".join(w for i, w in enumerate(whole.split()) if i % 40)
+    docs = spark.createDataFrame([(1, f"x y {whole} z"), (2, cut), (3, " ".join(whole.split()[:60])), (4, "cc by")], "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(docs, templates=table, drift=20).collect()}
+    assert got[1].labels == got[2].labels == "long-1.0" and got[3].labels == "" and got[4].labels == "cc-by"
+
+
+def test_quality_keeps_columns(spark):
+    docs = spark.createDataFrame([(1, "a b", 0.25, 3, "q"), (2, None, None, None, None)], "doc_id long, text string, quality_score double, _w int, f_n_chars string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    import corpus_pipeline
+
+    out = quality.scored(docs, labels)
+    assert sorted(out.columns) == sorted(docs.columns) and out.count() == 2
+    corpus_quality = corpus_pipeline.scored(docs.withColumnRenamed("quality_score", "kept"), labels).where("quality_score >= 0.5")
+    assert corpus_quality.select("kept", "_w", "f_n_chars").collect()[0] == (0.25, 3, "q")
+
+
+def test_toxicity_words():
+    assert toxicity.words_of("ab " + "x" * 200)[1:] == ["x" * 48] * 7 + ["x" * 32] or all(len(w) <= 48 for w in toxicity.words_of("x" * 200))
+    run = "z" * 90 + "horrid" + "z" * 90
+    assert any("horrid" in w for w in toxicity.words_of(run)) and len(toxicity.pieces("abc" * 100)) > 0
+
+
+def test_toxicity_beats_majority(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    got = toxicity.op7_toxicity(spark, "/root/testdata/sf0.01").where("held_out").join(labels, "doc_id").collect()
+    toxic, clean = [r.score for r in got if r.toxic == 1], [r.score for r in got if r.toxic == 0]
+    auc = sum((a > b) + (a == b) / 2 for a in toxic for b in clean) / (len(toxic) * len(clean))
+    assert auc > 0.75 and sum(a >= 0.5 for a in toxic) >= 0.5 * len(toxic) and sum(b >= 0.5 for b in clean) <= 0.05 * len(clean)
+
+
+def test_near_links_in_blocks(spark, monkeypatch):
+    import random
+
+    from tenement.llm import neardup
+
+    draw = random.Random(2)
+    base = [f"v{i}" for i in range(200)]
+    texts = {k: " ".join("z" if draw.random() < 0.014 else w for w in base) for k in range(50)}
+    sets = {k: set(neardup.shingles(t).tolist()) for k, t in texts.items()}
+    monkeypatch.setattr(neardup, "FEW", 3)
+    monkeypatch.setattr(neardup, "BLOCK_TEXTS", 8)
+    links = {(r.u, r.v) for r in neardup.similar_links(spark.createDataFrame(list(texts.items()), "key long, text string")).collect()}
+    assert all(len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) for a, b in links)
+    root = {k: k for k in texts}
+    for _ in texts:
+        root = {i: min(root[j] for j in texts if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])) for i in texts}
+    found = {r.u: r.root for r in simhash.components(spark.createDataFrame(list(links), "u long, v long")).collect()}
+    assert {k: found.get(k, k) for k in texts} == root
+
+
 def test_classifiers(spark):
     d, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     got = quality.op5_quality(spark, "/root/testdata/sf0.01").where("held_out").join(labels, "doc_id").collect()
