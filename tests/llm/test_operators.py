@@ -233,6 +233,17 @@ def test_chat_sql(spark):
     assert sorted(map(tuple, chat.op1_chat(spark, SF).collect())) == sorted(want)
 
 
+def test_chat_edges(spark):
+    """Nulls, ties, equal and empty conversations, names that clash."""
+    rows = [("a", 1, "user", "hi"), ("a", 2, "bot", "yo"), ("b", 1, "user", "hi"), ("c", 1, "user", "hi"), ("c", 2, "bot", "yo"), ("d", 1, "user", None), ("e", 1, "user", ""), (None, 1, "user", "hi"),
+            ("f", None, "user", "x"), ("f", 1, "user", "y"), ("g", 1, "user", "q"), ("g", 1, "bot", "q")]
+    turns = spark.createDataFrame([(*r, 1, 2) for r in rows], "conv_id string, turn int, role string, text string, n int, a int")
+    got = {r.conv_id: (r.n_turns, r.n_copies, r.rendered) for r in chat.render(turns, chat.maximal_conversations(turns)).collect()}
+    assert set(got) == {"a", "d", "e", "f", "g"} and got["a"] == (2, 2, "<|user|>\nhi\n<|bot|>\nyo\n")
+    assert got["f"][2] == "<|user|>\nx\n<|user|>\ny\n" and got["g"][2] == "<|bot|>\nq\n<|user|>\nq\n"
+    assert chat.maximal_conversations(turns.limit(0)).count() == 0
+
+
 def test_decontaminate(spark):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
     docs = spark.createDataFrame([(1, f"x y {item} z"), (2, f"q {item.replace('delta', 'other')} w"), (3, "nothing to see in here at all"), (4, None), (4, "")], "doc_id long, text string")
