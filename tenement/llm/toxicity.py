@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from .common import fold, table
 
-BUCKETS, DIM, WINDOW, LONG = 1 << 15, 8, 4, 48
+# WINDOW and the rate of fit were chosen on one of the training folds (crc32 mod 5 = 1), never on held-out rows.
+BUCKETS, DIM, WINDOW, LONG = 1 << 15, 8, 2, 48
 WORD = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
 
 
@@ -104,7 +105,7 @@ class Bags:
         return np.nonzero(inside)[0], self.tokens[at[inside]]
 
 
-def fit(texts: list[str | None], y: np.ndarray, epochs: int = 40, rate: float = 0.2, seed: int = 3) -> Model:
+def fit(texts: list[str | None], y: np.ndarray, epochs: int = 40, rate: float = 0.1, seed: int = 3) -> Model:
     """Embeddings and softmax together, by adaptive gradient steps on windows: a toxic text teaches through its most toxic window, a
     clean one through its most toxic and one random window. Labels are not always right, so a toxic text that has no window near the toxic
     class counts less, by that window's chance. Subwords of words that only toxic texts hold start apart from the others."""
