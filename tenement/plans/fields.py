@@ -118,3 +118,14 @@ def w3_duplicate_rank(spark, d):
 def p5_point_xy(spark, d):
     point = F.struct(F.get("embedding", 0).cast("double").alias("x"), F.get("embedding", 1).cast("double").alias("y"))
     return table(spark, d, "embeddings").select("vec_id", point.alias("p")).select("vec_id", "p.x", "p.y")
+
+
+@query("select p_partkey, case when length(b) > 0 then '_' || b end as code from (select p_partkey, case p_partkey % 4 when 0 then '' when 1 then null else p_brand end as b from part)")
+def p6_feature_code(spark, d):
+    brand = F.expr("case p_partkey % 4 when 0 then '' when 1 then null else p_brand end")
+    return table(spark, d, "part").select("p_partkey", N.feature_mark(brand).alias("code"))
+
+
+@query("select c_custkey, c_name, c_nationkey, c_acctbal from customer")
+def s2_table_scan(spark, d):
+    return table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..extract import html
@@ -345,3 +346,18 @@ def export_registry(spark, d):
 
     register_export("suppliers", Export([Field("s_nationkey", "s_nationkey"), Field("s_suppkey", "n", F.count), Field("s_acctbal", "best", F.max)], source=lambda df, job: in_regions(df, job, "s_nationkey")))
     return REGISTRY["suppliers"].rows(table(spark, d, "supplier"), Job(regions=("1", "2", "3")))
+
+
+@query("""select id::varchar as id, n_dup::varchar as n_dup, seen, row_number() over (order by n_dup desc, id desc) as place from
+(select max(o_orderkey) as id, count(*) as n_dup, strftime(max(o_orderdate), '%Y-%m-%d') as seen from orders group by o_custkey)""")
+def o1_ordered_export(spark, d):
+    """An export by number of duplicates, then id, both falling; ``place`` is the line's place in the files as they are read back."""
+    path = files.scratch(spark, "ordered")
+    kept = table(spark, d, "orders").groupBy("o_custkey").agg(F.max("o_orderkey").alias("id"), F.count(F.lit(1)).alias("n_dup"), F.date_format(F.max("o_orderdate"), "yyyy-MM-dd").alias("seen"))
+    files.write_csv(kept.select("id", "n_dup", "seen"), path, [F.desc("n_dup"), F.desc("id")])
+    # The name of a part file, the split and the row's place within it are the order of the export.
+    lines = files.read_csvs(spark, path, "id string, n_dup string, seen string").select("*", F.col("_metadata.file_name").alias("part"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("line"))
+    sizes = lines.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row a file
+    place = F.row_number().over(Window.partitionBy("part").orderBy("split", "line")) + F.col("before")
+    return lines.join(before, "part").select("id", "n_dup", "seen", place.cast("long").alias("place"))
