@@ -16,6 +16,7 @@ from ..operators import upsert as U
 from ..operators.fields import Field, grouped
 from ..sources import files
 from ..sources.files import table
+from ..sources.keyed import KeyedTable
 from ..streaming import jobs
 from .catalog import query
 from .export import Export, Job, register_export, run_export
@@ -303,7 +304,10 @@ SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
 
 
 def _stream(spark, d):
-    e = spark.readStream.schema(SCHEMA).parquet(f"{d}/events.parquet*")
+    return _events(spark.readStream.schema(SCHEMA).parquet(f"{d}/events.parquet*"))
+
+
+def _events(e):
     s = F.when(F.col("event_type") == "purchase", 2).when(F.col("event_type") == "error", 1).otherwise(0)
     return e.select("user_id", F.to_date("ts").alias("day"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("seq"), "event_type", s.alias("status"), "value", "props", F.get_json_object("props", "$.k").alias("k"))
 
@@ -314,14 +318,34 @@ def _appended(spark, df, name, schema):
     return spark.read.schema(schema).parquet(f"{path}/batch=*")
 
 
-@query(f"select user_id, case when l = 1 and r = 2 then 2 else l end as status, v.v as value, q as seq from (select user_id, arg_max(s, event_id) as l, arg_max(s, event_id) filter (where s <> 1) as r, arg_max({{'v': value}}, event_id) as v, max(event_id) as q from ({E}) group by user_id)")
-def t1_stream_upsert(spark, d):
+BATCHES = 4
+LATEST = "user_id, case when l = 1 and r = 2 then 2 else l end as status, v.v as value, q as seq"
+ALL = "arg_max(s, event_id) as l, arg_max(s, event_id) filter (where s <> 1) as r, arg_max({'v': value}, event_id) as v, max(event_id) as q"
+
+
+def _upserted(spark, d):
+    """Both tables after the events, by their ids, have come in BATCHES runs of one stream."""
     path = files.scratch(spark, "stream")
-    latest = jobs.Versions(spark, f"{path}/latest", EMPTY)
-    history = jobs.Versions(spark, f"{path}/history", EMPTY)
-    q = jobs.stream_upsert(_stream(spark, d), f"{path}/state", latest, history, "user_id", "day", "seq", "status", ["value"])
-    q.awaitTermination()
-    return latest.read(q.lastProgress["batchId"]).select("user_id", "status", "value", "seq")
+    latest = KeyedTable(spark, f"{path}/latest", "user_id bigint, status int, value double, seq bigint", ["user_id"], 16)
+    history = KeyedTable(spark, f"{path}/history", "user_id bigint, day date, status int, value double, seq bigint", ["user_id", "day"], 2, by=["day"])
+    events = table(spark, d, "events")
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    for k in range(BATCHES if low is not None else 0):
+        start, end = (low + (high + 1 - low) * i // BATCHES for i in (k, k + 1))
+        events.where(f"event_id >= {start} and event_id < {end}").write.mode("append").parquet(f"{path}/in")
+        items = _events(spark.readStream.schema(SCHEMA).parquet(f"{path}/in"))
+        jobs.stream_upsert(items, f"{path}/state", latest, history, "user_id", "day", "seq", "status", ["value"]).awaitTermination()
+    return latest, history
+
+
+@query(f"select {LATEST} from (select user_id, {ALL} from ({E}) group by user_id)")
+def t1_stream_upsert(spark, d):
+    return _upserted(spark, d)[0].read()
+
+
+@query(f"select user_id, day, l as status, v.v as value, q as seq from (select user_id, day, {ALL} from ({E}) group by user_id, day)")
+def t1_stream_history(spark, d):
+    return _upserted(spark, d)[1].read()
 
 
 @query("select * from (select cast(ts as date) as day, event_type, count(*) as n from events group by 1, 2) where day + interval 1 day <= (select max(ts) from events) - interval 1 day")

@@ -23,6 +23,45 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base or tempfile.mkdtemp(prefix='spark-')}/{name}-{uuid.uuid4().hex}"
 
 
+def _place(spark: SparkSession, path: str):
+    """Path and file system of the cluster's own libraries."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    target, fs = _place(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    target, fs = _place(spark, path)
+    fs.delete(target, True)
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """A file of some KB, such as a manifest, on the driver."""
+    target, fs = _place(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all: written beside and renamed, over one of that name."""
+    target, fs = _place(spark, path)
+    beside, _ = _place(spark, f"{path}.new")
+    stream = fs.create(beside, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    fs.delete(target, False)
+    if not fs.rename(beside, target):
+        raise OSError(f"cannot rename to {path}")
+
+
 def read_csvs(spark: SparkSession, glob: str, schema: StructType | str) -> DataFrame:
     """Many monthly files as one table; ``-`` is null."""
     return spark.read.schema(schema).csv(glob, header=True, nullValue="-")

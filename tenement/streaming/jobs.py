@@ -4,38 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.upsert import upsert_patches
-
-
-class Versions:
-    """A keyed table as one Parquet folder per micro-batch: a batch that runs again writes its own version again, from the one before."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path, schema
-
-    def read(self, batch: int) -> DataFrame:
-        """The table after a batch; empty before the first."""
-        if batch < 0:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/version={batch}")
-
-    def write(self, df: DataFrame, batch: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/version={batch}")
+from ..sources.keyed import KeyedTable
 
 
 def run(items: DataFrame, checkpoint: str, each) -> StreamingQuery:
     return items.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each).trigger(availableNow=True).start()
 
 
-def stream_upsert(items: DataFrame, checkpoint: str, latest: Versions, history: Versions, key: str, day: str, seq: str, status: str, fields: Sequence[str], present: str | None = None) -> StreamingQuery:
-    """Every micro-batch patches the table of latest states and the daily history."""
+def stream_upsert(items: DataFrame, checkpoint: str, latest: KeyedTable, history: KeyedTable, key: str, day: str, seq: str, status: str, fields: Sequence[str], present: str | None = None) -> StreamingQuery:
+    """Every micro-batch patches the table of latest states and the daily history, in the buckets that its keys fall in.
+
+    A batch goes by the checkpoint's name and its number: when it runs again after a stop, what it has merged already is left alone. ``history`` is keyed by key and day and may be parted
+    by day, so that a batch of today does not touch older days.
+    """
     def merge(df: DataFrame, batch: int) -> None:
-        latest.write(upsert_patches(latest.read(batch - 1), df, [key], seq, status, fields, present), batch)
-        history.write(upsert_patches(history.read(batch - 1), df, [key, day], seq, status, fields, present, keep_deal=False), batch)
+        token = f"{checkpoint}#{batch}"
+        df = df.persist()
+        try:
+            latest.merge(token, df, lambda base, new: upsert_patches(base, new, [key], seq, status, fields, present))
+            history.merge(token, df, lambda base, new: upsert_patches(base, new, [key, day], seq, status, fields, present, keep_deal=False))
+        finally:
+            df.unpersist()
 
     return run(items, checkpoint, merge)
 

@@ -7,6 +7,7 @@ import pytest
 
 from tenement.operators.upsert import upsert_patches
 from tenement.plans.export import Job, options
+from tenement.sources.keyed import KeyedTable
 from tenement.streaming import jobs
 
 SCHEMA = "id string, day int, seq bigint, status int, a int, b string, present array<string>"
@@ -40,19 +41,81 @@ def test_upsert_is_a_fold(spark, cut):
     assert {r.id: {"status": r.status, "a": r.a, "b": r.b} for r in got} == fold(rows, True)
 
 
+def tables(spark, path):
+    latest = KeyedTable(spark, f"{path}/latest", STATE, ["id"], 8)
+    return latest, KeyedTable(spark, f"{path}/history", "id string, day int, status int, a int, b string, seq bigint", ["id", "day"], 2, by=["day"])
+
+
 def test_stream_in_batches(spark, tmp_path):
     rows = drawn(5)
     for i in range(4):
         spark.createDataFrame(rows[i * 50:(i + 1) * 50], SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        latest, history = jobs.Versions(spark, str(tmp_path / "latest"), STATE), jobs.Versions(spark, str(tmp_path / "history"), "id string, day int, status int, a int, b string, seq bigint")
+        latest, history = tables(spark, tmp_path)
         items = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in"))
         q = jobs.stream_upsert(items, str(tmp_path / "state"), latest, history, "id", "day", "seq", "status", ["a", "b"], "present")
         q.awaitTermination()
         last = q.lastProgress["batchId"]
-    assert last == 3
-    assert {r.id: {"status": r.status, "a": r.a, "b": r.b} for r in latest.read(3).collect()} == fold(rows, True)
-    assert {(r.id, r.day): {"status": r.status, "a": r.a, "b": r.b} for r in history.read(3).collect()} == fold(rows, False)
-    assert latest.read(-1).count() == 0
+    assert last == 3 and latest.versions() == [2, 3]
+    assert {r.id: {"status": r.status, "a": r.a, "b": r.b} for r in latest.read().collect()} == fold(rows, True)
+    assert {(r.id, r.day): {"status": r.status, "a": r.a, "b": r.b} for r in history.read().collect()} == fold(rows, False)
+    assert {r.id: {"status": r.status, "a": r.a, "b": r.b} for r in latest.read(2).collect()} == fold(rows[:150], True)
+
+
+def merge(table, token, rows, keep=2):
+    return table.merge(token, table.spark.createDataFrame(rows, SCHEMA), lambda base, new: upsert_patches(base, new, table.key, "seq", "status", ["a", "b"], "present", keep_deal=len(table.key) == 1), keep)
+
+
+def files_of(path):
+    return {str(p.relative_to(path)): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+def test_a_batch_of_one_key_writes_one_bucket(spark, tmp_path):
+    latest, history = tables(spark, tmp_path)
+    rows = drawn(6)
+    merge(latest, "a", rows)
+    merge(history, "a", rows)
+    before, days = files_of(tmp_path / "latest"), files_of(tmp_path / "history")
+    assert len({f.rsplit("/", 1)[0] for f in before}) > 3
+    one = [("k3", 2, 1000, 1, 7, "y", ["a"])]
+    assert merge(latest, "b", one) == merge(history, "b", one) == 1
+    new = files_of(tmp_path / "latest")
+    assert len(set(new) - set(before)) == 1 and set(before) <= set(new)
+    assert {f.split("bucket=")[1].split("-")[0] for f in set(files_of(tmp_path / "history")) - set(days)} == {"2"}
+    assert {r.id: {"status": r.status, "a": r.a, "b": r.b} for r in latest.read().collect()} == fold(rows + one, True)
+    # What only the first version held goes with it; buckets of the first that still hold stay.
+    merge(latest, "c", [("k3", 2, 1001, 0, 8, "y", ["a"])])
+    held = latest.manifest(2)["held"]
+    assert latest.versions() == [1, 2] and sorted(set(held.values())) == [0, 2]
+    assert len([f for f in files_of(tmp_path / "latest") if f.startswith("data/0")]) == len(before) - 1
+
+
+def test_a_batch_counts_once(spark, tmp_path):
+    rows = drawn(7)
+    latest, _ = tables(spark, tmp_path)
+    merge(latest, "a", rows[:100])
+    merge(latest, "b", rows[100:])
+    want = sorted(latest.read().collect())
+    assert merge(latest, "b", rows[100:]) == 1 and sorted(latest.read().collect()) == want
+    # Killed before the manifest: the version is not there, and the next run writes its folder again.
+    manifest = tmp_path / "latest" / "versions" / "1"
+    manifest.unlink()
+    again, _ = tables(spark, tmp_path)
+    assert again.newest() == 0 and {r.id: {"status": r.status, "a": r.a, "b": r.b} for r in again.read().collect()} == fold(rows[:100], True)
+    assert merge(again, "b", rows[100:]) == 1 and sorted(again.read().collect()) == want
+    assert merge(again, "c", []) == 2 and sorted(again.read().collect()) == want
+
+
+def test_odd_keys(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), "id string, day date, status int, a int, b string, seq bigint", ["id", "day"], 3, by=["day"])
+    assert table.read().count() == 0 and table.newest() == -1
+    day = datetime.date(2024, 2, 1)
+    rows = spark.createDataFrame([(None, None, 1, 0, 1, "x", None), ("", day, 2, 1, None, None, ["a"]), ("a/b=c %", day, 3, 2, 5, "z", ["a", "b"]), ("a/b=c %", day, 3, 2, 5, "z", ["a", "b"])], "id string, day date, seq bigint, status int, a int, b string, present array<string>")
+    def fold_in(base, new):
+        return upsert_patches(base, new, ["id", "day"], "seq", "status", ["a", "b"], keep_deal=False)
+
+    table.merge("1", rows, fold_in)
+    other = KeyedTable(spark, str(tmp_path / "t"), table.schema, ["id", "day"], 99, by=["day"])
+    assert other.buckets == 3 and sorted(("-" if r.id is None else r.id, r.day or day, r.status) for r in other.read().collect()) == [("", day, 1), ("-", day, 0), ("a/b=c %", day, 2)]
 
 
 def test_job_periods():
