@@ -1,3 +1,3 @@
 
 
-from . import catalog, fields, listings, releases  # noqa: F401
+from . import catalog, fields, listings, releases, scrape  # noqa: F401
