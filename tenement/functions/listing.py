@@ -71,6 +71,12 @@ def region_keys(breadcrumb: Column) -> tuple[Column, Column]:
     return F.get(breadcrumb, 0), F.concat(F.get(breadcrumb, 0), F.get(breadcrumb, 1))
 
 
+def region_code(df: DataFrame, names: DataFrame, key: str, out: str) -> DataFrame:
+    """df with the code of the region that ``key`` names as ``out``: 65535 for a name that is not in ``names`` (name, code), null for null."""
+    df = df.join(names.withColumnsRenamed({"name": f"{out}_name", "code": f"{out}_code"}), F.col(key) == F.col(f"{out}_name"), "left")
+    return df.withColumn(out, F.when(F.col(key).isNotNull(), F.coalesce(f"{out}_code", F.lit(UNKNOWN)))).drop(f"{out}_name", f"{out}_code")
+
+
 def list_region_key(city: Column, location: Column) -> Column:
     """Of a list card the part of the region is what stands before the first ``-`` of the location."""
     return F.when(F.contains(location, F.lit("-")), F.concat(city, F.split_part(location, F.lit("-"), F.lit(1))))
@@ -190,8 +196,7 @@ def normalize_listings(raw: DataFrame, regions: DataFrame, strict: bool = True)
     df = raw.withColumn("deal_status", deal_status(c("http"), c("url"), c("error"), c("deal_time"))).where("deal_status is not null")
     df = df.withColumn("_top", top).withColumn("_sub", sub)
     for key, out in (("_top", "top_region"), ("_sub", "sub_region")):
-        df = df.join(names.withColumnsRenamed({"name": f"{out}_name", "code": f"{out}_code"}), c(key) == c(f"{out}_name"), "left")
-        df = df.withColumn(out, F.when(c(key).isNotNull(), F.coalesce(f"{out}_code", F.lit(UNKNOWN))))
+        df = region_code(df, names, key, out)
     df = df.withColumns({"price": price, "min_monthly_price": least, "property_code": property_type(F.get("breadcrumb", 2), c("property_type"))})
     df = df.withColumn("found", c("deal_status") != NOT_FOUND).withColumn("home", c("found") & (F.coalesce(c("property_code"), F.lit(UNKNOWN)) != PROPERTY.index("車位")))
     df = df.withColumn("floor_ping", clean_number(c("floor_ping")))

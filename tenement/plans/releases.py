@@ -358,9 +358,13 @@ def t3_stream_request_dedup(spark, d):
     return _appended(spark, jobs.request_dedup(_stream(spark, d), "ts", ["day", "k"]).select("day", "k"), "requests", "day date, k string")
 
 
-@query("select distinct user_id from events")
+@query("select user_id, cast(ts as date) as day, arg_min(event_id, (ts, event_id)) as first_event from events group by 1, 2")
 def t4_seen_before(spark, d):
-    return _appended(spark, jobs.unseen(_stream(spark, d), "user_id").select("user_id"), "seen", "user_id bigint")
+    """The first event of every user in each daily run."""
+    items = _stream(spark, d).select("user_id", "ts", "seq", F.unix_date("day").cast("long").alias("run")).withColumn("at", F.col("ts"))
+    with jobs.rocksdb_state(spark):
+        seen = _appended(spark, jobs.unseen(items, "user_id", "run", "ts").select("user_id", F.date_from_unix_date(F.col("run").cast("int")).alias("day"), F.col("seq").alias("first_event")), "seen", "user_id bigint, day date, first_event bigint")
+    return seen
 
 
 @query("select s_nationkey, count(s_suppkey) as n, max(s_acctbal) as best from supplier where s_nationkey in (1, 2, 3) group by 1")

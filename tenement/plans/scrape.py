@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..extract import listing_page
+from ..extract import list_page, listing_page
 from ..functions.listing import normalize_listings
 from ..operators.backfill import ID, listing_table, reparse_ranges
 from ..sources import files
@@ -136,3 +136,60 @@ def h4_reparse_ranges(spark, d):
     target, size = listing_table(stored, regions(spark), f"{path}/listings", buckets=8), top // 4 + 1
     runs = [reparse_ranges(stored, regions(spark), target, f"{path}/ledger", size=size, limit=limit) for limit in (2, None)]
     return flat(target.read()).withColumn("runs", F.lit(sum(map(bool, runs))))
+
+
+CARD_PRICE = "case p_partkey % 6 when 0 then p_size || ',000~' || (p_size + 1) || ',500' else p_size || ',000' end"
+PLACE = "case p_partkey % 5 when 1 then '車站旁' else '甲區-' || p_brand end"
+MARK, LINKED, OFFERED = "p_partkey % 3 = 0", "p_partkey % 17 <> 3", "p_partkey % 4 = 0"
+SEEN = "case p_partkey % 3 when 0 then '屋主 ' when 1 then '仲介 ' else '代理人 ' end || p_brand"
+CARD_ROOMS = "(p_partkey % 4 + 1) || '房' || p_partkey % 3 || '廳'"
+
+
+def list_pages(spark, d):
+    """page_id, city, raw: list pages of ten cards each, one in four promoted; some cards have no link."""
+    row = lambda x: f"'<span><div class=\"inline-flex-row\">' || {x} || '</div></span>'"
+    link = f"case when {LINKED} then ' href=\"https://rent.example/' || p_partkey || case p_partkey % 2 when 0 then '?ai=1' else '' end || '\"' else '' end"
+    tags = "'<span class=\"tag recom\">精選</span><span class=\"tag\">' || case p_partkey % 2 when 0 then '可開伙' else '近捷運' end || '</span><span class=\"tag\">有電梯</span>'"
+    offered = f"""'<div class="recommend-ware"><a class="title"' || {link} || '>' || p_name || '</a><div class="address-info">' || case p_partkey % 8 when 0 then '<span>社區</span>' else '' end || '<span>' || '甲區-' || p_brand
+        || '</span><b class="area">' || p_size || '坪</b></div><div class="distance-info"><i class="desc">距公園</i><i class="distance">9公尺</i></div><div class="price-info"><b class="price">' || {CARD_PRICE} || '</b></div></div>'"""
+    usual = f"""'<div class="item big"><div class="image-slider"><img data-src="a' || p_partkey || '"><img data-src="b"></div><div class="item-info-title"><a' || {link} || '>' || p_name || '</a></div><div class="item-info-tag">' || {tags}
+        || '</div><div class="item-info-txt"><span>' || {KINDS} || '</span>' || case p_partkey % 5 when 0 then '<span>' || {CARD_ROOMS} || '</span>' else '' end || {row("p_size || '坪'")} || {row(FLOOR)}
+        || '</div><div class="item-info-txt"><span>社區</span>' || {row(PLACE)} || '</div>' || case when {MARK} then '<div class="item-info-txt"><span>距公園</span><strong>9公尺</strong></div>' else '' end
+        || '<div class="item-info-txt"><span>' || {SEEN} || '</span><span>3天前</span></div><div class="item-info-price"><strong>' || {row(CARD_PRICE)} || '</strong></div></div>'"""
+    cards = table(spark, d, "part").selectExpr("p_partkey", "(p_partkey - 1) div 10 as page_id", f"case when {OFFERED} then {offered} else {usual} end as card")
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "card"))), lambda x: x["card"]), "\n")
+    return cards.groupBy("page_id").agg(F.concat(F.lit("<html><body>"), body, F.lit("</body></html>")).alias("raw")).withColumn("city", F.expr("case page_id % 3 when 0 then 'A市' when 1 then 'B縣' else 'C市' end"))
+
+
+CARD = f"(select *, (p_partkey - 1) // 10 as page_id, row_number() over (partition by (p_partkey - 1) // 10 order by p_partkey)::int as pos, {OFFERED} as offered from part where {LINKED})"
+
+
+@query(f"""select page_id, pos, case when offered then 'promoted' else 'regular' end as kind, p_partkey::varchar as house_id, p_name as title, case when not offered then '精選/' || case p_partkey % 2 when 0 then '可開伙' else '近捷運' end || '/有電梯' end as tags,
+case when not offered then {KINDS} end as property_type, case when not offered and p_partkey % 5 = 0 then {CARD_ROOMS} end as room_hall_info, p_size || '坪' as area, case when not offered then {FLOOR} end as floor,
+case when not offered or p_partkey % 8 = 0 then '社區' end as community, case when offered then '甲區-' || p_brand else {PLACE} end as location, case when offered or {MARK} then '距公園' end as nearby_landmark,
+case when offered or {MARK} then '9公尺' end as distance_to_landmark, case when not offered then {SEEN} end as contact_info, case when not offered then '3天前' end as update_time, {CARD_PRICE} as price,
+case when not offered then 'a' || p_partkey || '/b' end as images, case when not offered then true end as is_featured, null::boolean as is_preferred from {CARD}""")
+def h2_listing_cards(spark, d):
+    """Promoted and regular cards with all of their fields."""
+    cards = list_page.list_cards(list_pages(spark, d))
+    return cards.selectExpr("page_id", "pos", "kind", "house_id", "title", "array_join(tags, '/') as tags", "property_type", "room_hall_info", "area", "floor", "community", "location", "nearby_landmark", "distance_to_landmark",
+                            "contact_info", "update_time", "price", "array_join(images, '/') as images", "is_featured", "is_preferred")
+
+
+CARD_HOME = "not offered and p_partkey % 5 <> 4"
+CARD_NUMBER = "(p_size * 1000)::double"
+
+
+@query(f"""select p_partkey::varchar as vendor_house_id, 0 as deal_status, case page_id % 3 when 0 then 1 when 1 then 2 else 65535 end as top_region,
+case when offered or p_partkey % 5 <> 1 then case page_id % 3 when 0 then 10 when 1 then 20 else 65535 end end as sub_region, case when offered then '甲區-' || p_brand else {PLACE} end as rough_address,
+case when not offered then p_partkey % 5 end::int as property_type, {CARD_NUMBER} as monthly_price, case p_partkey % 6 when 0 then (p_size + 1) * 1000 + 500 end::double as min_monthly_price,
+case when offered or {CARD_HOME} then p_size end::double as floor_ping, case when {CARD_HOME} then {FLOORS} end::int as floor, case when {CARD_HOME} then {LAST_FLOOR} end::int as total_floor,
+case when {CARD_HOME} then p_partkey % 8 = 0 end as is_rooftop, case when {CARD_HOME} then {LAST_FLOOR} - ({FLOORS}) end::int as dist_to_highest_floor,
+case when not offered and p_partkey % 5 = 0 then p_partkey % 4 + 1 end::int as n_bed_room, case when not offered and p_partkey % 5 = 0 then p_partkey % 3 end::int as n_living_room, null::int as n_bath_room,
+case when not offered and p_partkey % 5 = 0 then '00000' || (p_partkey % 4 + 1) || '0' || p_partkey % 3 end as apt_feature_code, case when {CARD_HOME} then case p_partkey % 3 when 0 then 0 when 1 then 2 else 1 end end::int as contact,
+case when {CARD_HOME} and p_partkey % 2 = 0 then true end as can_cook, null::boolean as allow_pet, case when {CARD_HOME} then true end as elevator, case when {CARD_HOME} and p_partkey % 2 = 1 then true end as metro,
+case when offered or {CARD_HOME} then {CARD_NUMBER} / p_size end as per_ping_price from {CARD}""")
+def h2_card_items(spark, d):
+    """What list cards tell as typed items."""
+    items = list_page.card_items(list_page.list_cards(list_pages(spark, d), "page_id", "raw", "city"), regions(spark))
+    return items.withColumns({"elevator": F.col("facilities")["電梯"], "metro": F.col("facilities")["近捷運"]}).drop("facilities", "present", "seq")

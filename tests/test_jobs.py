@@ -138,3 +138,28 @@ def test_parser_errors(spark):
     got = {r.page_id: r for r in extract_details(pages, parser=picky).collect()}
     assert set(got) == {1, 2, 4} and got[2].parse_errors == ["ValueError"] and got[1].title == "<p>x"
     assert {r.page_id: r.parse_errors for r in extract_details(pages).collect()} == {i: ["title", "heading"] for i in (1, 2, 4)}
+
+
+def test_seen_once_in_a_run(spark, tmp_path):
+    """State ends with its timer: an id of an ended run is let through again, and state stays bounded."""
+    at = lambda day, hour=0: datetime.datetime(2024, 1, day, hour)
+    batches = [
+        [("a", 1, at(1, 2), "late"), ("a", 1, at(1, 1), "first"), ("b", 1, at(1), "first"), ("c", None, at(1), "none"), *[(f"x{i}", 1, at(1), "first") for i in range(40)]],
+        [("a", 1, at(1, 5), "again"), ("a", 2, at(1, 6), "next run"), ("a", 1, at(1, 7), "old run")],
+        [("a", 2, at(8), "again"), ("b", 2, at(8), "first"), ("d", 9, at(8), "first")],
+        [("d", 9, at(8, 1), "again"), ("e", 9, at(8, 1), "first")],
+        [("b", 1, at(9), "old run"), ("x3", 1, at(9), "its run has ended")],
+    ]
+    states = []
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, "id string, run long, ts timestamp, note string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        items = spark.readStream.schema("id string, run long, ts timestamp, note string").parquet(str(tmp_path / "in"))
+        with jobs.rocksdb_state(spark):
+            q = jobs.run(jobs.unseen(items, "id", "run", "ts", datetime.timedelta(days=2)), str(tmp_path / "state"), lambda df, batch: df.write.mode("overwrite").parquet(f"{tmp_path}/out/batch={batch}"))
+        q.awaitTermination()
+        states.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
+    got = sorted((r.id, r.run, r.note) for r in spark.read.parquet(str(tmp_path / "out")).collect() if not r.id.startswith("x"))
+    assert got == [("a", 1, "first"), ("a", 2, "next run"), ("b", 1, "first"), ("b", 2, "first"), ("d", 9, "first"), ("e", 9, "first")]
+    x3 = [r.note for r in spark.read.parquet(str(tmp_path / "out")).where("id = 'x3'").collect()]
+    assert sorted(x3) == ["first", "its run has ended"]
+    assert states[0] > 40 and states[-1] < 20

@@ -101,3 +101,50 @@ def test_reparse_keeps_what_pages_do_not_tell(spark, tmp_path):
     got = {r.vendor_house_id: r for r in target.read().collect()}
     assert (got["7"].author, got["7"].contact, got["7"].monthly_price, got["7"].seq) == ("091", 0, 9000.0, 2)
     assert (got["-1"].deal_status, got["-1"].monthly_price, got["-1"].author) == (1, 9000.0, None) and len(got) == 2
+
+
+CARD = '<div class="%s"><div class="item-info-title"><a href="%s">t</a></div><div class="item-info-txt"><span>%s</span></div></div>'
+
+
+def test_cards_stay_apart(spark, monkeypatch):
+    from tenement.extract import list_page as LP
+
+    plain = LP.regular
+
+    def picky(card):
+        if "bad" in card.text():
+            raise ValueError
+        return plain(card)
+
+    monkeypatch.setitem(LP.KINDS, "regular", (*LP.KINDS["regular"][:2], picky))
+    page = CARD % ("item", "https://x/1?a=b", "雅房") + CARD % ("item", "https://x/2", "bad") + '<div class="item"><a>no link</a></div>' + CARD % ("item", "https://x/3", "車位")
+    cards = list(LP.parse_list(page))
+    assert [(c[0], c[2], c[6], c[-1]) for c in cards] == [(1, "1", "雅房", []), (2, "2", None, ["ValueError"]), (3, "3", "車位", [])]
+    monkeypatch.undo()
+    pages = spark.createDataFrame([(1, page, "A市"), (2, None, "A市"), (3, "", None), (4, "<div class=item>" * 3000, "B縣"), (None, page, None)], "page_id long, raw string, city string")
+    got = LP.list_cards(pages, "page_id", "raw", "city", parts=3)
+    assert sorted((r.page_id or 0, r.pos) for r in got.collect()) == [(0, 1), (0, 2), (0, 3), (1, 1), (1, 2), (1, 3)]
+    items = {(r.vendor_house_id, r.top_region): r for r in LP.card_items(got, scrape.regions(spark)).collect()}
+    assert items["1", 1].present == ["top_region", "property_type"] and items["3", None].present == ["property_type"] and items["3", None].property_type == 4
+
+
+def test_a_page_that_breaks_gives_its_error(monkeypatch):
+    from tenement.extract import list_page as LP
+
+    monkeypatch.setattr(LP, "parse_list", lambda html: (_ for _ in ()).throw(RuntimeError("x")))
+    rows = list(LP.ListCards().eval("<p>"))
+    assert [r[-1] for r in rows] == [["RuntimeError"]] and len(rows[0]) == len(LP.NAMES) and list(LP.ListCards().eval(None)) == []
+
+
+def test_card_lines():
+    from tenement.extract.list_page import NAMES, regular
+
+    def card(*lines):
+        return regular(tree("".join(f'<div class="item-info-txt">{x}</div>' for x in lines)))
+
+    seen = "<span>屋主 X</span><span>今天</span><span>9人</span>"
+    with_mark = card("<span>雅房</span>", "", "<span>距車站</span><strong>5公尺</strong>", seen)
+    assert (with_mark["nearby_landmark"], with_mark["contact_info"], with_mark["view_count"]) == ("距車站", "屋主 X", "9人")
+    without = card("<span>雅房</span>", "", seen)
+    assert "nearby_landmark" not in without and without["update_time"] == "今天" and set(without) <= set(NAMES)
+    assert card("<span>雅房</span>", "", "<span></span>", seen)["contact_info"] == "屋主 X" and "contact_info" not in card("<span>雅房</span>")
