@@ -220,3 +220,38 @@ def normalize_listings(raw: DataFrame, regions: DataFrame, strict: bool = True)
         c("r.balcony").alias("n_balcony"), c("r.bed").alias("n_bed_room"), c("r.living").alias("n_living_room"), c("r.bath").alias("n_bath_room"), c("r.code").alias("apt_feature_code"),
         told(additional_fees(includes)).alias("additional_fee"), "t.*", told(facility_union(c("supported_facility"), c("unsupported_facility"))).alias("facilities"),
         told(coordinate(c("rough_coordinate"))).alias("rough_coordinate"), "a.contact", "a.author", "a.agent_org", "a.present", errors.alias("parse_errors"))
+
+
+# Words of Python literals and what JSON calls them.
+WORDS = {"None": "null", "True": "true", "False": "false"}
+#: A text in single quotes, one in double quotes, or what stands between texts.
+TOKEN = r"""([urb]*'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^'"]+)"""
+
+
+def literal_json(text: Column) -> Column:
+    """A Python literal of dicts, lists, tuples and plain values as JSON text; JSON stays as it is. Words inside quotes are not touched."""
+    def one(t: Column) -> Column:
+        inner = F.regexp_replace(t, "^[urb]*'|'$", "")
+        inner = F.replace(F.replace(inner, F.lit(r"\'"), F.lit("'")), F.lit('"'), F.lit(r"\""))
+        inner = F.regexp_replace(inner, r"\\x([0-9a-fA-F]{2})", r"\\u00$1")
+        plain = F.regexp_replace(F.regexp_replace(F.translate(t, "()", "[]"), r",(\s*[\]}])", "$1"), r"\b[urb]+$", "")
+        for word, name in WORDS.items():
+            plain = F.regexp_replace(plain, rf"\b{word}\b", name)
+        return F.when(t.rlike("^[urb]*'"), F.concat(F.lit('"'), inner, F.lit('"'))).when(t.startswith('"'), t).otherwise(plain)
+
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(1)), one), "")
+
+
+def region_names(detail: Column, card: Column) -> Column:
+    """Struct region, part, source of a listing: from what the detail parser found, else from the list card's raw text as JSON, else from that text as a Python literal."""
+    def read(text: Column, region: str, part: str, source: str) -> Column:
+        got = F.from_json(text, f"{region} string, {part} string")
+        return F.when(F.coalesce(got[region], F.lit("")) != "", F.struct(got[region].alias("region"), got[part].alias("part"), F.lit(source).alias("source")))
+
+    json = card.rlike(r'^\s*[{\[]\s*"')
+    return F.coalesce(read(detail, "top_region", "sub_region", "detail"), read(F.when(json, card), "region_name", "section_name", "card"), read(literal_json(card), "region_name", "section_name", "literal"))
+
+
+def unknown_counts(codes: dict[str, Column]) -> list[Column]:
+    """Aggregates for ``DataFrame.observe``: by field, rows whose name had no code, so that the pass that writes the codes also counts what it could not read."""
+    return [F.count(F.when(c == UNKNOWN, F.lit(1))).alias(name) for name, c in codes.items()]

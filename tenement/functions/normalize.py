@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -66,6 +68,12 @@ def page_count(link: Column) -> Column:
     return F.coalesce(F.regexp_extract(link, r"page=(\d+)", 1).try_cast("long"), F.lit(1).cast("long"))
 
 
+def timestamp_slot(ts: Column, told: date | None = None, hours: bool = False) -> Column:
+    """Struct year, month, day, hour of the slot that a row is counted in. A day is one slot, hour 0, unless ``hours``; ``told`` is the day that a run stands for whatever the time says."""
+    at = F.lit(told).cast("timestamp") if told else ts
+    return F.struct(F.year(at).alias("year"), F.month(at).alias("month"), F.dayofmonth(at).alias("day"), (F.hour(at) if hours else F.lit(0)).alias("hour"))
+
+
 def period_label(day: Column, period: str) -> Column:
     """``YYYYMM``, ``YYYYQn`` or ``YYYY``."""
     year = F.year(day).cast("string")

@@ -29,3 +29,9 @@ def period(start: date, end: date, created: str = "created", crawled: str = "cra
     """Listings with details whose life meets the days from ``start`` to ``end``, both included, in either order."""
     start, end = sorted((start, end))
     return F.col(told).isNotNull() & overlaps(created, crawled, F.lit(start), F.lit(end + timedelta(days=1)))
+
+
+def worklist(append: bool = False, status: str = "deal_status", price: str = "monthly_price") -> Column:
+    """Listings whose page is to be read: open ones; in append mode only those of which no price is known yet."""
+    opened = F.col(status) == 0
+    return opened & F.col(price).isNull() if append else opened

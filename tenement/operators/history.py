@@ -33,7 +33,7 @@ def infer_deal(hist: DataFrame, key: str, day: str, status: str) -> DataFrame:
     is_tail = (F.col(status) == DEAL) & ((F.col("_older") != DEAL) | (F.col("_n") == 1))
     run = run.withColumn("_tail", F.min(F.when(is_tail, F.col("_i"))).over(Window.partitionBy(key)))
     run = run.withColumn("_before", F.min(F.when((F.col(status) == DEAL) & (F.col("_i") > F.col("_tail")), F.col("_i"))).over(Window.partitionBy(key)))
-    newest = F.max_by(status, F.when(F.col(status) != DEAL, F.lit(0)).otherwise(0) - F.col("_i"))
+    newest = F.min_by(status, "_i")
     out = run.groupBy(key).agg(newest.alias("_newest"), F.max("_tail").alias("_tail"), F.max(F.when(F.col("_i") == F.col("_tail"), F.col(day))).alias("deal_day"),
                                F.coalesce(F.max("_before") - 1, F.max("_n")).alias("_head"))
     return out.select(key, F.when(F.col("_tail").isNotNull(), DEAL).otherwise(F.col("_newest")).alias("deal_status"), "deal_day",

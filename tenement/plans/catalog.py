@@ -9,8 +9,9 @@ from ..functions import normalize as N
 from ..operators import aggregate as A
 from ..operators import history as H
 from ..operators import upsert as U
-from ..operators.filters import overlaps
-from ..sources.files import table
+from ..operators.dimension import extended_codes, spellings
+from ..operators.filters import overlaps, worklist
+from ..sources.files import scratch, table
 
 QUERIES, ORACLE = {}, {}
 
@@ -71,9 +72,15 @@ def j1_dim_lookup(spark, d):
     return qty.join(s, F.col("l_suppkey") == F.col("s_suppkey")).groupBy("n_name", "s_name").agg(F.sum("qty").alias("qty"))
 
 
-@query("select conv_id, role, arg_max(text, turn) as text, max(turn) as turn from conversations group by conv_id, role")
+@query("""select conv_id::varchar as house_id, arg_max(text, turn) filter (where turn % 3 = 0) as list_raw, arg_max(text, turn) filter (where turn % 3 <> 0) as detail_raw,
+arg_max(role || turn, turn) filter (where turn % 3 = 1) as detail_dict, max(turn)::bigint as seq from conversations group by conv_id""")
 def j3_raw_upsert(spark, d):
-    return table(spark, d, "conversations").groupBy("conv_id", "role").agg(F.max_by("text", "turn").alias("text"), F.max("turn").alias("turn"))
+    """The turns of conversations as items of three batches: every third is a list item, and its dict does not count; the last batch brings nothing new."""
+    table_of_raw = U.raw_table(spark, scratch(spark, "raw"), buckets=8)
+    turns = table(spark, d, "conversations").select(F.col("conv_id").cast("string").alias("house_id"), (F.col("turn") % 3 == 0).alias("is_list"), F.col("text").alias("raw"), F.when(F.expr("turn % 3 <> 2"), F.concat("role", F.col("turn").cast("string"))).alias("dict"), F.col("turn").cast("long").alias("seq"))
+    for token, some in (("early", "seq < 2"), ("late", "seq >= 2"), ("again", "seq < 0")):
+        U.upsert_raw(table_of_raw, turns.where(some), token)
+    return table_of_raw.read().select("house_id", *U.RAW, "seq")
 
 
 @query("select c_custkey, coalesce(m, c_acctbal) as c_acctbal from customer left join (select o_custkey, max(o_totalprice) m from orders group by 1) on c_custkey = o_custkey")
@@ -121,9 +128,20 @@ def w6_transitions(spark, d):
     return H.transitions(daily(spark, d), "user_id", "day", "status")
 
 
-@query("select n_nationkey, n_regionkey * 100 + row_number() over (partition by n_regionkey order by n_name) - 1 as code from nation")
+FIRST_CODES = "select n_regionkey as parent, n_name as name, n_regionkey * 100 + row_number() over (partition by n_regionkey order by n_name) - 1 as code from nation where n_nationkey % 3 <> 1"
+
+
+@query(f"""with f as ({FIRST_CODES}), l as (select n_regionkey as parent, n_name as name, coalesce((select max(code) from f where parent = n_regionkey) + 1, n_regionkey * 100) + row_number() over (partition by n_regionkey order by n_name) - 1 as code
+from nation where n_nationkey % 3 = 1), c as (select r_name || '/' as region, name, code from (select * from f union all select * from l) join region on parent = r_regionkey)
+select distinct unnest([region, replace(region, 'A', '4')]) || spelling as name, code from (select *, unnest([name, replace(name, 'I', '1')]) as spelling from c)""")
 def w4_region_codes(spark, d):
-    return table(spark, d, "nation").select("n_nationkey", (F.col("n_regionkey") * 100 + F.row_number().over(Window.partitionBy("n_regionkey").orderBy("n_name")) - 1).cast("long").alias("code"))
+    """Codes of parts of regions in two steps, the second with names that stand among those of the first, and every spelling of region and part with its code."""
+    names = table(spark, d, "nation").select(F.col("n_regionkey").cast("long").alias("parent"), F.col("n_name").alias("name"), "n_nationkey")
+    none = spark.createDataFrame([], "parent long, name string, code long")
+    codes = extended_codes(extended_codes(none, names.where("n_nationkey % 3 <> 1")), names)
+    regions = table(spark, d, "region").select(F.col("r_regionkey").alias("parent"), F.concat("r_name", F.lit("/")).alias("region"))
+    said = spellings(spellings(codes.join(F.broadcast(regions), "parent"), {"A": "4"}, "region"), {"I": "1"}, "name")
+    return said.select(F.concat("region", "name").alias("name"), "code").distinct()
 
 
 @query("select c_nationkey, c_custkey from (select *, row_number() over (partition by c_nationkey order by c_custkey) r from customer) where r <= 90")
@@ -131,9 +149,12 @@ def o3_first_n(spark, d):
     return table(spark, d, "customer").withColumn("r", F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey"))).where("r <= 90").select("c_nationkey", "c_custkey")
 
 
-@query("select o_custkey, o_orderkey from orders where o_orderstatus = 'O'")
+@query("""select o_orderkey, o_orderstatus = 'O' as opened, o_orderstatus = 'O' and o_orderkey % 4 = 0 as appended from orders where o_orderstatus = 'O'""")
 def f10_worklist(spark, d):
-    return table(spark, d, "orders").where("o_orderstatus = 'O'").select("o_custkey", "o_orderkey")
+    """Open listings to be read again, and in append mode those without a price only."""
+    rows = table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") == "O", 0).otherwise(1).alias("deal_status"), F.when(F.expr("o_orderkey % 4 <> 0"), F.col("o_totalprice")).alias("monthly_price"))
+    some = rows.where(worklist(append=True)).select(F.col("o_orderkey").alias("_key"))
+    return rows.where(worklist()).join(some, F.col("o_orderkey") == F.col("_key"), "left").select("o_orderkey", (F.col("deal_status") == 0).alias("opened"), F.col("_key").isNotNull().alias("appended"))
 
 
 @query("select event_id, cast(json_extract_string(props, '$.k') as varchar) as k from events")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from datetime import date
+
+from pyspark.sql import Observation, Window
 from pyspark.sql import functions as F
 
+from ..functions import listing as L
 from ..functions import normalize as N
 from ..operators.fields import Field, grouped
-from ..sources.files import table
+from ..sources.files import scratch, table
 from .catalog import query
 
 
@@ -53,21 +56,36 @@ def f9_new_format_rows(spark, d):
     return table(spark, d, "documents").select("doc_id", "n_chars").join(table(spark, d, "labels"), "doc_id", "left").where("toxic is null and n_chars is not null").select("doc_id")
 
 
-@query("select n_nationkey, coalesce(r_name, n_name) as region from nation left join (select * from region where r_regionkey < 3) on n_regionkey = r_regionkey")
+QUOTED = "replace(c_name, '#', chr(39))"
+
+
+@query(f"""select c_custkey, case c_custkey % 6 when 0 then 'A市' when 1 then c_name when 2 then {QUOTED} || ' None' when 3 then c_name end as region, case c_custkey % 6 when 0 then c_name when 1 then '南區' when 2 then '"x" \u00a0區' when 3 then null end as part,
+case c_custkey % 6 when 0 then 'detail' when 1 then 'card' when 2 then 'literal' when 3 then 'literal' end as source from customer""")
 def j8_region_fallback(spark, d):
-    r = table(spark, d, "region").where("r_regionkey < 3")
-    return table(spark, d, "nation").join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left").select("n_nationkey", F.coalesce("r_name", "n_name").alias("region"))
+    """Regions from what details tell, from list cards in JSON, from list cards in Python literals; malformed texts and nulls tell none."""
+    name = F.col("c_name")
+    detail = F.when(F.expr("c_custkey % 6 = 0"), F.to_json(F.struct(F.lit("A市").alias("top_region"), name.alias("sub_region")))).when(F.expr("c_custkey % 6 = 1"), '{"top_region": "", "title": "x"}').when(F.expr("c_custkey % 6 = 4"), '{"top_region": ')
+    literal = F.concat(F.lit("{'ok': True, 'seen': (1, 2,), 'none': None, u'region_name': '"), F.replace(F.replace(name, F.lit("#"), F.lit("'")), F.lit("'"), F.lit("\\'")), F.lit(" None', 'section_name': '\"x\" \\xa0區', }"))
+    card = (F.when(F.expr("c_custkey % 6 = 1"), F.to_json(F.struct(name.alias("region_name"), F.lit("南區").alias("section_name")))).when(F.expr("c_custkey % 6 = 2"), literal)
+            .when(F.expr("c_custkey % 6 = 3"), F.concat(F.lit("{'region_name': \""), name, F.lit("\", 'section_name': None}"))).when(F.expr("c_custkey % 6 = 4"), "{'region_name': 'x"))
+    return table(spark, d, "customer").select("c_custkey", L.region_names(detail, card).alias("r")).select("c_custkey", "r.region", "r.part", "r.source")
 
 
-@query("select p_partkey, case p_type when 'ECONOMY' then 0 when 'STANDARD' then 1 else 65535 end as code from part")
+@query("""select p_partkey, case p_type when 'ECONOMY' then 0 when 'STANDARD' then 1 else 65535 end as code, case p_brand when 'Brand#11' then 0 else 65535 end as brand,
+(select count(*) from part where p_type not in ('ECONOMY', 'STANDARD')) as unknown_codes, (select count(*) from part where p_brand <> 'Brand#11') as unknown_brands from part""")
 def j9_enum_or_unknown(spark, d):
-    codes = spark.createDataFrame([("ECONOMY", 0), ("STANDARD", 1)], "p_type string, code int")  # the enum's fixed list
-    return table(spark, d, "part").join(F.broadcast(codes), "p_type", "left").select("p_partkey", F.coalesce("code", F.lit(65535)).alias("code"))
+    """Codes of names; the job that writes them also counts, by field, the names that have none."""
+    rows = table(spark, d, "part").select("p_partkey", L.code_of(F.col("p_type"), ("ECONOMY", "STANDARD")).alias("code"), L.code_of(F.col("p_brand"), ("Brand#11",)).alias("brand"))
+    seen, path = Observation("unknown names"), scratch(spark, "codes")
+    rows.observe(seen, *L.unknown_counts({"unknown_codes": F.col("code"), "unknown_brands": F.col("brand")})).write.parquet(path)
+    return spark.read.parquet(path).select("*", *[F.lit(n).cast("long").alias(k) for k, n in seen.get.items()])
 
 
-@query("select o_orderkey, year(o_orderdate) as y, month(o_orderdate) as m, day(o_orderdate) as d, 0 as h from orders")
+@query("""select o_orderkey, year(o_orderdate) as year, month(o_orderdate) as month, day(o_orderdate) as day, hour(o_orderdate) as hour, 2024 as as_year, 2 as as_month, 29 as as_day, 0 as as_hour from orders""")
 def n21_timestamp_slot(spark, d):
-    return table(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"), F.dayofmonth("o_orderdate").alias("d"), F.lit(0).alias("h"))
+    """The slot of a time, and the slot of a date that a run is told to stand for."""
+    slot, told = N.timestamp_slot(F.col("o_orderdate"), hours=True), N.timestamp_slot(F.col("o_orderdate"), date(2024, 2, 29))
+    return table(spark, d, "orders").select("o_orderkey", slot.alias("s"), told.alias("t")).select("o_orderkey", "s.*", *[F.col(f"t.{c}").alias(f"as_{c}") for c in ("year", "month", "day", "hour")])
 
 
 @query("""select o_orderkey, strftime(o_orderdate, '%Y%m') as month, year(o_orderdate)::varchar || 'Q' || quarter(o_orderdate) as quarter, year(o_orderdate)::varchar as year,

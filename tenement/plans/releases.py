@@ -13,8 +13,10 @@ from ..functions import normalize as N
 from ..operators import aggregate as A
 from ..operators import filters
 from ..operators import upsert as U
+from ..operators.dimension import get_or_create, id_table
 from ..operators.fields import Field, grouped
 from ..sources import files
+from ..sources.archive import add_hot, archive_days, read_hot
 from ..sources.files import table
 from ..sources.keyed import KeyedTable
 from ..streaming import jobs
@@ -156,6 +158,19 @@ def j2_patch_upsert(spark, d):
     return U.upsert_patches(base, items.where("seq % 3 <> 0"), ["user_id"], "seq", "status", ["value", "props"], "present")
 
 
+@query("""select c_name as truth, case when c_custkey % 3 <> 0 then 'first' else 'second' end as since, true as kept, true as own from customer""")
+def n23_author_dimension(spark, d):
+    """Ids of authors after two batches of which the second holds the first, and a run of the second again: the first ones keep their ids, no id is given twice."""
+    ids = id_table(spark, files.scratch(spark, "authors"), 16)
+    names = table(spark, d, "customer").select("c_custkey", "c_name")
+    before = ids.read(get_or_create(ids, names.where("c_custkey % 3 <> 0"), "c_name", "first")).select("truth", F.col("id").alias("before"))
+    for _ in range(2):
+        get_or_create(ids, names, "c_name", "second")
+    now = ids.read()
+    uses = now.groupBy("id").agg(F.count(F.lit(1)).alias("uses"))
+    return now.join(before, "truth", "left").join(uses, "id").select("truth", "since", F.coalesce(F.col("id") == F.col("before"), F.col("since") == "second").alias("kept"), (F.col("uses") == 1).alias("own"))
+
+
 @query(f"select user_id, day, l as status, v.v as value, p.v as props, q as seq from (select user_id, day, {FOLD} from ({E}) group by user_id, day)")
 def j2_history_upsert(spark, d):
     return U.upsert_patches(spark.createDataFrame([], EMPTY), _items(spark, d), ["user_id", "day"], "seq", "status", ["value", "props"], "present", keep_deal=False)
@@ -167,8 +182,7 @@ def j5_backfill(spark, d):
     return table(spark, d, "customer").select("c_custkey").join(last, "c_custkey", "left").withColumn("missed", F.col("crawled_at").isNull())
 
 
-@query("""select o_orderkey, o_orderstatus as status, 1 - (o_orderstatus = 'F')::int - 2 * (o_orderstatus = 'P')::int + 1 as status_code, case o_orderstatus when 'F' then 'finished' when 'O' then 'partial' else 'open' end as status_code_coding, '_' || o_orderpriority as mark from orders where false
-union all select o_orderkey, o_orderstatus, o_orderkey % 3, case o_orderkey % 3 when 0 then 'none' when 1 then 'one' else 'two' end, '_' || o_orderpriority from orders""")
+@query("""select o_orderkey, o_orderstatus as status, o_orderkey % 3 as status_code, case o_orderkey % 3 when 0 then 'none' when 1 then 'one' else 'two' end as status_code_coding, '_' || o_orderpriority as mark from orders""")
 def p7_field_project(spark, d):
     from ..operators.fields import project
 
@@ -212,16 +226,20 @@ def k2_json_by_region(spark, d):
     return back.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last"), F.max("price").alias("price"))
 
 
-@query("select cast(ts as date) as day, count_if(ts < timestamp '2024-01-11') as archived, count_if(ts >= timestamp '2024-01-11') as kept from events group by 1")
+@query("select cast(ts as date) as day, count_if(ts < timestamp '2024-01-11') as archived, count_if(ts >= timestamp '2024-01-11') as kept, count_if(ts < timestamp '2024-01-11' and event_id % 7 = 0) as late from events group by 1")
 def k4_history_archive(spark, d):
-    path, hot = files.scratch(spark, "archive"), files.scratch(spark, "hot")
-    files.archive(table(spark, d, "events"), "ts", F.lit(date(2024, 1, 10)), path, hot)
-    old = spark.read.schema("event_id bigint, y int, m int, d int").json(path).select(F.make_date("y", "m", "d").alias("day"), F.lit(1).alias("a"), F.lit(0).alias("k"))
-    new = spark.read.parquet(hot).select(F.to_date("ts").alias("day"), F.lit(0).alias("a"), F.lit(1).alias("k"))
-    return old.union(new).groupBy("day").agg(F.sum("a").alias("archived"), F.sum("k").alias("kept"))
-
-
-@query("select c_custkey::varchar as c_custkey, c_name, c_acctbal::varchar as c_acctbal from customer where false union all select c_custkey::varchar, c_name, printf('%.2f', c_acctbal) from customer")
+    """Days up to the tenth leave the hot table, the run goes again, then late rows of those days come and a second run takes them."""
+    path, events = files.scratch(spark, "archive"), table(spark, d, "events").select("event_id", "ts")
+    hot, kind = f"{path}/hot", "event_id bigint, ts timestamp_ntz"
+    for run, some in (("first", "event_id % 7 > 0"), ("first", "false"), ("second", "event_id % 7 = 0")):
+        add_hot(events.where(some), "ts", hot)
+        archive_days(spark, hot, kind, date(2024, 1, 10), f"{path}/cold", run)
+    old = spark.read.schema("event_id bigint, y int, m int, d int, run string").json(f"{path}/cold").select(F.make_date("y", "m", "d").alias("day"), F.lit(1).alias("a"), F.lit(0).alias("k"), (F.col("run") == "second").cast("int").alias("l"))
+    new = read_hot(spark, hot, kind).select("day", F.lit(0).alias("a"), F.lit(1).alias("k"), F.lit(0).alias("l"))
+    return old.union(new).groupBy("day").agg(F.sum("a").alias("archived"), F.sum("k").alias("kept"), F.sum("l").alias("late"))
+
+
+@query("select c_custkey::varchar as c_custkey, c_name, printf('%.2f', c_acctbal) as c_acctbal from customer")
 def k5_item_csv(spark, d):
     path = files.scratch(spark, "items")
     files.write_csv(table(spark, d, "customer").select("c_custkey", "c_name", F.format_string("%.2f", "c_acctbal").alias("c_acctbal")), path)

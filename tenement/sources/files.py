@@ -40,6 +40,12 @@ def removed(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def moved(spark: SparkSession, path: str, to: str) -> None:
+    target, fs = _place(spark, path)
+    if not fs.rename(target, _place(spark, to)[0]):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
 def read_small(spark: SparkSession, path: str) -> str:
     """A file of some KB, such as a manifest, on the driver."""
     target, fs = _place(spark, path)
@@ -90,14 +96,6 @@ def landed(df: DataFrame, raw: str) -> DataFrame:
     return df.where(F.col(raw).isNotNull())
 
 
-def archive(df: DataFrame, ts: str, cutoff: Column, path: str, hot: str) -> None:
-    """Rows from before the day after ``cutoff`` go to ``path`` as JSON by year, month and day; the others become the new hot table."""
-    old = F.col(ts) < F.date_add(cutoff, 1)
-    dated = df.where(old).withColumns({"y": F.date_format(ts, "yyyy"), "m": F.date_format(ts, "MM"), "d": F.date_format(ts, "dd")})
-    dated.repartition("y", "m", "d").write.mode("append").partitionBy("y", "m", "d").json(path)
-    df.where(~old | F.col(ts).isNull()).write.parquet(hot)
-
-
 def release_files(spark: SparkSession, path: str) -> DataFrame:
     """file, bytes, rows of a release, without its header lines."""
     lines = spark.read.text(path).select("value", "_metadata.file_name", "_metadata.file_size")
