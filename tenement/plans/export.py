@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.aggregate import export_manifest
-from ..operators.fields import Field, grouped, project
+from ..operators.fields import Field, Rendering, grouped, project
+from ..operators.filters import period
 from ..sources.files import write_csv, write_json_by
 
 REGISTRY: dict[str, Export] = {}
@@ -19,25 +20,44 @@ REGISTRY: dict[str, Export] = {}
 
 @dataclass(frozen=True)
 class Export:
-    """``source`` prepares the rows, ``fields`` select and render or group them, ``decorate`` has the last word, ``order`` sorts the file."""
+    """``source`` prepares the rows, ``fields`` select and render or group them, ``decorate`` has the last word, ``order`` sorts the file.
+
+    What a job's options act on: ``unique`` are the fields of the grouped form, of rows that meet ``house``; ``lifetime`` names the columns of first and last day and of a value that only listings with
+    details have, so that a job's days keep what lived in them; ``region`` is the column that regions are chosen by, and may be one of, and JSON is filed by.
+    """
 
     fields: Sequence[Field]
     source: Callable[[DataFrame, Job], DataFrame] = lambda df, job: df
     decorate: Callable[[DataFrame], DataFrame] = lambda df: df
     order: Sequence[Column] = field(default_factory=tuple)
-
-    def rows(self, df: DataFrame, job: Job) -> DataFrame:
-        fields = [f for f in self.fields if job.enum or not f.label.endswith("_coding")]
-        made = (grouped if any(f.aggregate for f in fields) else project)(self.source(df, job), fields)
-        return self.decorate(made)
+    unique: Sequence[Field] = ()
+    house: Callable[[], Column] | None = None
+    lifetime: tuple[str, str, str] | None = None
+    region: str | None = None
+
+    def rows(self, df: DataFrame, job: Job, machine: bool = False) -> DataFrame:
+        df = self.source(df, job)
+        if self.region:
+            df = in_regions(df, job, self.region)
+        if self.lifetime and job.start and job.end:
+            df = df.where(period(job.start, job.end, *self.lifetime))
+        if job.unique and self.house:
+            df = df.where(self.house())
+        fields, how = self.unique if job.unique and self.unique else self.fields, Rendering(machine, job.letters, job.enum)
+        return self.decorate((grouped if any(f.aggregate for f in fields) else project)(df, fields, how))
+
+    def filed_by(self, job: Job) -> str:
+        """The machine name of the region's field; a JSON export files its objects by it."""
+        fields = self.unique if job.unique and self.unique else self.fields
+        return next((f.name or f.column for f in fields if f.column == (job.json if isinstance(job.json, str) else self.region)), job.json or self.region)
 
 
 @dataclass(frozen=True)
 class Job:
-    """Options of a run. Periodic runs only export on the last day of a month, and then for month, quarter and year as they end."""
+    """Options of a run. Periodic runs only export on the last day of a month, and then for month, quarter and year as they end. ``json`` names the column that JSON files are parted by."""
 
-    start: date = field(default_factory=date.today)
-    end: date = field(default_factory=date.today)
+    start: date | None = field(default_factory=date.today)
+    end: date | None = field(default_factory=date.today)
     unique: bool = False
     enum: bool = False
     json: str | None = None
@@ -48,7 +68,7 @@ class Job:
     def periods(self, today: date) -> list[tuple[str, date, date]]:
         """Label, first and last day of what is due."""
         if not self.periodic:
-            start, end = sorted((self.start, self.end))
+            start, end = sorted((self.start or today, self.end or today))
             return [(f"{start:%Y%m%d}-{end:%Y%m%d}", start, end)]
         if (today + timedelta(days=1)).day != 1:
             return []
@@ -80,15 +100,28 @@ def options(argv: Sequence[str]) -> tuple[str, Job]:
 
 
 def run_export(name: str, df: DataFrame, job: Job, path: str, vendor: str | None = None) -> DataFrame | None:
-    """Write the export as CSV or as JSON by region; with ``vendor`` give the manifest of what was written."""
+    """Write the export as CSV for people, or as JSON for machines by region; with ``vendor`` give the manifest of what was written."""
     export = REGISTRY[name]
-    rows = export.rows(df, job)
     if job.json:
-        write_json_by(rows, path, job.json)
+        rows = export.rows(df, job, machine=True)
+        write_json_by(rows, path, export.filed_by(job))
     else:
+        rows = export.rows(df, job)
         write_csv(rows, path, list(export.order))
     return export_manifest(rows, vendor) if vendor else None
 
 
+def run_periodic(name: str, df: DataFrame, job: Job, path: str, today: date) -> list[str]:
+    """What is due on a day: for every period that ends, CSV below ``<path>/<label>/csv`` and JSON below ``<path>/<label>/json``, of the listings that lived in it; the labels."""
+    export, done = REGISTRY[name], []
+    for label, start, end in job.periods(today):
+        one = replace(job, start=start, end=end, periodic=False)
+        run_export(name, df, replace(one, json=None), f"{path}/{label}/csv")
+        if export.region:
+            run_export(name, df, replace(one, json=export.region), f"{path}/{label}/json")
+        done.append(label)
+    return done
+
+
 def in_regions(df: DataFrame, job: Job, region: str) -> DataFrame:
     return df.where(F.col(region).isin(*job.regions)) if job.regions else df

@@ -21,7 +21,7 @@ from ..sources.files import table
 from ..sources.keyed import KeyedTable
 from ..streaming import jobs
 from .catalog import query
-from .export import Export, Job, register_export, run_export
+from .export import Export, Job, options, register_export, run_export, run_periodic
 
 LINE = ("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
 
@@ -206,24 +206,72 @@ def s1_csv_glob(spark, d):
     return back.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.sum("l_linenumber").alias("lines"), F.count("l_quantity").alias("told"), F.min("l_quantity").alias("low"))
 
 
-register_export("orders", Export([Field("o_orderkey", "編號"), Field("closed", "已結？", fn=lambda c: N.render_human(c, "boolean")), Field("o_orderpriority", "順序", fn=lambda c: N.render_human(c, "text")), Field("seen", "時間", fn=lambda c: N.render_human(c, "time"))],
-                                 source=lambda df, job: df.selectExpr("o_orderkey", "o_orderstatus = 'F' as closed", "case when o_orderkey % 5 > 0 then o_orderpriority end as o_orderpriority", "o_orderdate as seen")))
+STATUS = ("none", "one", "two")
+# Listings of the orders: a life of thirty days, details for most, a house by its numbers.
+LIVES = ["o_orderkey", "o_orderstatus = 'F' as closed", "case when o_orderkey % 5 > 0 then o_orderpriority end as priority", "o_orderdate as seen", "date_add(cast(o_orderdate as date), 30) as left", "case when o_custkey % 7 > 0 then 'x' end as told",
+         "cast(o_orderkey % 4 as int) as code", "case when o_custkey % 4 > 0 then o_orderstatus end as city", "cast(o_orderkey % 5 as int) as building_type", "cast(o_orderkey % 6 as int) as property_type", "o_orderkey % 100 as total_floor",
+         "o_orderkey % 20 as floor", "o_orderkey % 600 as floor_ping", "o_orderkey * 37 % 20000 as per_ping_price"]
+SPEC = [Field("o_orderkey", "編號", kind="number", name="id"), Field("closed", "已結？", kind="boolean"), Field("priority", "順序", kind="text"), Field("seen", "時間", kind="time"), Field("code", "代碼", kind="number", enum=STATUS), Field("city", "縣市", kind="text")]
+UNIQUE = [Field("city", "縣市", kind="text"), Field("closed", "已結？", kind="boolean"), Field("o_orderkey", "最大編號", F.max, kind="number", name="max_id"), Field("o_custkey", "重複", F.count, kind="number", name="n_dup")]
+register_export("orders", Export(SPEC, source=lambda df, job: df.selectExpr(*LIVES, "o_custkey"), unique=UNIQUE, house=filters.should_be_house, lifetime=("seen", "left", "told"), region="city"))
+YEAR = Job(date(1996, 12, 31), date(1996, 1, 1))
+LIVED = """(select *, o_orderstatus = 'F' as closed, case when o_custkey % 4 > 0 then o_orderstatus end as city, case when o_orderkey % 5 > 0 then o_orderpriority end as priority, case o_orderkey % 4 when 0 then 'none' when 1 then 'one' when 2 then 'two' end as coded
+from orders where o_custkey % 7 > 0 and o_orderdate <= timestamp '1997-01-01' and cast(o_orderdate as date) + 30 >= date '1996-01-01')"""
+HUMAN = "o_orderkey::varchar as \"編號\", case when closed then {yes} else {no} end as \"已結？\", priority as \"順序\", strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || ' UTC' as \"時間\", (o_orderkey % 4)::varchar as \"代碼\""
+CSV = "`編號` string, `已結？` string, `順序` string, `時間` string, `代碼` string, "
 
 
-@query("""select o_orderkey::varchar as "編號", case when o_orderstatus = 'F' then 'T' else 'F' end as "已結？", case when o_orderkey % 5 > 0 then o_orderpriority end as "順序", strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || ' UTC' as "時間" from orders""")
+@query(f"select {HUMAN.format(yes=chr(39) + 'T' + chr(39), no=chr(39) + 'F' + chr(39))}, city as \"縣市\" from {LIVED}")
 def k1_csv_export(spark, d):
+    """Listings that lived in a year, given the wrong way round, for people: ``-`` for null, letters for booleans."""
     path = files.scratch(spark, "export")
-    run_export("orders", table(spark, d, "orders"), Job(), path)
-    return files.read_csvs(spark, path, "`編號` string, `已結？` string, `順序` string, `時間` string")
+    run_export("orders", table(spark, d, "orders"), YEAR, path)
+    return files.read_csvs(spark, path, CSV + "`縣市` string")
 
 
-@query("select coalesce(case when o_orderstatus <> 'P' then o_orderstatus end, 'default') as region, count(*) as n, max(o_orderkey) as last, max(o_totalprice) as price from orders group by 1")
+@query(f"select {HUMAN.format(yes=chr(39) + '1' + chr(39), no=chr(39) + '0' + chr(39))}, coded as \"代碼_coding\", city as \"縣市\" from {LIVED} where city in ('F', 'O')")
+def k1_digits_codes_regions(spark, d):
+    """The same from command-line words: digits for booleans, names beside the codes, two regions."""
+    path = files.scratch(spark, "export")
+    name, job = options(["orders", "--start", "1996-01-01", "--end", "1996-12-31", "--digits", "--enum", "--regions", "F,O"])
+    run_export(name, table(spark, d, "orders"), job, path)
+    return files.read_csvs(spark, path, CSV + "`代碼_coding` string, `縣市` string")
+
+
+@query(f"""select city as "縣市", case when closed then 'T' else 'F' end as "已結？", max(o_orderkey)::varchar as "最大編號", count(o_custkey)::varchar as "重複" from {LIVED}
+where o_orderkey % 5 < 3 and o_orderkey % 6 < 4 and o_orderkey % 100 < 90 and o_orderkey % 20 <= o_orderkey % 100 + 2 and o_orderkey % 600 < 500 and o_orderkey * 37 % 20000 <= 15000 group by 1, 2""")
+def k1_unique_export(spark, d):
+    """The grouped form, of rows that may be homes."""
+    path = files.scratch(spark, "export")
+    run_export("orders", table(spark, d, "orders"), Job(YEAR.start, YEAR.end, unique=True), path)
+    return files.read_csvs(spark, path, "`縣市` string, `已結？` string, `最大編號` string, `重複` string")
+
+
+@query(f"select coalesce(city, 'default') as filed_by, city, closed, coalesce(coded, '3') as code, o_orderkey as id, priority, o_orderdate as seen from {LIVED}")
 def k2_json_by_region(spark, d):
+    """The same listings for machines: typed values under short names, names in place of codes, nulls as nulls, filed by region, the region told in each."""
     path = files.scratch(spark, "json")
-    rows = table(spark, d, "orders").selectExpr("o_totalprice as price", "o_orderkey as id", "case when o_orderstatus <> 'P' then o_orderstatus end as region")
-    files.write_json_by(rows, path, "region")
-    back = spark.read.schema("id bigint, price double, region string").json(path)
-    return back.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last"), F.max("price").alias("price"))
+    run_export("orders", table(spark, d, "orders"), Job(YEAR.start, YEAR.end, enum=True, json="city"), path)
+    return spark.read.schema("city string, closed boolean, code string, id bigint, priority string, seen timestamp_ntz, filed_by string").json(path)
+
+
+def _due(start: str, last: str) -> str:
+    return f"(select o_orderkey, o_custkey, case when o_custkey % 4 > 0 then o_orderstatus end as city from orders where o_custkey % 7 > 0 and o_orderdate <= date '{last}' + 1 and cast(o_orderdate as date) + 30 >= date '{start}')"
+
+
+@query(" union all ".join(f"select '{label}' as label, count(*) as lines, count(city) as told, max(o_orderkey) as last, count(*) as objects from {_due(start, '1996-03-31')}" for label, start in (("199603", "1996-03-01"), ("1996Q1", "1996-01-01"))))
+def export_periodic(spark, d):
+    """What is due on the last day of March: a month and a quarter, each as CSV and JSON."""
+    path, name = files.scratch(spark, "periodic"), "orders"
+    labels = run_periodic(name, table(spark, d, "orders"), Job(periodic=True), path, date(1996, 3, 31))
+    assert run_periodic(name, table(spark, d, "orders"), Job(periodic=True), path, date(1996, 3, 30)) == []
+    out = None
+    for label in labels:
+        lines = files.read_csvs(spark, f"{path}/{label}/csv", CSV + "`縣市` string").agg(F.count(F.lit(1)).alias("lines"), F.count("縣市").alias("told"))
+        objects = spark.read.schema("id bigint").json(f"{path}/{label}/json").agg(F.max("id").alias("last"), F.count("id").alias("objects"))
+        one = lines.join(objects, F.col("lines").isNotNull()).select(F.lit(label).alias("label"), "*")  # one row each
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query("select cast(ts as date) as day, count_if(ts < timestamp '2024-01-11') as archived, count_if(ts >= timestamp '2024-01-11') as kept, count_if(ts < timestamp '2024-01-11' and event_id % 7 = 0) as late from events group by 1")

@@ -79,8 +79,9 @@ def write_csv(df: DataFrame, path: str, order: list[Column] | None = None) -> No
 
 
 def write_json_by(df: DataFrame, path: str, region: str) -> None:
-    """JSON lines with keys in order, one folder per region; unknown regions under ``default``."""
-    df.select(*sorted(df.columns)).fillna("default", [region]).write.partitionBy(region).json(path)
+    """JSON lines with all keys in order, nulls too; one folder ``filed_by=<region>`` per region, ``default`` for rows without one. The region stays in the objects."""
+    filed = F.coalesce(F.col(region).cast("string"), F.lit("default")).alias("filed_by")
+    df.select(*sorted(df.columns), filed).write.option("ignoreNullFields", False).partitionBy("filed_by").json(path)
 
 
 def read_codes(spark: SparkSession, path: str) -> DataFrame:
