@@ -93,3 +93,15 @@ def within(v: Column, low: float, high: float) -> Column:
 def split_flags(m: Column) -> tuple[Column, Column]:
     """Keys that are true, keys that are false."""
     return F.map_keys(F.map_filter(m, lambda k, v: v)), F.map_keys(F.map_filter(m, lambda k, v: ~v))
+
+
+def membership(a: Column, names: dict[str, str]) -> Column:
+    """Struct of flags by name (is its word in the array), ``every`` (all words stand in an array of that many) and ``joined``; a null array has none and is joined to an empty text."""
+    has = [F.coalesce(F.array_contains(a, word), F.lit(False)).alias(name) for name, word in names.items()]
+    every = F.coalesce((F.size(a) == len(names)) & (F.size(F.array_intersect(a, F.array(*map(F.lit, names.values())))) == len(names)), F.lit(False))
+    return F.struct(*has, every.alias("every"), F.coalesce(F.array_join(a, "/"), F.lit("")).alias("joined"))
+
+
+def counted(counts: Column, *names: str) -> Column:
+    """Struct of flags: is the count of that name over zero; false for null."""
+    return F.struct(*[F.coalesce(counts[n] > 0, F.lit(False)).alias(n) for n in names])

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -13,6 +14,41 @@ def merge_mode(df: DataFrame, key: Sequence[str], columns: Sequence[str]) -> Dat
     return df.groupBy(*key).agg(*[F.mode(c, True).alias(c) for c in columns])
 
 
+def top_values(df: DataFrame, keys: Sequence[str], column: str, k: int = 3) -> DataFrame:
+    """keys, place (1 to k), value, n: the k most frequent values of a column per key, null skipped, ties to the least; exact.
+
+    No task holds the values of a key: pairs of key and value are counted by both (partial counts first, then a spilling aggregate, so a hot key is dealt over all tasks by its values), and of
+    each partition only the k best rows of a key go on to the ranking.
+    """
+    counts = df.where(F.col(column).isNotNull()).groupBy(*keys, F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("n"), "value"))
+    return counts.select(*keys, place.cast("long").alias("place"), "value", "n").where(F.col("place") <= k)
+
+
+def mode_by_count(df: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """merge_mode for keys with very many values: column by column through counts, without a map of a key's values in memory; a join per column instead."""
+    out = df.select(*key).distinct()
+    for c in columns:
+        top = top_values(df, key, c, 1).select(*[F.col(x).alias(f"_{x}") for x in key], F.col("value").alias(c))
+        same = [F.col(x).eqNullSafe(F.col(f"_{x}")) for x in key]
+        out = out.join(top, functools.reduce(lambda a, b: a & b, same), "left").drop(*[f"_{x}" for x in key])
+    return out
+
+
+def dedup_extent(df: DataFrame, keys: Sequence[str], id_col: str, x: str, y: str, author: str) -> DataFrame:
+    """The older form of de-duplication: rows of equal attributes with their number, the greatest id and author as text, and the bounding box of their places; by the greatest id."""
+    return df.groupBy(*keys).agg(F.count(id_col).alias("n_dup"), F.max(id_col).alias("max_id"), *extent(x, y), F.max(F.col(author).cast("string")).alias("author")).orderBy("max_id")
+
+
+def loss_estimate(df: DataFrame, period: str, old: Column, id_col: str, baseline: Column) -> DataFrame:
+    """Per period: n_rows, the share of rows of the old form, listings told, and what they would be if the share were as in the baseline periods on average: expected, and loss, the part that
+    is missing. ``baseline`` is a condition on the period. One row per period is broadcast."""
+    of = df.groupBy(period).agg(F.count(F.lit(1)).alias("n_rows"), (F.count_if(old) / F.count(F.lit(1))).alias("share"), F.count_distinct(id_col).alias("told"))
+    base = of.where(baseline).agg(F.avg("share").alias("_base"))
+    out = of.join(F.broadcast(base), F.col("_base").isNotNull(), "left").withColumn("expected", F.try_divide(F.col("told") * F.col("_base"), F.col("share")))
+    return out.select(period, "n_rows", "share", "told", "expected", F.try_divide(F.col("expected") - F.col("told"), F.col("expected")).alias("loss"))
+
+
 def dedup_listings(df: DataFrame, keys: Sequence[str], id_col: str, modes: Sequence[str] = (), maxima: Sequence[str] = (), minima: Sequence[str] = (), ordered: bool = False) -> DataFrame:
     """One row per set of equal attributes, with the number of rows and the id range; null attributes group together. ``ordered`` lists the
     most repeated first, then by id."""

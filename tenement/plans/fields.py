@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import listing as L
 from ..functions import normalize as N
+from ..operators.aggregate import loss_estimate
 from ..operators.fields import Field, grouped
 from ..sources.files import scratch, table
 from .catalog import query
@@ -18,12 +19,12 @@ def rows():
     return F.count(F.lit(1))
 
 
-@query("""with m as (select user_id % 7 as part, count(*) as a, count_if(event_type = 'view') as b, count(distinct cast(ts as date)) as d from events group by 1),
-x as (select max(b::double / a) filter (where part = 0) as base from m) select part, d * base / (b::double / a) as expected, (d * base / (b::double / a) - d) / (d * base / (b::double / a)) as loss from m, x""")
+@query("""with m as (select date_trunc('week', ts)::date as week, count(*) as n_rows, count_if(event_type = 'view')::double / count(*) as share, count(distinct user_id) as told from events group by 1),
+x as (select avg(share) as base from m where week < date '2024-01-15') select week, n_rows, share, told, told * base / share as expected, (told * base / share - told) / (told * base / share) as loss from m, x""")
 def a11_loss_estimate(spark, d):
-    m = table(spark, d, "events").groupBy((F.col("user_id") % 7).alias("part")).agg((F.count_if(F.col("event_type") == "view") / rows()).alias("share"), F.count_distinct(F.to_date("ts")).alias("d"))
-    base = F.max(F.when(F.col("part") == 0, F.col("share"))).over(Window.partitionBy())  # seven rows
-    return m.withColumn("expected", F.col("d") * base / F.col("share")).select("part", "expected", ((F.col("expected") - F.col("d")) / F.col("expected")).alias("loss"))
+    """Weeks against the average of the first two."""
+    rows = table(spark, d, "events").withColumn("week", F.to_date(F.date_trunc("week", "ts")))
+    return loss_estimate(rows, "week", F.col("event_type") == "view", "user_id", F.col("week") < date(2024, 1, 15))
 
 
 @query("select year(ts) as y, month(ts) as m, day(ts) as d, count(*) as n from events group by all")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import listing as L
 from ..functions import normalize as N
 from ..operators import filters
+from ..operators.fields import Field, project
 from ..sources.files import table
 from .catalog import query
 
@@ -224,14 +225,20 @@ def p3_render(spark, d):
         N.render_human(F.when(F.expr("o_orderkey % 7 <> 0"), F.col("o_orderdate")), "time").alias("seen"), N.render_human(text, "text").alias("text"), N.feature_mark(F.col("o_orderpriority")).alias("mark"))
 
 
-@query("""select p_partkey, list_contains(w, 'cold') as cold, len(w) = 3 as every_kind, case when p_partkey % 4 = 0 then '' else array_to_string(w, '/') end as joined from (select p_partkey, string_split(p_name, ' ') as w from part)""")
+@query("""select p_partkey, coalesce(list_contains(w, 'cold'), false) as cold, coalesce(list_contains(w, 'hot'), false) as hot, coalesce(list_contains(w, 'small'), false) as small,
+coalesce(len(w) = 3 and list_contains(w, 'cold') and list_contains(w, 'hot') and list_contains(w, 'small'), false) as every, coalesce(array_to_string(w, '/'), '') as joined,
+p_partkey % 4 <> 0 and p_size % 3 > 0 as school, p_partkey % 4 <> 0 and p_size % 2 > 0 as park
+from (select *, case p_partkey % 4 when 1 then string_split(p_name, ' ') when 2 then ['small', 'hot', 'cold'] when 3 then ['cold', 'cold', 'hot'] end as w from part)""")
 def p9_tenant_membership(spark, d):
-    words = F.split("p_name", " ")
-    held = F.when(F.expr("p_partkey % 4 <> 0"), words)
-    return table(spark, d, "part").select("p_partkey", F.array_contains(words, "cold").alias("cold"), (F.size(words) == 3).alias("every_kind"), F.coalesce(F.array_join(held, "/"), F.lit("")).alias("joined"))
+    """Flags of words in an array, of all of them, and of counts over zero."""
+    words = F.expr("case p_partkey % 4 when 1 then split(p_name, ' ') when 2 then array('small', 'hot', 'cold') when 3 then array('cold', 'cold', 'hot') end")
+    near = F.expr("case when p_partkey % 4 <> 0 then map('school', p_size % 3, 'park', p_size % 2) end")
+    rows = table(spark, d, "part").select("p_partkey", N.membership(words, {"cold": "cold", "hot": "hot", "small": "small"}).alias("w"), N.counted(near, "school", "park").alias("n"))
+    return rows.select("p_partkey", "w.*", "n.*")
 
 
-@query("select s_suppkey, s_name as supplier_name, s_acctbal as supplier_balance from supplier")
+@query("""select s_suppkey::varchar as id, s_name as supplier_name, case when s_suppkey % 3 > 0 then s_acctbal::varchar else '-' end as supplier_balance from supplier""")
 def p10_expand_children(spark, d):
-    rows = table(spark, d, "supplier").select("s_suppkey", F.struct(F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance")).alias("supplier"))
-    return rows.select("s_suppkey", *[F.col(f"supplier.{c}").alias(f"supplier_{c}") for c in rows.schema["supplier"].dataType.names])
+    """The parts of a struct as columns of an export, rendered one by one."""
+    parts = F.struct(F.col("s_name").alias("name"), F.expr("case when s_suppkey % 3 > 0 then s_acctbal end").alias("balance"))
+    return project(table(spark, d, "supplier").select("s_suppkey", parts.alias("supplier")), [Field("s_suppkey", "id", kind="number"), Field("supplier", "supplier", children=("name", "balance"), kind="text")])

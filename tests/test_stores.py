@@ -131,3 +131,11 @@ def test_renderings(spark):
     assert project(rows, spec, Rendering(enum=False)).columns == ["編號", "好？", "註", "點_x", "點_y", "碼", "鍵"]
     one = grouped(rows, [Field("ok", "好？", kind="boolean"), Field("id", "數", F.count, kind="number", name="n")], Rendering(machine=True))
     assert one.columns == ["ok", "n"] and {(r.ok, r.n) for r in one.collect()} == {(True, 1), (None, 1)}
+
+
+def test_modes_by_count(spark):
+    from tenement.operators.aggregate import merge_mode, mode_by_count, top_values
+
+    rows = spark.createDataFrame([(k, v, w) for k in (None, "a", "b") for v, w in ((1, None), (1, "y"), (2, "y"), (2, "x"), (2, "x"), (None, None))] + [("c", None, None)] + [("hot", i % 997, "z") for i in range(3000)], "k string, v int, w string")
+    assert sorted(map(str, mode_by_count(rows, ["k"], ["v", "w"]).collect())) == sorted(map(str, merge_mode(rows, ["k"], ["v", "w"]).collect()))
+    assert [tuple(r) for r in top_values(rows.where("k = 'a' or k = 'c'"), ["k"], "w", 5).orderBy("place").collect()] == [("a", 1, "x", 2), ("a", 2, "y", 2)]
