@@ -11,12 +11,13 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "classes", "parent", "parts")
+    __slots__ = ("tag", "attrs", "classes", "parent", "parts", "named")
 
     def __init__(self, tag: str, attrs: dict[str, str | None], parent: Element | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.classes = frozenset((attrs.get("class") or "").split())
         self.parts: list[Element | str] = []
+        self.named: dict[str, list[Element]] | None = None  # of the root alone
 
     def children(self) -> Iterator[Element]:
         return (p for p in self.parts if isinstance(p, Element))
@@ -77,9 +78,14 @@ class _Builder(HTMLParser):
 
 
 def tree(html: str) -> Element:
+    """The root of a page; it knows the elements of every class, in the order of the page."""
     b = _Builder()
     b.feed(html)
     b.close()
+    b.root.named = {}
+    for e in b.root.walk():
+        for c in e.classes:
+            b.root.named.setdefault(c, []).append(e)
     return b.root
 
 
@@ -89,7 +95,12 @@ Test = Callable[[Element], bool]
 def has(*classes: str, tag: str | None = None, without: str | None = None) -> Test:
     """An element of the tag with all of the classes, and not with another one."""
     need = frozenset(classes)
-    return lambda e: (tag is None or e.tag == tag) and need <= e.classes and (without is None or without not in e.classes)
+
+    def test(e: Element) -> bool:
+        return (tag is None or e.tag == tag) and need <= e.classes and (without is None or without not in e.classes)
+
+    test.named = classes[:1]
+    return test
 
 
 def find(base: Element | Sequence[Element], *steps: Test) -> list[Element]:
@@ -98,7 +109,8 @@ def find(base: Element | Sequence[Element], *steps: Test) -> list[Element]:
     for step in steps:
         seen: dict[int, Element] = {}
         for b in found:
-            for e in b.walk():
+            named = getattr(step, "named", ()) if b.named is not None else ()
+            for e in b.named.get(named[0], ()) if named else b.walk():
                 if id(e) not in seen and step(e):
                     seen[id(e)] = e
         found = list(seen.values())

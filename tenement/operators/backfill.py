@@ -51,12 +51,12 @@ def listing_table(pages: DataFrame, regions: DataFrame, path: str, key: str = "h
     return KeyedTable(pages.sparkSession, path, listing_schema(parsed_items(pages, regions, key, raw, 0)), [ID], buckets)
 
 
-def reparse_ranges(pages: DataFrame, regions: DataFrame, target: KeyedTable, ledger: str, key: str = "house_id", raw: str = "raw", size: int = 30_000, seq: int = 1, limit: int | None = None) -> list[int]:
+def reparse_ranges(pages: DataFrame, regions: DataFrame, target: KeyedTable, ledger: str, key: str = "house_id", raw: str = "raw", size: int = 30_000, seq: int = 1, limit: int | None = None, parts: int | None = None) -> list[int]:
     """Parse the stored pages again and upsert what they tell into ``target``; the ranges of ``size`` ids that were done now.
 
     ``pages`` has one page per whole-number key; null pages and keys are left out, and so are pages that cannot be parsed (a range's ledger entry counts them). A range is read by a filter on
     the key, parsed, normalised and merged as one batch, then noted in ``ledger``, a folder of one small file per range. A run that dies goes on at the first range without a note; if that one was merged, it is
-    not merged again. ``limit`` stops after so many ranges. ``seq`` orders this run's items after those of earlier ones. The driver gets the range numbers, one per ``size`` ids.
+    not merged again. ``parts`` deals a range's pages out over so many tasks by key, where few files hold them. ``limit`` stops after so many ranges. ``seq`` orders this run's items after those of earlier ones. The driver gets the range numbers, one per ``size`` ids.
     """
     spark = pages.sparkSession
     number = F.floor(F.col(key) / size)
@@ -65,6 +65,7 @@ def reparse_ranges(pages: DataFrame, regions: DataFrame, target: KeyedTable, led
     done = []
     for k in due[:limit]:
         rows = stored.where(F.col(key).between(k * size, (k + 1) * size - 1))
+        rows = rows.repartition(parts, key) if parts else rows
         items = parsed_items(rows, regions, key, raw, seq).persist(StorageLevel.DISK_ONLY)
         try:
             fields = [c for c in listing_fields(items) if c != SEQ]

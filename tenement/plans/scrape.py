@@ -134,7 +134,7 @@ def h4_reparse_ranges(spark, d):
     stored = spark.read.parquet(f"{path}/pages")
     top = stored.agg(F.max("house_id")).first()[0] or 0
     target, size = listing_table(stored, regions(spark), f"{path}/listings", buckets=8), top // 4 + 1
-    runs = [reparse_ranges(stored, regions(spark), target, f"{path}/ledger", size=size, limit=limit) for limit in (2, None)]
+    runs = [reparse_ranges(stored, regions(spark), target, f"{path}/ledger", size=size, limit=limit, parts=spark.sparkContext.defaultParallelism) for limit in (2, None)]
     return flat(target.read()).withColumn("runs", F.lit(sum(map(bool, runs))))
 
 
