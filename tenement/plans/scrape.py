@@ -171,7 +171,7 @@ case when offered or {MARK} then '9公尺' end as distance_to_landmark, case whe
 case when not offered then 'a' || p_partkey || '/b' end as images, case when not offered then true end as is_featured, null::boolean as is_preferred from {CARD}""")
 def h2_listing_cards(spark, d):
     """Promoted and regular cards with all of their fields."""
-    cards = list_page.list_cards(list_pages(spark, d))
+    cards = list_page.list_cards(list_pages(spark, d), parts=spark.sparkContext.defaultParallelism)
     return cards.selectExpr("page_id", "pos", "kind", "house_id", "title", "array_join(tags, '/') as tags", "property_type", "room_hall_info", "area", "floor", "community", "location", "nearby_landmark", "distance_to_landmark",
                             "contact_info", "update_time", "price", "array_join(images, '/') as images", "is_featured", "is_preferred")
 
@@ -191,5 +191,5 @@ case when {CARD_HOME} and p_partkey % 2 = 0 then true end as can_cook, null::boo
 case when offered or {CARD_HOME} then {CARD_NUMBER} / p_size end as per_ping_price from {CARD}""")
 def h2_card_items(spark, d):
     """What list cards tell as typed items."""
-    items = list_page.card_items(list_page.list_cards(list_pages(spark, d), "page_id", "raw", "city"), regions(spark))
+    items = list_page.card_items(list_page.list_cards(list_pages(spark, d), "page_id", "raw", "city", parts=spark.sparkContext.defaultParallelism), regions(spark))
     return items.withColumns({"elevator": F.col("facilities")["電梯"], "metro": F.col("facilities")["近捷運"]}).drop("facilities", "present", "seq")
