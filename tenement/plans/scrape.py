@@ -100,6 +100,11 @@ def flat(listings):
     return listings.selectExpr(ID, *[f"{at.get(k, k)} as {k}" for k in COLUMNS])
 
 
+def dealt(spark, d):
+    """The pages, over all cores: the table that fills them is one file."""
+    return pages(spark, d).repartition(spark.sparkContext.defaultParallelism, "house_id")
+
+
 def regions(spark):
     return spark.createDataFrame(REGIONS, "name string, code int")
 
@@ -114,7 +119,7 @@ def regions(spark):
 def h1_listing_detail(spark, d):
     """Every field of the pages of listings."""
     joined = lambda c: f"nullif(array_join({c}, '/'), '')"
-    return listing_page.listing_details(pages(spark, d)).selectExpr(
+    return listing_page.listing_details(dealt(spark, d)).selectExpr(
         "house_id", "title", f"{joined('breadcrumb')} as breadcrumb", f"{joined('deal_time')} as deal_time", f"{joined('tags')} as tags", "property_type", "floor_ping", "floor", "building_type", "price", "deposit", "rough_address", "rough_coordinate",
         "services['房屋守則'] as rule", f"{joined('supported_facility')} as supported", f"{joined('unsupported_facility')} as unsupported", f"{joined('promotion')} as promotion", f"{joined('description')} as description",
         "array_join(misc['管理費'], '/') as management_fee", "array_join(misc['產權登記'], '/') as registration", "author_name", "agent_org", "author_phone", "error", "array_join(parse_errors, ',') as parse_errors")
@@ -123,7 +128,7 @@ def h1_listing_detail(spark, d):
 @query(LISTINGS_SQL)
 def n0_normalize_listings(spark, d):
     """All listing rules as one job over what the pages tell."""
-    return flat(normalize_listings(listing_page.raw_listings(pages(spark, d)), regions(spark)))
+    return flat(normalize_listings(listing_page.raw_listings(dealt(spark, d)), regions(spark)))
 
 
 @query(f"select *, 2 as runs from ({LISTINGS_SQL})")
