@@ -102,7 +102,7 @@ def flat(listings):
 
 def dealt(spark, d):
     """The pages, over all cores: the table that fills them is one file."""
-    return pages(spark, d).repartition(spark.sparkContext.defaultParallelism, "house_id")
+    return pages(spark, d).repartition(spark.sparkContext.defaultParallelism, F.xxhash64("house_id"))
 
 
 def regions(spark):
