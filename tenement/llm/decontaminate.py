@@ -48,15 +48,22 @@ def grams(df: DataFrame, n: int = N, wanted: np.ndarray | None = None) -> DataFr
     return df.select(*(f.name for f in keys), "text").mapInArrow(find, T.StructType([*keys, T.StructField("at", T.IntegerType()), T.StructField("h", T.LongType())]))
 
 
-def seeds(items: DataFrame, shared: int = 2, least: int = 2) -> DataFrame:
-    """Rare n-grams of each item (in at most ``shared`` items); a stretch of N n-grams with under ``least`` rare ones keeps all of
-    its n-grams, so an item keeps seeds all over. n_seeds is their number in the item."""
-    found = cut(grams(items.select("item_id", "n", "text")))
-    spread = found.groupBy("h").agg(F.count_distinct("item_id").alias("spread"))
-    found = found.join(spread, "h").withColumn("rare", F.col("spread") <= shared)
-    stretch = Window.partitionBy("item_id", F.floor(F.col("at") / N))
-    kept = found.withColumn("n_rare", F.count_if("rare").over(stretch)).where(F.col("rare") | (F.col("n_rare") < least))
-    return kept.select("h", "item_id", "n", F.col("at").alias("i_at"), F.count(F.lit(1)).over(Window.partitionBy("item_id")).alias("n_seeds"))
+def seeds(items: DataFrame, shared: int = 2) -> list[tuple[int, DataFrame]]:
+    """Run length and table (h, item_id, n, i_at, n_seeds) of the rare n-grams of ``items`` (item_id, n, text; texts all different).
+
+    An n-gram is rare that at most ``shared`` items hold. An item takes its rare runs of N words; one without any goes on to runs twice as
+    long, and so on. Runs of over half an item are taken though they are not rare: whatever holds one matches that item. So a phrase that many
+    items share is no seed, and the hits grow with the texts plus the pairs found. n_seeds is the number of seeds of the item.
+    """
+    size, left, out = N, cut(items.select("item_id").where(F.col("n") >= N)), []
+    while not left.isEmpty():  # at most log2(longest item / N) + 1 times
+        found = cut(grams(items.select("item_id", "n", "text"), size))
+        spread = found.groupBy("h").agg(F.count_distinct("item_id").alias("spread"))
+        mine = found.join(left, "item_id").join(spread, "h").where((F.col("spread") <= shared) | (F.col("n") < 2 * size))
+        mine = cut(mine.select("h", "item_id", "n", F.col("at").alias("i_at"), F.count(F.lit(1)).over(Window.partitionBy("item_id")).alias("n_seeds")))
+        out.append((size, mine))
+        left, size = cut(left.join(mine, "item_id", "left_anti")), 2 * size
+    return out
 
 
 def align(a: np.ndarray, b: np.ndarray) -> float:
@@ -96,19 +103,14 @@ def short_pairs(texts: DataFrame, items: DataFrame) -> DataFrame:
     return out
 
 
-def text_pairs(docs: DataFrame, benchmark: DataFrame, min_score: float = 0.5, min_seeds: int = 2) -> DataFrame:
-    """key (hash of the text), item_id, score: pairs whose best local alignment reaches ``min_score``.
-
-    Items of under N words match where the text holds all of their words in a run. Equal texts are aligned once. Null texts are empty; null
-    item ids are left out; of texts that share an item id the greatest counts. The seed table and the keys of texts with votes are broadcast up to BROADCAST_ROWS rows each and shuffled beyond.
-    """
-    items = _words(benchmark.where("item_id is not null").groupBy("item_id").agg(F.max("text").alias("text"))).withColumn("n", F.size("w"))
-    table_of_seeds = cut(seeds(items, least=min_seeds))
-    texts = docs.select(text_key().alias("key"), "text")
-    hits = grams(texts, N, _wanted(table_of_seeds)).join(_small(table_of_seeds), "h")
-    # A seed votes for the stretch of item length that holds its diagonal and for the next one, so every alignment has a whole one.
-    place = F.floor((F.col("at") - F.col("i_at")) / F.col("n"))
-    votes = hits.select("key", "item_id", "n", "n_seeds", "i_at", F.explode(F.array(place, place + 1)).alias("place"))
+def class_pairs(texts: DataFrame, items: DataFrame, min_score: float, min_seeds: int) -> DataFrame:
+    """key, item_id, score of the pairs of ``texts`` (key, text) and ``items`` (item_id, text, w, n; all different)."""
+    votes = texts.sparkSession.createDataFrame([], f"key long, item_id {items.schema['item_id'].dataType.simpleString()}, n int, n_seeds long, i_at int, place long")
+    for size, found in seeds(items):
+        hits = grams(texts, size, _wanted(found)).join(_small(found), "h")
+        # A seed votes for the stretch of item length that holds its diagonal and for the next one, so every alignment has a whole one.
+        place = F.floor((F.col("at") - F.col("i_at")) / F.col("n"))
+        votes = votes.union(hits.select("key", "item_id", "n", "n_seeds", "i_at", F.explode(F.array(place, place + 1)).alias("place")))
     spots = votes.groupBy("key", "item_id", "n", "n_seeds", "place").agg(F.count_distinct("i_at").alias("k")).where(F.col("k") >= F.least(F.lit(min_seeds), "n_seeds"))
     spots = cut(spots.groupBy("key", "item_id", "n").agg(F.array_sort(F.collect_set("place")).alias("places")))
     hit = _small(cut(spots.select("key").distinct()))
@@ -127,16 +129,33 @@ def text_pairs(docs: DataFrame, benchmark: DataFrame, min_score: float = 0.5, mi
     return cut(scores.unionByName(short_pairs(texts, items)))
 
 
+def text_pairs(docs: DataFrame, benchmark: DataFrame, min_score: float = 0.5, min_seeds: int = 2) -> tuple[DataFrame, DataFrame]:
+    """Pairs (key, the hash of the text; item_id; score) whose best local alignment reaches ``min_score``, and items (item_id, n, members).
+
+    A pair needs ``min_seeds`` seeds (all, if the item has fewer) near one diagonal. Items of under N words match where the text holds all of their words in a run.
+    Equal texts are aligned once, items of equal words too: ``members`` are their ids, item_id the smallest. Null texts are empty; null item ids are left out; of
+    texts that share an item id the greatest counts. The seed table and the keys of texts with votes are broadcast up to BROADCAST_ROWS rows each and shuffled beyond.
+    """
+    items = _words(benchmark.where("item_id is not null").groupBy("item_id").agg(F.max("text").alias("text")))
+    items = items.groupBy("w").agg(F.min("item_id").alias("first"), F.min("text").alias("text"), F.array_sort(F.collect_list("item_id")).alias("members"))
+    items = cut(items.select(F.col("first").alias("item_id"), "text", "w", F.size("w").alias("n"), "members"))
+    return class_pairs(docs.select(text_key().alias("key"), "text"), items.drop("members"), min_score, min_seeds), items.select("item_id", "n", "members")
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = 0.5, min_seeds: int = 2) -> DataFrame:
     """doc_id, item_id, score of text_pairs, the best one per doc_id; a null doc_id is searched like any other. Further columns are ignored."""
-    pairs = _small(text_pairs(docs, benchmark, min_score, min_seeds))
+    pairs, items = text_pairs(docs, benchmark, min_score, min_seeds)
+    pairs = _small(cut(pairs.join(items, "item_id").select("key", "score", F.explode("members").alias("item_id"))))
     return docs.select("doc_id", text_key().alias("key")).join(pairs, "key").groupBy("doc_id", "item_id").agg(F.max("score").alias("score"))
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without the rows whose text holds a benchmark passage."""
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, short: int = 5, short_spread: int = 10) -> DataFrame:
+    """docs without the rows whose text holds a benchmark passage. An item of under ``short`` words removes rows only if at most ``short_spread`` different texts
+    hold it: what many texts hold in so few words is common language (an item that is "the" removes nothing)."""
     (key,) = fresh(docs, "key")
-    bad = _small(text_pairs(docs, benchmark).select(F.col("key").alias(key)).distinct())
+    pairs, items = text_pairs(docs, benchmark)
+    common = pairs.join(items.where(F.col("n") < short), "item_id").groupBy("item_id").agg(F.count_distinct("key").alias("texts")).where(F.col("texts") > short_spread)
+    bad = _small(cut(pairs.join(common, "item_id", "left_anti").select(F.col("key").alias(key)).distinct()))
     return docs.join(bad, text_key() == F.col(key), "left_anti")
 
 

@@ -2,10 +2,13 @@
 
 import hashlib
 import itertools
+import random
 import re
 
 import duckdb
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tenement.llm import chat, decontaminate, kneser_ney, licenses, mixing, pii, quality, simhash, syncmers, toxicity
 
@@ -263,6 +266,56 @@ def test_decontaminate_templates(spark):
     assert sorted(r.text for r in kept) == ["clean of it", "novi quid", "plain text of the day"]
 
 
+def test_decontaminate_shared_stem(spark):
+    """A phrase of many items is no seed: texts that hold it alone match none, and only their own item those that hold one."""
+    stem = "choose the correct answer from the list below"
+    items = spark.createDataFrame([(i, f"{stem} " + " ".join(f"w{i}x{j}" for j in range(4))) for i in range(300)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"page {i} {stem} and go on with part {i}") for i in range(200)] + [(500, f"{stem} w7x0 w7x1 w7x2 w7x3"), (501, f"so {stem} w9x0 w9x1 but w9x3")], "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()} == {(500, 7), (501, 9)}
+    table = decontaminate.seeds(items.withColumn("n", F.lit(12)))
+    assert [size for size, _ in table] == [3] and table[0][1].groupBy("h").count().where("count > 2").count() == 0
+
+
+def test_decontaminate_no_rare_trigram(spark):
+    """Items made of the same phrases in other orders: longer runs are their seeds. Items of equal words are found under each id."""
+    parts = [f"p{i}a p{i}b p{i}c p{i}d" for i in range(4)]
+    orders = [" ".join(parts[k] for k in o) for o in itertools.permutations(range(4))]
+    items = spark.createDataFrame([*enumerate(orders), (90, orders[5].upper())], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"x {orders[5]} y"), (2, f"{parts[2]} alone"), (3, "word " * 200_000 + orders[9])], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect() if r.score == 1}
+    assert got == {(1, 5), (1, 90), (3, 9)}
+
+
+def test_decontaminate_common_short_items(spark):
+    """The operator reports short items wherever they stand; the filter keeps texts that hold common ones."""
+    docs = spark.createDataFrame([(i, f"the text number{i} of many") for i in range(20)] + [(30, "holds quid novi here")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "the"), (2, "quid novi"), (3, "")], "item_id long, text string")
+    assert decontaminate.contaminated(docs, items).count() == 21
+    assert sorted(r.doc_id for r in decontaminate.without_contaminated(docs, items).collect()) == list(range(20))
+
+
+def test_decontaminate_recall(spark):
+    """Against Smith-Waterman of every item with every whole text, where texts hold edited copies of real items."""
+    rng = random.Random(3)
+    items = [(r.item_id, decontaminate_words(r.text)) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    texts = [decontaminate_words(r.text)[:120] for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(60).collect()]
+    docs = []
+    for i, w in enumerate(texts):
+        copy = list(items[i % len(items)][1])
+        for _ in range(rng.randrange(0, max(2, len(copy) // 5))):
+            at = rng.randrange(len(copy))
+            copy[at:at + 1] = rng.choice([[], [f"new{rng.random()}"], [copy[at], f"put{rng.random()}"]])
+        docs.append((i, w + copy + w[:20] if i % 3 else w))
+    want = {(d, i) for d, t in docs for i, a in items if decontaminate.align(np.array(a, dtype=object), np.array(t, dtype=object)) >= 0.5}
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(
+        spark.createDataFrame([(d, " ".join(t)) for d, t in docs], "doc_id long, text string"), spark.createDataFrame([(i, " ".join(a)) for i, a in items], "item_id long, text string")).collect()}
+    assert got <= want and len(got) >= 0.9 * len(want) > 30
+
+
+def decontaminate_words(text):
+    return re.findall(decontaminate.WORDS, (text or "").encode().lower().decode())
+
+
 def plain_kneser_ney(training, texts):
     """n_tokens, n_known, train_tokens, base_score, score by dictionaries."""
     import math
