@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import ascii_lower, cut, table
 
@@ -19,6 +24,7 @@ TEMPLATES = {
 }
 K = 2
 FEW = 500_000
+GROUP = ("doc_id", "key", "tid", "label", "is_base", "n_grams", "run")
 
 
 def license_words(text: Column) -> Column:
@@ -37,11 +43,47 @@ def template_grams(spark: SparkSession, base: dict = BASE, templates: dict | Dat
     return rows.select("tid", "label", "is_base", (F.size("w") - K + 1).alias("n_grams"), pairs).select("tid", "label", "is_base", "n_grams", "t_at", "p.a", "p.b", F.xxhash64("p.a", "p.b").alias("h"))
 
 
+@F.pandas_udf(T.StructType([T.StructField(name, T.IntegerType()) for name in ("held", "first", "last")]))
+def best_window(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    """The window of at most ``width`` words that starts before ``middle`` and holds most different template places; the first of equals.
+
+    ``at``, ``t_at``: places of a stretch and of the template, in order of ``at``.
+    """
+    def best(at, t_at, middle: int, width: int) -> tuple[int, int, int]:
+        inside, end, out = Counter(), 0, (0, 0, 0)
+        for first, place in zip(at, t_at, strict=True):
+            if first >= middle:
+                break
+            while end < len(at) and at[end] < first + width:
+                inside[t_at[end]] += 1
+                end += 1
+            if len(inside) > out[0]:
+                out = (len(inside), first, at[end - 1])
+            inside[place] -= 1
+            if not inside[place]:
+                del inside[place]
+        return out
+
+    for columns in batches:
+        yield pd.DataFrame([best(*row) for row in zip(*columns, strict=True)], columns=["held", "first", "last"])
+
+
+def long_runs(lines: DataFrame) -> DataFrame:
+    """Best windows of runs whose span is twice their template or more: a run is laid out in stretches of twice the template, each searched with the
+    next one, so every window lies whole in the stretch where it starts, and no task holds more than such a stretch."""
+    width = 2 * F.col("n_grams")
+    hits = lines.select(*GROUP, F.explode("held").alias("t_at"), "diag").withColumn("at", F.col("diag") + F.col("t_at"))
+    hits = hits.withColumn("stretch", F.explode(F.array(F.floor(F.col("at") / width), F.floor(F.col("at") / width) - 1)))
+    hits = hits.groupBy(*GROUP, "stretch").agg(F.array_sort(F.collect_set(F.struct("at", "t_at"))).alias("hits"))
+    window = best_window("hits.at", "hits.t_at", (F.col("stretch") + 1) * width, width)
+    return hits.select(*GROUP, window.alias("b")).select(*GROUP, "b.held", "b.first", "b.last")
+
+
 def license_spans(docs: DataFrame, base: dict = BASE, templates: dict | DataFrame = TEMPLATES, coverage: float = 0.6, drift: int = 2) -> DataFrame:
     """doc_id, key, label, is_base, first, last, share: verified places.
 
     Word pairs vote for (template, offset); a base phrase needs all its pairs on one diagonal. For the others diagonals
-    at most ``drift`` apart merge (words put in or left out), and the span must hold ``coverage`` of the template's pairs within twice its length.
+    at most ``drift`` apart merge (words put in or left out), and a window of the run, under twice the template long, must hold ``coverage`` of the template's pairs.
     """
     words = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"), license_words(F.col("text")).alias("w"))
     pairs = words.select("doc_id", "key", F.posexplode(F.arrays_zip(F.col("w").alias("x"), F.slice("w", 2, F.greatest(F.size("w"), F.lit(1))).alias("y"))).alias("at", "p"))
@@ -53,10 +95,13 @@ def license_spans(docs: DataFrame, base: dict = BASE, templates: dict | DataFram
     w = Window.partitionBy("doc_id", "key", "tid").orderBy("diag")
     apart = F.when(F.col("is_base") | (F.col("diag") - F.lag("diag").over(w) > drift), 1).otherwise(0)
     runs = lines.withColumn("apart", apart).withColumn("run", F.sum("apart").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = runs.groupBy("doc_id", "key", "tid", "label", "is_base", "n_grams", "run").agg(
+    span = Window.partitionBy("doc_id", "key", "tid", "run")
+    runs = cut(runs.withColumn("long", F.max("last").over(span) - F.min("first").over(span) >= 2 * F.col("n_grams")))
+    spans = runs.where("not long").groupBy(*GROUP).agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("held")))).alias("held"), F.min("first").alias("first"), F.max("last").alias("last"))
+    spans = spans.union(long_runs(runs.where("long")))
     share = F.col("held") / F.col("n_grams")
-    fits = F.when(F.col("is_base"), share == 1.0).otherwise((share >= coverage) & (F.col("last") - F.col("first") < 2 * F.col("n_grams")))
+    fits = F.when(F.col("is_base"), share == 1.0).otherwise(share >= coverage)
     return spans.where(fits).select("doc_id", "key", "label", "is_base", F.col("first").cast("long"), (F.col("last") + 1).cast("long").alias("last"), share.alias("share"))
 
 

@@ -420,6 +420,48 @@ def test_license_table_of_templates(spark):
     assert got[1].labels == got[2].labels == "long-1.0" and got[3].labels == "" and got[4].labels == "cc-by"
 
 
+def plain_labels(text, coverage=0.6, drift=2):
+    """Labels and score by all windows of all merged runs of diagonals."""
+    w = decontaminate_words(text)
+    labels, score = set(), 0.0
+    for line, label, is_base in [(p, x, True) for p, x in licenses.BASE.items()] + [(t, x, False) for x, ts in licenses.TEMPLATES.items() for t in ts]:
+        t = line.split()
+        hits = sorted((i - j, i, j) for i in range(len(w) - 1) for j in range(len(t) - 1) if w[i:i + 2] == t[j:j + 2])
+        runs = []
+        for h in hits:
+            if not runs or h[0] - runs[-1][-1][0] > (0 if is_base else drift):
+                runs.append([])
+            runs[-1].append(h)
+        for run in runs:
+            width = 2 * (len(t) - 1)
+            share = max(len({j for _, i, j in run if a <= i < a + width}) for _, a, _ in run) / (len(t) - 1)
+            if share == 1 or (not is_base and share >= coverage):
+                labels.add(label)
+                score = max(score, share)
+    return ",".join(sorted(labels)), score
+
+
+def test_license_labels_brute_force(spark):
+    """Labels and scores on edited, repeated and chained licence lines, the example of a line that later text once erased among them."""
+    rng = random.Random(5)
+    lines = [t for ts in licenses.TEMPLATES.values() for t in ts] + list(licenses.BASE)
+    texts = ["released under the mit license", "released under the mit license mit license mit license mit license", "mit license " * 400 + "released under the mit license " + "the mit " * 300, "of the of the", "", None]
+    for _ in range(150):
+        w = []
+        for _ in range(rng.randrange(1, 6)):
+            part = rng.choice(lines).split()
+            for _ in range(rng.randrange(0, 4)):
+                at = rng.randrange(len(part))
+                part[at:at + 1] = rng.choice([[], [part[at], "so"], part[:at], [part[at], part[at]]]) or ["x"]
+            w += part * rng.randrange(1, 3)
+        texts.append(" ".join(w))
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got[0] == got[1] == got[2] == ("mit", 1.0) and got[3] == ("", 0.0)
+    for i, t in enumerate(texts):
+        want = plain_labels(t)
+        assert got[i][0] == want[0] and abs(got[i][1] - want[1]) < 1e-12, t
+
+
 def test_quality_keeps_columns(spark):
     docs = spark.createDataFrame([(1, "a b", 0.25, 3, "q"), (2, None, None, None, None)], "doc_id long, text string, quality_score double, _w int, f_n_chars string")
     labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
