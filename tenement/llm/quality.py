@@ -101,10 +101,12 @@ def compile_rules(rules: list, weights: np.ndarray, bias: float) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, bound: int = 20000) -> tuple[list, np.ndarray, float]:
-    """Fit on at most ``bound`` labelled rows, those of least hashed id, of folds other than 1 (mod 3)."""
+    """Fit on at most ``bound`` labelled documents, those of least hashed id, of folds other than 1 (mod 3); repeated rows count once, and if ids
+    that have many texts make more than ``bound`` rows, the first ones by hashed id and text are used."""
     some = labels.where("quality is not null and doc_id is not null").where(fold(F.col("doc_id"), 3) != 1).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     some = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-    rows = statistics(docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")).drop("text").toPandas().sort_values("doc_id", kind="stable")
+    rows = statistics(docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")).withColumn("text", F.xxhash64(F.coalesce("text", F.lit("")))).distinct()
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(bound).toPandas().sort_values(["doc_id", "text"], kind="stable")
     return fit_rules(rows[[f"f_{f}" for f in FEATURES]].to_numpy(float), rows["quality"].to_numpy(float))
 
 

@@ -473,6 +473,20 @@ def test_quality_keeps_columns(spark):
     assert corpus_quality.select("kept", "_w", "f_n_chars").collect()[0] == (0.25, 3, "q")
 
 
+def test_quality_repeated_rows(spark):
+    """Rows of a labelled id that repeat count once, however many there are; very long texts are scored whole."""
+    rows = [(i, "plain good words stand here" if i % 2 else "!!! ### $$$") for i in range(60)] + [(70, "long words " * 200_000), (71, None)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(5, None)], "doc_id long, quality int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    many = docs.union(docs.where("doc_id < 4").crossJoin(spark.range(3000)).select("doc_id", "text"))
+    once, again = quality.train(docs, labels), quality.train(many, labels)
+    assert once[0] == again[0] and list(once[1]) == list(again[1]) and once[2] == again[2]
+    score = {r.doc_id: r.quality_score for r in quality.scored(many, labels).distinct().collect()}
+    assert score[1] > 0.5 > score[0] and set(score) == {r[0] for r in rows} and all(0 <= v <= 1 for v in score.values())
+    versions = spark.range(500).selectExpr("2L as doc_id", "concat('!!! ', id) as text")
+    assert len(quality.train(docs.union(versions), labels, bound=50)) == 3
+
+
 def test_toxicity_words():
     assert toxicity.words_of("ab " + "x" * 200)[1:] == ["x" * 48] * 7 + ["x" * 32] or all(len(w) <= 48 for w in toxicity.words_of("x" * 200))
     run = "z" * 90 + "horrid" + "z" * 90
