@@ -109,15 +109,15 @@ def _few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= FEW else df
 
 
-def confident_patterns(edges: DataFrame, confidence: float, support: int, max_rounds: int = 50) -> DataFrame:
+def confident_patterns(edges: DataFrame, confidence: float, support: int) -> DataFrame:
     """pattern, score: score the pattern-instance graph over and over. A pattern scores the mean of its instances; an instance is worth 1 if it is
-    a seed, else its best confident pattern. Ends when no further pattern becomes confident: scores only grow.
+    a seed, else its best confident pattern. Ends when no further pattern becomes confident: scores only grow, so there are at most as many rounds as patterns.
 
     ``edges``: pattern, instance, seed (0/1), each pair once. Patterns need ``support`` distinct instances. Hot patterns aggregate partially; only confident
     patterns are joined, broadcast up to FEW rows.
     """
     scored, found = edges.withColumn("w", F.col("seed").cast("double")), -1
-    for _ in range(max_rounds):
+    while True:
         patterns = scored.groupBy("pattern").agg(F.avg("w").alias("score"), F.count(F.lit(1)).alias("k")).where(F.col("k") >= support)
         good = cut(patterns.where(F.col("score") >= confidence).select("pattern", "score"))
         now = good.count()
@@ -126,7 +126,6 @@ def confident_patterns(edges: DataFrame, confidence: float, support: int, max_ro
         found = now
         best = edges.join(_few(good), "pattern").groupBy("instance").agg(F.max("score").alias("best"))
         scored = cut(edges.join(_few(best), "instance", "left").withColumn("w", F.greatest(F.col("seed").cast("double"), F.coalesce("best", F.lit(0.0)))).select("pattern", "instance", "seed", "w"))
-    return good
 
 
 def find_pii(docs: DataFrame, confidence: float = 0.5, support: int = 3, min_length: int = 6) -> DataFrame:
