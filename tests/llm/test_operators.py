@@ -2,12 +2,15 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
+from collections import Counter
 
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tenement.llm import chat, decontaminate, kneser_ney, licenses, mixing, pii, quality, simhash, syncmers, toxicity
@@ -158,13 +161,12 @@ def test_mixing(docs):
 
 
 def test_mixed_blocks(spark, docs):
-    from collections import Counter
-
-    from pyspark.sql import functions as F
-
-    sources = spark.range(1).selectExpr("1 as sid", "0.0D as low", "0.3D as high", "10000L as all_slots").union(spark.range(1).selectExpr("2 as sid", "0.3D as low", "1.0D as high", "10000L as all_slots"))
+    sources = spark.createDataFrame([(1, 120_000), (2, 279_999), (3, 1), (4, 0)], "sid int, slots long")
     counts = {(r.shard, r.sid): r["count"] for r in mixing.shard_counts(sources).collect()}
-    assert [sum(c for (k, _), c in counts.items() if k == i) for i in range(3)] == [4096, 4096, 10000 - 8192] and all(abs(counts[i, 1] - 0.3 * n) <= 1 for i, n in ((0, 4096), (1, 4096), (2, 1808)))
+    shards = {k: sum(c for (j, _), c in counts.items() if j == k) for k, _ in counts}
+    assert sorted(shards) == list(range(98)) and [shards[k] for k in range(98)] == [4096] * 97 + [400_000 - 97 * 4096]
+    spread = [(counts[k, 1] - 0.3 * 4096) ** 2 / (0.3 * 0.7 * 4096) for k in range(97)]  # a binomial count's squared deviation over its variance
+    assert 0.6 < sum(spread) / 97 < 1.5 and all(sid < 4 for _, sid in counts)
     got = mixing.mixed_blocks(docs, block=2).collect()
     assert len({(r.shard, r.position) for r in got}) == len(got) and max(Counter((r.source, r.block) for r in got).values()) <= 3
     assert {len(r.tokens) for r in got} <= {1, 2}
@@ -177,6 +179,63 @@ def test_mixed_blocks(spark, docs):
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.mix(docs.where("text is null")).collect()[0].taken == 0
 
 
+def spark_hash(*values):
+    """Spark's xxhash64 of these columns: each hashed with the hash so far as its seed, nulls passed over."""
+    seed = 42
+    for v, kind in values:
+        if v is not None:
+            seed = xxhash.xxh64_intdigest(v.encode() if kind == "text" else v.to_bytes(8 if kind == "long" else 4, "little", signed=True), seed % 2**64)
+    return (seed + 2**63) % 2**64 - 2**63
+
+
+def plain_mix(rows, block):
+    """(doc_id, size, target, taken) of every row by loops over words and slots."""
+    size = [len(words(t)) for _, t, _ in rows]
+    names = sorted({s for *_, s in rows}, key=lambda s: (s is None, s or ""))
+    total = {n: sum(z for z, r in zip(size, rows) if r[2] == n) for n in names}
+    weight = {n: (5.0, 2.0, 1.0)[i % 3] for i, n in enumerate(names)}
+    target, free, left = {}, list(names), float(sum(size))
+    while free:
+        level = left / sum(weight[n] for n in free)
+        held = [n for n in free if weight[n] * level > 3 * total[n]]
+        target.update({n: 3.0 * total[n] if held else weight[n] * level for n in held or free})
+        left, free = left - sum(target[n] for n in held), [n for n in free if n not in held] if held else []
+    streams, slots = {n: [] for n in names}, {}
+    keyed = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0, spark_hash((rows[i][1] or "", "text"), (rows[i][2], "text"))))
+    for i in keyed:
+        streams[rows[i][2]] += [i] * size[i]
+    for n in names:
+        goal, blocks = math.floor(target[n] + 0.5), -(-total[n] // block)
+        slots[n] = goal // total[n] * blocks + -(-(goal % total[n]) // block) if total[n] else 0
+    taken = Counter()
+    for n in names:
+        full, blocks, goal = total[n] // block, -(-total[n] // block), math.floor(target[n] + 0.5)
+        for j in range(slots[n]):
+            step, i = divmod(j, blocks)
+            x, salt = i, spark_hash((17, "int"), (names.index(n) + 1, "int"), (step, "long"))
+            for r in range(8 if i < full else 0):
+                other = (spark_hash((salt, "long"), (r, "int")) % full - x) % full
+                x = other if spark_hash((salt, "long"), (r + 1000, "int"), (max(x, other), "long")) % 2 else x
+            taken.update(streams[n][x * block:min(x * block + block, x * block + goal - step * total[n] - i * block)])
+    return sorted(((rows[i][0], size[i], round(target[rows[i][2]], 6), taken[i]) for i in range(len(rows))), key=str)
+
+
+@pytest.mark.parametrize("block", [1, 3, 64])
+def test_mix_brute_force(spark, docs, block):
+    rows = [(r.doc_id, r.text, r.source) for r in docs.distinct().collect()] + [(r.doc_id + 100, r.text, r.source) for r in spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 40").collect()] + [(None, "no id here", "s0")]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), block=block).collect()
+    assert sorted(((r.doc_id, r["size"], round(r.target, 6), r.taken) for r in got), key=str) == plain_mix(rows, block)
+
+
+def test_mix_repeated_rows(spark):
+    from pyspark.sql import functions as F
+
+    copies = spark.range(9000).select(F.lit(5).cast("long").alias("doc_id"), F.lit("four words of text").alias("text"), F.lit("a").alias("source"))
+    got = mixing.mix(copies.union(spark.createDataFrame([(6, "b b", "b"), (7, None, None)], "doc_id long, text string, source string"))).collect()
+    assert len(got) == 9002 and sum(r.taken for r in got) == 36002 and max(r.taken / max(r["size"], 1) for r in got) <= 3
+    assert [r.taken for r in got if r.doc_id == 6] == [6] and [r.taken for r in got if r.doc_id == 7] == [0]
+
+
 def test_permutation(spark):
     from pyspark.sql import functions as F
 
@@ -319,7 +378,6 @@ def decontaminate_words(text):
 def plain_kneser_ney(training, texts):
     """n_tokens, n_known, train_tokens, base_score, score by dictionaries."""
     import math
-    from collections import Counter
 
     tokens = lambda t: ["<s>", "<s>", *words((t or "").encode().lower().decode()), "</s>"]
     c3, one = Counter(), Counter()
