@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +47,20 @@ def removed(spark: SparkSession, path: str) -> None:
     target.getFileSystem(conf).delete(target, True)
 
 
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """What operators keep in the shared folder inside the block (checkpoints, tables, models) is deleted at its end, so results must be written
+    or collected before. The folder is set for the whole Spark context: one block at a time."""
+    outer, sc = shared_dir(spark), spark.sparkContext
+    sc.setCheckpointDir(outer)  # a new folder within
+    own = sc.getCheckpointDir()
+    try:
+        yield
+    finally:
+        sc.setCheckpointDir(outer.rsplit("/", 1)[0])
+        removed(spark, own)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """The names, with underscores before them until no column of df has them."""
     taken, pad = {c.lower() for c in df.columns}, "_"

@@ -14,14 +14,17 @@ from pyspark.sql import functions as F
 from .common import fold, table
 
 # WINDOW and the rate of fit were chosen on one of the training folds (crc32 mod 5 = 1), never on held-out rows.
-BUCKETS, DIM, WINDOW, LONG = 1 << 15, 8, 2, 48
-WORD = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
+BUCKETS, DIM, WINDOW = 1 << 15, 8, 2
+# Scripts without blanks (kana, Han, Thai, Lao, Burmese, Khmer) give their characters singly.
+SINGLE = "\u3040-\u30ff\u3400-\u9fff\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff"
+WORD = re.compile(rf"[{SINGLE}]|[^\W_{SINGLE}]+(?:'[^\W_{SINGLE}]+)?")
 
 
 def pieces(word: str) -> set[int]:
     """Buckets of the word and its 3- to 5-character pieces."""
     w = f"<{word}>"
-    return {zlib.crc32(p.encode()) % BUCKETS for p in {w, *[w[i:i + n] for n in (3, 4, 5) for i in range(len(w) - n + 1)]}}
+    parts = (w[i:i + n] for n in (3, 4, 5) for i in range(len(w) - n + 1))
+    return {zlib.crc32(w.encode()) % BUCKETS} | {zlib.crc32(p.encode()) % BUCKETS for p in parts}
 
 
 def subwords(word: str) -> np.ndarray:
@@ -35,11 +38,7 @@ def spans(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def words_of(text: str | None) -> list[str]:
-    """The words of a text; a run of over LONG characters, as in scripts without blanks, is many overlapping words of that length."""
-    words = WORD.findall((text or "").lower())
-    if all(len(w) <= LONG for w in words):
-        return words
-    return [x for w in words for x in ([w] if len(w) <= LONG else [w[i:i + LONG] for i in range(0, len(w) - LONG // 2, LONG // 2)])]
+    return WORD.findall((text or "").lower())
 
 
 class Logits(dict):
@@ -53,7 +52,9 @@ class Logits(dict):
         if len(self) > 500_000:
             self.clear()
         at = sorted(pieces(word))
-        v = self[word] = sum([self.share[b] for b in at]) / len(at)
+        v = sum([self.share[b] for b in at]) / len(at)
+        if len(word) <= 64:  # longer ones are worked out each time, so that memory stays bounded
+            self[word] = v
         return v
 
 
@@ -160,7 +161,7 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = 1000, most_bytes: int
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, score of every row. Null text scores as empty; repeated rows score alike; without labels every score is 0.5."""
+    """doc_id, score of every row. Null text scores as empty; repeated rows score alike; further columns are ignored; without labels every score is 0.5."""
     model = train(docs, labels)
     held = docs.sparkSession.sparkContext.broadcast((model.emb.astype("float32"), model.out, model.bias))  # fixed size: BUCKETS x DIM
 

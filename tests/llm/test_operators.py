@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import duckdb
@@ -546,9 +547,38 @@ def test_quality_repeated_rows(spark):
 
 
 def test_toxicity_words():
-    assert toxicity.words_of("ab " + "x" * 200)[1:] == ["x" * 48] * 7 + ["x" * 32] or all(len(w) <= 48 for w in toxicity.words_of("x" * 200))
-    run = "z" * 90 + "horrid" + "z" * 90
-    assert any("horrid" in w for w in toxicity.words_of(run)) and len(toxicity.pieces("abc" * 100)) > 0
+    assert toxicity.words_of("Ab " + "x" * 200 + " don't") == ["ab", "x" * 200, "don't"] and toxicity.words_of(None) == []
+    assert toxicity.words_of("日本語 abc한국어") == ["日", "本", "語", "abc한국어"]
+    w = "<" + "abcd" * 90 + ">"
+    assert toxicity.pieces("abcd" * 90) == {zlib.crc32(p.encode()) % toxicity.BUCKETS for p in {w} | {w[i:i + n] for n in (3, 4, 5) for i in range(len(w) - n + 1)}}
+
+
+def test_toxicity_rows(spark):
+    rows = [(i, f"plain words about topic {i % 7}" if i % 2 else f"you horrid topic {i % 7}", "en", 0.9, 1) for i in range(60)]
+    rows += [(3, rows[3][1], "en", 0.9, 1)] * 3 + [(90, None, None, None, None), (91, "", None, None, None), (None, "you horrid topic 3", None, None, None), (92, "you h0rridd topic 1", None, None, None), (93, "plain " * 50_000 + "w" * 100_000, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score double, toxic int")
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(60)] + [(4, 1), (None, 1), (90, None)], "doc_id long, toxic int")
+    got = toxicity.scored(docs, labels).collect()
+    score = {r.doc_id: r.score for r in got}
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got) and len({r.score for r in got if r.doc_id == 3}) == 1
+    assert score[90] == score[91] < 0.5 and score[92] >= 0.5 and score[None] >= 0.5 and score[93] < 0.5
+    assert sorted((r.score, str(r.doc_id)) for r in got) == sorted((r.score, str(r.doc_id)) for r in toxicity.scored(docs, labels).collect())
+    assert toxicity.scored(docs.limit(0), labels).count() == 0
+
+
+def test_temporary(spark):
+    import os
+
+    from tenement.llm.common import cut, shared_dir, temporary, written
+
+    shared_dir(spark)
+    kept = cut(spark.range(5))
+    with temporary(spark):
+        path = shared_dir(spark).removeprefix("file:")
+        inside = written(cut(spark.range(7)), "inside")
+        assert inside.count() == 7 and os.listdir(path)
+    assert not os.path.exists(path) and kept.count() == 5 and cut(spark.range(3)).count() == 3
+    assert os.path.dirname(shared_dir(spark).removeprefix("file:")) == os.path.dirname(os.path.dirname(path))
 
 
 def test_toxicity_beats_majority(spark):
