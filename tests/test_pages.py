@@ -36,6 +36,14 @@ def test_references_end_with_a_semicolon():
     assert [e.text() for e in root.walk()] == [root.text(), "a &&amp", "x&lt", "&ltb &#39 ' &notit; ©", "· c&gt"]
 
 
+def test_reparse_keeps_cut_references(spark):
+    from tenement.extract.html import reparse
+
+    base = spark.createDataFrame([(1, 0, "old", None, None, 0)], "page_id long, status int, title string, lang string, heading string, seq long")
+    pages = spark.createDataFrame([(1, "<html lang=en><title>a &amp;&amp</title><h1>b&lt</h1>"), (2, "<title>&gt;</title>")], "page_id long, html string")
+    assert sorted((r.page_id, r.title, r.heading) for r in reparse(base, pages).collect()) == [(1, "a &&amp", "b&lt"), (2, ">", None)]
+
+
 def test_shown_texts():
     row = '<b><span style="display:inline-flex;flex-direction: row; %s"><i style="order:2">b</i><i style="order:10">c</i><i style="order:1">a</i></span></b>'
     assert [shown(find(tree(row % x), has(tag="b"))[0]) for x in ("", "flex-direction: row-reverse")] == ["abc", "cba"]
