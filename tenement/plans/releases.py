@@ -363,11 +363,12 @@ def h2_list_cards(spark, d):
 
 @query("select p_partkey, case when p_partkey % 2 = 0 then p_brand else reverse(p_brand) end as shown from part")
 def h3_reordered_text(spark, d):
+    rows = table(spark, d, "part").select("p_partkey", "p_brand").repartition(spark.sparkContext.defaultParallelism, F.xxhash64("p_partkey"))  # one file fills one task
     letters = F.transform(F.split("p_brand", ""), lambda c, i: F.format_string('<i style="order:%d;font-style:normal;">%s</i>', i, c))
     shuffled = F.array_join(F.concat(F.slice(letters, 3, 99), F.slice(letters, 1, 2)), "")
     way = F.when(F.expr("p_partkey % 2 = 0"), "row").otherwise("row-reverse")
     text = F.concat(F.lit('<span style="display:inline-flex;flex-direction: row; flex-direction: '), way, F.lit(';">'), shuffled, F.lit("</span>"))
-    return table(spark, d, "part").select("p_partkey", html.reordered(text).alias("shown"))
+    return rows.select("p_partkey", html.reordered(text).alias("shown"))
 
 
 @query(f"select page_id, {TITLE} as title, {LANG} as lang, {HEAD} as heading from pages")

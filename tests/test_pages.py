@@ -27,6 +27,12 @@ def test_tree():
     assert clean([" \xa0a ", None, "", "\xa0"]) == ["a"]
 
 
+def test_reordered_rows_are_dealt(spark):
+    from tenement.plans import releases
+
+    assert releases.h3_reordered_text(spark, SF).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
 def test_references_end_with_a_semicolon():
     from tenement.extract.html import parse_cards, parse_detail
 
