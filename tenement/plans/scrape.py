@@ -28,8 +28,8 @@ HOME = f"{FOUND} and p_partkey % 5 <> 4"
 FOUR = "p_partkey % 4 <> 3"
 
 
-def pages(spark, d):
-    """house_id, raw: a page of the listing site's markup for every part; some are gone, some null, parts of a price stand out of order."""
+def pages(spark, d, parts: int | None = None):
+    """house_id, raw: a page of the listing site's markup for every part; some are gone, some null, parts of a price stand out of order. ``parts`` deals the rows out before they grow to pages."""
     spaced = F.transform(F.split(F.expr(PRICE), ""), lambda c, i: F.format_string('<i style="order:%d;font-style:normal;">%s</i>', i, c))
     price = F.array_join(F.concat(F.slice(spaced, 4, 99), F.slice(spaced, 1, 3)), "")
     row = F.concat(F.lit('<span class="inline-flex-row"><span style="display:inline-flex;flex-direction: row;">'), price, F.lit("</span></span>"))
@@ -55,7 +55,9 @@ def pages(spark, d):
         F.expr("case when p_partkey % 6 > 0 then '<div class=\"phone\"><div class=\"contact-action-lg\"><button><span><span>09-' || p_partkey || '</span></span></button></div></div>' else '' end"), F.lit("</div></body></html>"))
     gone = F.lit('<html><div class="error-info">gone</div></html>')
     raw = F.when(F.expr(f"not ({FOUND})"), gone).when(F.expr("p_partkey % 101 <> 1"), whole)
-    return table(spark, d, "part").select(F.col(K).alias("house_id"), raw.alias("raw"))
+    rows = table(spark, d, "part").select(K, Z, "p_name", "p_brand")
+    rows = rows.repartition(parts, F.xxhash64(K)) if parts else rows
+    return rows.select(F.col(K).alias("house_id"), raw.alias("raw"))
 
 
 def _if(test: str, then: str, kind: str = "") -> str:
@@ -102,7 +104,7 @@ def flat(listings):
 
 def dealt(spark, d):
     """The pages, over all cores: the table that fills them is one file."""
-    return pages(spark, d).repartition(spark.sparkContext.defaultParallelism, F.xxhash64("house_id"))
+    return pages(spark, d, spark.sparkContext.defaultParallelism)
 
 
 def regions(spark):
