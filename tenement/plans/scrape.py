@@ -137,7 +137,7 @@ def n0_normalize_listings(spark, d):
 def h4_reparse_ranges(spark, d):
     """Pages stored, read again in ranges by two runs of which the first stops on its way, parsed, normalised and upserted."""
     path = files.scratch(spark, "reparse")
-    pages(spark, d).write.parquet(f"{path}/pages")
+    dealt(spark, d).write.parquet(f"{path}/pages")
     stored = spark.read.parquet(f"{path}/pages")
     top = stored.agg(F.max("house_id")).first()[0] or 0
     target, size = listing_table(stored, regions(spark), f"{path}/listings", buckets=8), top // 4 + 1

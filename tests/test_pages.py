@@ -58,6 +58,16 @@ def test_rows_are_dealt_before_they_grow_to_pages(spark, name):
     assert "class=" in plan and "Exchange hashpartitioning" in plan and "class=" not in plan.rsplit("Exchange hashpartitioning", 1)[1]
 
 
+def test_stored_pages_are_written_by_many_tasks(spark, monkeypatch):
+    from tenement.plans import scrape as S
+
+    seen = []
+    monkeypatch.setattr(S, "listing_table", lambda stored, *a, **b: seen.append(len(stored.inputFiles())) or (_ for _ in ()).throw(Stopped))
+    with pytest.raises(Stopped):
+        S.h4_reparse_ranges(spark, SF)
+    assert seen == [spark.sparkContext.defaultParallelism]
+
+
 def test_reordered_rows_are_dealt(spark):
     from tenement.plans import releases
 
