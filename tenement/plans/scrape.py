@@ -153,7 +153,7 @@ CARD_ROOMS = "(p_partkey % 4 + 1) || '房' || p_partkey % 3 || '廳'"
 
 
 def list_pages(spark, d):
-    """page_id, city, raw: list pages of ten cards each, one in four promoted; some cards have no link."""
+    """page_id, city, raw: list pages of ten cards each, one in four promoted; some cards have no link. The rows are dealt out by page, over all cores, before they grow to cards."""
     row = lambda x: f"'<span><div class=\"inline-flex-row\">' || {x} || '</div></span>'"
     link = f"case when {LINKED} then ' href=\"https://rent.example/' || p_partkey || case p_partkey % 2 when 0 then '?ai=1' else '' end || '\"' else '' end"
     tags = "'<span class=\"tag recom\">精選</span><span class=\"tag\">' || case p_partkey % 2 when 0 then '可開伙' else '近捷運' end || '</span><span class=\"tag\">有電梯</span>'"
@@ -163,7 +163,8 @@ def list_pages(spark, d):
         || '</div><div class="item-info-txt"><span>' || {KINDS} || '</span>' || case p_partkey % 5 when 0 then '<span>' || {CARD_ROOMS} || '</span>' else '' end || {row("p_size || '坪'")} || {row(FLOOR)}
         || '</div><div class="item-info-txt"><span>社區</span>' || {row(PLACE)} || '</div>' || case when {MARK} then '<div class="item-info-txt"><span>距公園</span><strong>9公尺</strong></div>' else '' end
         || '<div class="item-info-txt"><span>' || {SEEN} || '</span><span>3天前</span></div><div class="item-info-price"><strong>' || {row(CARD_PRICE)} || '</strong></div></div>'"""
-    cards = table(spark, d, "part").selectExpr("p_partkey", "(p_partkey - 1) div 10 as page_id", f"case when {OFFERED} then {offered} else {usual} end as card")
+    rows = table(spark, d, "part").selectExpr(K, Z, "p_name", "p_brand", "(p_partkey - 1) div 10 as page_id").repartition(spark.sparkContext.defaultParallelism, "page_id")
+    cards = rows.selectExpr("p_partkey", "page_id", f"case when {OFFERED} then {offered} else {usual} end as card")
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "card"))), lambda x: x["card"]), "\n")
     return cards.groupBy("page_id").agg(F.concat(F.lit("<html><body>"), body, F.lit("</body></html>")).alias("raw")).withColumn("city", F.expr("case page_id % 3 when 0 then 'A市' when 1 then 'B縣' else 'C市' end"))
 
@@ -178,7 +179,7 @@ case when offered or {MARK} then '9公尺' end as distance_to_landmark, case whe
 case when not offered then 'a' || p_partkey || '/b' end as images, case when not offered then true end as is_featured, null::boolean as is_preferred from {CARD}""")
 def h2_listing_cards(spark, d):
     """Promoted and regular cards with all of their fields."""
-    cards = list_page.list_cards(list_pages(spark, d), parts=spark.sparkContext.defaultParallelism)
+    cards = list_page.list_cards(list_pages(spark, d))
     return cards.selectExpr("page_id", "pos", "kind", "house_id", "title", "array_join(tags, '/') as tags", "property_type", "room_hall_info", "area", "floor", "community", "location", "nearby_landmark", "distance_to_landmark",
                             "contact_info", "update_time", "price", "array_join(images, '/') as images", "is_featured", "is_preferred")
 
@@ -198,5 +199,5 @@ case when {CARD_HOME} and p_partkey % 2 = 0 then true end as can_cook, null::boo
 case when offered or {CARD_HOME} then {CARD_NUMBER} / p_size end as per_ping_price from {CARD}""")
 def h2_card_items(spark, d):
     """What list cards tell as typed items."""
-    items = list_page.card_items(list_page.list_cards(list_pages(spark, d), "page_id", "raw", "city", parts=spark.sparkContext.defaultParallelism), regions(spark))
+    items = list_page.card_items(list_page.list_cards(list_pages(spark, d), "page_id", "raw", "city"), regions(spark))
     return items.withColumns({"elevator": F.col("facilities")["電梯"], "metro": F.col("facilities")["近捷運"]}).drop("facilities", "present", "seq")
