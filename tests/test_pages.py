@@ -52,7 +52,7 @@ def test_plain_markup_reads_like_any():
     assert plain > 400
 
 
-@pytest.mark.parametrize("name", ["h1_listing_detail", "n0_normalize_listings"])
+@pytest.mark.parametrize("name", ["h1_listing_detail", "n0_normalize_listings", "h2_listing_cards", "h2_card_items"])
 def test_rows_are_dealt_before_they_grow_to_pages(spark, name):
     plan = getattr(scrape, name)(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "class=" in plan and "Exchange hashpartitioning" in plan and "class=" not in plan.rsplit("Exchange hashpartitioning", 1)[1]
