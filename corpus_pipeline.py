@@ -23,7 +23,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row stays of every group of near copies: five-word shingles, Jaccard similarity of 0.8 or more."""
+    """One row stays of every group of near copies: SimHash anchors and MinHash bands of five-word shingles propose, a Jaccard similarity of 0.8 or more decides."""
     return one_of_each(docs)
 
 

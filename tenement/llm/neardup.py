@@ -1,4 +1,4 @@
-"""Near-duplicates at a Jaccard similarity of word shingles: MinHash bands propose pairs, exact shingle sets decide."""
+"""Near-duplicates at a Jaccard similarity of word shingles: SimHash anchors and MinHash bands propose groups, exact shingle sets decide."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, fresh, workers
-from .simhash import components
+from .simhash import anchor_links, components, majority
 
 WORDS, BANDS, ROWS, BLOCK = 5, 20, 5, 4096
 FEW, BLOCK_TEXTS, BLOCK_SHINGLES = 64, 256, 1 << 17
@@ -27,15 +27,27 @@ def shingles(text: str | None, k: int = WORDS) -> np.ndarray:
     return np.unique(np.fromiter((xxhash.xxh64_intdigest(g, 42) for g in grams), dtype=np.uint64))
 
 
-def bands(text: str | None) -> np.ndarray:
-    """One hash per band of ROWS minima. Texts of Jaccard 0.8 share no band with a chance of 0.0004."""
-    h, low = shingles(text), np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+def bands(h: np.ndarray) -> np.ndarray:
+    """One hash per band of ROWS minima of a text's shingles. Texts of Jaccard 0.8 share no band with a chance of 0.0004."""
+    low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
     for i in range(0, len(h), BLOCK):
         x = h[i:i + BLOCK, None] * MULTIPLY + ADD
         low = np.minimum(low, (x ^ (x >> np.uint64(29))).min(axis=0))
     return np.array([xxhash.xxh64_intdigest(low[b * ROWS:(b + 1) * ROWS].tobytes(), b) for b in range(BANDS)], dtype=np.uint64).view(np.int64)
 
 
+def marks(text: str | None) -> np.ndarray:
+    """The bands of a text, then the SimHash fingerprint of its shingles."""
+    h = shingles(text)
+    return np.append(bands(h), majority(h))
+
+
+def families(marked: DataFrame) -> DataFrame:
+    """key, band: texts whose fingerprints (fp) are equal, or linked by steps of 2 or fewer bits, have the same; by the anchor covering of ``simhash``."""
+    roots = components(anchor_links(marked.select("fp").distinct())).withColumnRenamed("u", "fp")
+    return marked.select("key", "fp").join(roots, "fp", "left").select("key", F.coalesce("root", "fp").alias("band"))
+
+
 def arrays(f: Callable[[str | None], np.ndarray]) -> Callable[[str], Column]:
     """f, of a text, as a column function."""
     @F.pandas_udf("array<long>")
@@ -86,13 +98,15 @@ def similar_in_blocks(apart: DataFrame, near: DataFrame, sets: DataFrame, least:
 
 
 def similar_links(texts: DataFrame, least: float = 0.8) -> DataFrame:
-    """key, text (one row per key) -> links (u > v) that connect all texts of similarity ``least`` that share a band.
+    """key, text (one row per key) -> links (u > v) that connect all texts of similarity ``least`` that share a band, or whose fingerprints are linked.
 
-    The hub of a band's group is its member with the largest groups, so that the groups around one text share their hub. All members
+    SimHash finds all pairs within 2 bits, which are the closest copies; texts of similarity 0.8 differ in about 10 bits, so bands propose the
+    others. The texts of linked fingerprints are one more group. The hub of a band's group is its member with the largest groups, so that the groups around one text share their hub. All members
     are compared with it; two members similar to it need no link of their own. Those not similar to it are compared with all
     texts around the hub, in blocks where these are many, so that no pair is left out.
     """
-    sent = cut(texts.select("key", F.explode(arrays(bands)("text")).alias("band")))
+    marked = cut(texts.select("key", arrays(marks)("text").alias("m")).select("key", F.slice("m", 1, BANDS).alias("bands"), F.element_at("m", -1).alias("fp")))
+    sent = marked.select("key", F.explode("bands").alias("band")).union(families(marked))
     groups = sent.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = cut(sent.join(groups, "band"))
     weight = members.groupBy("key").agg(F.sum("n").alias("weight"))

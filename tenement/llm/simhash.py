@@ -15,17 +15,21 @@ from .common import cut, table, workers
 BLOCK = 65536
 
 
+def majority(h: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
+    votes = np.zeros(64, dtype=np.int64)
+    for i in range(0, len(h), BLOCK):
+        votes += np.unpackbits(h[i:i + BLOCK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(votes * 2 > len(h), bitorder="little").view("<i8")[0])
+
+
 def simhash(text: str | None, k: int = 3) -> int:
     """64-bit fingerprint: bit set when set in over half of the shingle hashes; no words: zero."""
     words = (text or "").encode("utf-8").lower().split()
     if not words:
         return 0
     grams = [b" ".join(words)] if len(words) < k else map(b" ".join, zip(*(words[i:] for i in range(k))))
-    h = np.fromiter((xxhash.xxh64_intdigest(g, 42) for g in grams), dtype="<u8")
-    votes = np.zeros(64, dtype=np.int64)
-    for i in range(0, len(h), BLOCK):
-        votes += np.unpackbits(h[i:i + BLOCK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(votes * 2 > len(h), bitorder="little").view("<i8")[0])
+    return majority(np.fromiter((xxhash.xxh64_intdigest(g, 42) for g in grams), dtype="<u8"))
 
 
 def fingerprints(docs: DataFrame, k: int = 3) -> DataFrame:

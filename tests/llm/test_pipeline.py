@@ -59,3 +59,18 @@ def test_run_and_empty(spark, folder, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_dedup_takes_simhash_anchors(spark, monkeypatch):
+    from tenement.llm import neardup
+
+    words = prose(70, 400).split()
+    texts = {1: words, 2: [*words[:-1], "other"], 3: [*words[:-1], "third"], 4: prose(71, 400).split(), 5: words * 2}
+    texts = {k: " ".join(x) for k, x in texts.items()}
+    prints = {k: neardup.majority(neardup.shingles(t)) for k, t in texts.items()}
+    apart = lambda a, b: ((prints[a] ^ prints[b]) & (1 << 64) - 1).bit_count()
+    assert apart(1, 2) <= 2 and apart(1, 3) <= 2 and apart(1, 4) > 2
+    monkeypatch.setattr(neardup, "BANDS", 0)  # no band proposes anything
+    got = {(r.u, r.v) for r in neardup.similar_links(spark.createDataFrame(list(texts.items()), "key long, text string")).collect()}
+    linked = {x for pair in got for x in pair}
+    assert {1, 2, 3} <= linked and 4 not in linked
