@@ -374,7 +374,7 @@ def h3_reordered_text(spark, d):
 @query(f"select page_id, {TITLE} as title, {LANG} as lang, {HEAD} as heading from pages")
 def h4_reparse_raw(spark, d):
     pages = table(spark, d, "pages")
-    base = pages.where("page_id % 2 = 0").selectExpr("page_id", "0 as status", "'old' as title", "cast(null as string) as lang", "cast(null as string) as heading", "0L as seq")
+    base = pages.where("page_id % 2 = 0").selectExpr("page_id", "0 as status", "'old' as title", "cast(null as string) as lang", "cast(null as string) as heading", "0L as seq").distinct()
     return html.reparse(base, pages).select("page_id", "title", "lang", "heading")
 
 

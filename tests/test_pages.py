@@ -91,6 +91,20 @@ def test_reparse_keeps_cut_references(spark):
     assert sorted((r.page_id, r.title, r.heading) for r in reparse(base, pages).collect()) == [(1, "a &&amp", "b&lt"), (2, ">", None)]
 
 
+def test_reparse_gives_every_page_its_row(spark, tmp_path):
+    import duckdb
+
+    from tenement.plans import catalog
+
+    whole = '<html lang="en"><title>%s</title><h1>h</h1>'
+    data = [(2, None), (3, None), (4, whole % "a"), (4, whole % "b"), (5, whole % "a"), (5, whole % "b"), (None, whole % "c"), (None, whole % "d"), (6, ""), (7, ""), (8, whole % "e")]
+    spark.createDataFrame(data, "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    got = [tuple(r) for r in catalog.QUERIES["h4_reparse_raw"](spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted(con.execute(catalog.ORACLE["h4_reparse_raw"]).fetchall(), key=str)
+
+
 def test_shown_texts():
     row = '<b><span style="display:inline-flex;flex-direction: row; %s"><i style="order:2">b</i><i style="order:10">c</i><i style="order:1">a</i></span></b>'
     assert [shown(find(tree(row % x), has(tag="b"))[0]) for x in ("", "flex-direction: row-reverse")] == ["abc", "cba"]
