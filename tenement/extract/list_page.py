@@ -47,14 +47,14 @@ def regular(card: Element) -> dict:
     lines = find(card, has("item-info-txt"))
     span = lambda i: pieces(find(lines[i], has(tag="span"))) if i < len(lines) else []
     rows = lambda i: texts(find(lines[i], has(tag="span"), has("inline-flex-row"))) if i < len(lines) else []
-    kind, place = span(0), span(1)
+    kind, place, third, sizes = span(0), span(1), span(2), rows(0)
     out = _shared(card) | {
         "title": _at(pieces(find(card, has("item-info-title"), has(tag="a"))), 0), "tags": pieces(find(card, has("item-info-tag"), has("tag"))) or None, "property_type": _at(kind, 0),
-        "room_hall_info": next((t for t in kind[1:2] if "房" in t), None), "area": next((t for t in rows(0) if "坪" in t), None), "floor": next((t for t in rows(0) if "F" in t), None),
+        "room_hall_info": next((t for t in kind[1:2] if "房" in t), None), "area": next((t for t in sizes if "坪" in t), None), "floor": next((t for t in sizes if "F" in t), None),
         "community": _at(place, 0), "location": _at(rows(1), 0), "price": _at(texts(find(card, has("item-info-price"), has(tag="strong"), has("inline-flex-row"))), 0),
         "is_featured": bool(find(card, has("tag", "recom"))) or None, "is_preferred": bool(find(card, has("tag", "preferred"))) or None}
-    mark = _landmark(span(2), pieces(find(lines[2], has(tag="strong")))) if len(lines) > 2 else {}
-    return out | mark | dict(zip(("contact_info", "update_time", "view_count"), span(3 if mark or not span(2) else 2), strict=False))
+    mark = _landmark(third, pieces(find(lines[2], has(tag="strong")))) if len(lines) > 2 else {}
+    return out | mark | dict(zip(("contact_info", "update_time", "view_count"), span(3) if mark or not third else third, strict=False))
 
 
 #: Class of a card, where its link stands, and what reads it.
@@ -67,7 +67,7 @@ KINDS: dict[str, tuple[str, Callable[[Element], list[Element]], Callable[[Elemen
 def parse_list(html: str) -> Iterator[tuple]:
     """What CARDS names, once per card with a link, in the order of the page. A card that cannot be read gives its place and the error's name."""
     page, pos = tree(html), 0
-    for card in find(page, lambda e: any(cls in e.classes for cls, *_ in KINDS.values())):
+    for card in page.listed(sorted({n for cls, *_ in KINDS.values() for n in page.page.named.get(cls, ())})):
         kind = next(k for k, (cls, *_) in KINDS.items() if cls in card.classes)
         _, link_of, read = KINDS[kind]
         link = next((a.attrs["href"] for a in link_of(card) if a.attrs.get("href")), None)

@@ -226,3 +226,15 @@ def test_card_lines():
     without = card("<span>雅房</span>", "", seen)
     assert "nearby_landmark" not in without and without["update_time"] == "今天" and set(without) <= set(NAMES)
     assert card("<span>雅房</span>", "", "<span></span>", seen)["contact_info"] == "屋主 X" and "contact_info" not in card("<span>雅房</span>")
+
+
+def test_cards_are_found_by_number(monkeypatch):
+    from tenement.extract import list_page as LP
+    from tenement.extract import tree as M
+
+    page = '<div class="item x"><div class="item-info-title"><a href="/9?a">t</a></div><div class="item-info-txt"><span>雅房</span></div></div><p class="recommend-ware item"><a class="title" href="7">u</a></p>'
+    want = [("regular", "9", "t", "雅房"), ("promoted", "7", "u", None)]
+    pick = [LP.NAMES.index(n) for n in ("kind", "house_id", "title", "property_type")]
+    assert M.has("a", tag="b") is M.has("a", tag="b") and [tuple(r[i] for i in pick) for r in LP.parse_list(page)] == want
+    monkeypatch.setattr(M.Element, "walk", lambda e: (_ for _ in ()).throw(AssertionError("every element is looked at")))
+    assert [tuple(r[i] for i in pick) for r in LP.parse_list(page)] == want
