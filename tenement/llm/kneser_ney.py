@@ -26,6 +26,7 @@ FLUSH = 1 << 20
 PART = 1 << 18
 BITS = 21
 MANY = 32
+FEW = 16
 NONE = np.int64(-1)
 
 
@@ -119,20 +120,30 @@ class Files:
 
     def __call__(self, path: str, name: str) -> np.ndarray:
         if (path, name) not in self.held:
-            self.held[path, name] = np.load(f"{path}/{name}.npy", mmap_mode="r")
+            self.held[path, name] = np.load(f"{path}/{name}.npy", mmap_mode="r").view(np.ndarray)
         return self.held[path, name]
 
 
 def search(a: np.ndarray, low: np.ndarray, high: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Place of each x in the sorted stretch a[low:high], or NONE."""
-    low, end, todo = low.astype(np.int64), high.astype(np.int64), np.flatnonzero(low < high)
-    top = end.copy()
+    """Place of each x in the sorted stretch a[low:high], or NONE. A stretch that FEW or more neighbours ask for is searched for all of them at once."""
+    key = np.clip(x, 0, np.iinfo(a.dtype).max).astype(a.dtype)  # of the same type, so that no stretch is copied; what was clipped is told apart at the end
+    low, end, alone = low.astype(np.int64), high.astype(np.int64), low < high
+    same = np.flatnonzero((np.diff(low) != 0) | (np.diff(end) != 0)) + 1
+    at = np.concatenate([[0], same, [len(x)]]) if len(x) else np.zeros(1, np.int64)
+    for k in np.flatnonzero((np.diff(at) >= FEW) & alone[at[:-1]]) if len(x) else ():
+        i, j = at[k], at[k + 1]
+        low[i:j] += a[low[i]:end[i]].searchsorted(key[i:j])
+        alone[i:j] = False
+    todo = np.flatnonzero(alone)
+    lo, top, want = low[todo], end[todo], key[todo]
     while len(todo):
-        mid = (low[todo] + top[todo]) >> 1
-        up = a[mid] < x[todo]
-        low[todo[up]] = mid[up] + 1
-        top[todo[~up]] = mid[~up]
-        todo = todo[low[todo] < top[todo]]
+        mid = (lo + top) >> 1
+        up = a[mid] < want
+        lo, top = np.where(up, mid + 1, lo), np.where(up, top, mid)
+        on = lo < top
+        if not on.all():
+            low[todo[~on]] = lo[~on]
+            todo, lo, top, want = todo[on], lo[on], top[on], want[on]
     hit = np.flatnonzero(low < end)
     hit = hit[a[low[hit]] == x[hit]]
     out = np.full(len(x), NONE)
@@ -416,7 +427,8 @@ class Scorer:
     def stretch(self, path: str, keys: str, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Place of x among the file's keys, and the stretch of the next level that belongs to it."""
         a, at = self.read(path, keys), self.read(path, f"{keys}_at")
-        i = search(a, np.zeros(len(x), np.int64), np.full(len(x), len(a)), x)
+        i = np.searchsorted(a, x)
+        i = np.where(a[np.minimum(i, len(a) - 1)] == x, i, NONE) if len(a) else np.full(len(x), NONE)
         j = np.maximum(i, 0)
         return i, np.where(i >= 0, at[j], 0).astype(np.int64), np.where(i >= 0, at[np.minimum(j + 1, len(at) - 1)], 0).astype(np.int64)
 
@@ -452,8 +464,15 @@ class Scorer:
         c = self.counts(path, search(self.read(path, "w"), low, high, w))
         return np.maximum(c - d[np.minimum(c, 3)], 0)
 
-    def score(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> np.ndarray:
-        """P(w | u, v) of id arrays, sorted by v but for unknown ones (NONE). The first word of a text is told by START alone."""
+    def befores(self, ids: np.ndarray) -> np.ndarray:
+        """In how many pairs each of the sorted ids comes last; 0 for NONE."""
+        n, part = np.zeros(len(ids), dtype=np.int64), ids // PART
+        for path, at in self.each(self.m["ends"], part, np.flatnonzero(ids >= 0)):
+            n[at] = self.read(path, "n")[ids[at] % PART]
+        return n
+
+    def score(self, u: np.ndarray, v: np.ndarray, w: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """P(w | u, v) of id arrays, sorted by v but for unknown ones (NONE), and ``befores`` of w. The first word of a text is told by START alone."""
         m, words = self.m, self.words
         known = np.flatnonzero(v >= 0)
         spread = words.spread(v[known])
@@ -480,10 +499,6 @@ class Scorer:
         share2 = held / total
         spare2 = np.where(sums[0] > 0, (m["d2"][1] * sums[1] + m["d2"][2] * sums[2] + m["d2"][3] * sums[3]) / total, 1.0)
         types = max(m["types"], 1)
-        order = np.argsort(w, kind="stable")
-        n, part = np.zeros(len(w), dtype=np.int64), w // PART
-        for path, at in self.each(m["ends"], part, order[w[order] >= 0]):
-            n[at] = self.read(path, "n")[w[at] % PART]
         spare1 = sum(d * k for d, k in zip(m["d1"][1:], m["kinds"], strict=True)) / types if m["types"] else 1.0
         low = np.maximum(n - m["d1"][np.minimum(n, 3)], 0) / types + spare1 / (m["V"] + 1)
         return share3 + spare3 * (share2 + spare2 * low)
@@ -509,12 +524,12 @@ def scored(docs: DataFrame, training: DataFrame) -> DataFrame:
                 ids = m["words"].ids(known)
                 count = np.zeros(len(known), dtype=np.int64)
                 count[ids >= 0] = m["words"].of("n", ids[ids >= 0])
-                logp = np.empty(len(w))
+                before, logp = scorer.befores(ids), np.empty(len(w))
                 for a in range(0, len(w), FLUSH):
                     names, key = packed(*(x[a:a + FLUSH] for x in (v, u, w)), len(known))
                     key, again = np.unique(key, return_inverse=True)
                     kv, ku, kw = unpacked(key, names)
-                    logp[a:a + FLUSH] = np.log10(scorer.score(ids[ku], ids[kv], ids[kw]))[again]
+                    logp[a:a + FLUSH] = np.log10(scorer.score(ids[ku], ids[kv], ids[kw], before[kw]))[again]
                 c = count[w]
                 base = np.log10((c + 1) / (m["N"] + m["V"] + 1))
                 sums = [np.diff(bounds), np.add.reduceat((c > 0).astype(np.int64), bounds[:-1]), np.add.reduceat(base, bounds[:-1]), np.add.reduceat(logp, bounds[:-1])]

@@ -452,6 +452,31 @@ print("same")
     assert "same" in out.stdout, out.stderr[-2000:]
 
 
+def test_kneser_ney_search(tmp_path):
+    from tenement.llm import kneser_ney as K
+
+    class Counted(np.ndarray):
+        gathers = 0
+
+        def __getitem__(self, at):
+            Counted.gathers += isinstance(at, np.ndarray)
+            return super().__getitem__(at)
+
+    draw = np.random.default_rng(4)
+    for kind in ("u1", "u2", "i8"):
+        parts = [np.unique(draw.integers(0, 256, n)) for n in (200, 0, 3, 90, 1)]
+        a, ends = np.concatenate(parts).astype(kind), np.cumsum([len(p) for p in parts])
+        which = np.sort(draw.integers(0, 5, 300))
+        x = draw.integers(-1, 300, 300)  # some are no value of the type
+        low, high = (ends - [len(p) for p in parts])[which], ends[which]
+        want = [next((i for i in range(p, q) if a[i] == y), -1) for p, q, y in zip(low, high, x, strict=True)]
+        assert K.search(a, low, high, x).tolist() == want and K.search(a, low[:0], high[:0], x[:0]).tolist() == []
+        assert K.search(a, low[::-1], high[::-1], x).tolist() == [next((i for i in range(p, q) if a[i] == y), -1) for p, q, y in zip(low[::-1], high[::-1], x, strict=True)]
+    a = np.arange(0, 200_000, 2, dtype=np.uint32).view(Counted)
+    assert (K.search(a, np.zeros(500, np.int64), np.full(500, len(a)), np.arange(0, 1000, 2)) == np.arange(500)).all() and Counted.gathers == 1  # one for all, not one a halving
+    assert type(K.Files()(K.save(str(tmp_path), {"x": np.arange(3)}), "x")) is np.ndarray
+
+
 def plain_licenses(text):
     w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").encode().lower().decode())
     at = [(i, label) for p, label in licenses.BASE.items() for i in range(len(w)) if w[i:i + len(p.split())] == p.split()]
