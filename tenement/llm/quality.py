@@ -28,7 +28,9 @@ def statistics(docs: DataFrame) -> DataFrame:
         "line_len": n / n_lines, "dup_lines": 1 - F.size(F.array_distinct("_l")) / n_lines,
         "distinct_words": F.size(F.array_distinct("_w")) / n_words,
     }
-    return d.select(*docs.columns, *[values[f].cast("double").alias(f"f_{f}") for f in FEATURES])
+    out = d.select(*docs.columns, *[values[f].cast("double").alias(f"f_{f}") for f in FEATURES])
+    # Through a generator of one row: a filter on the score would else be pushed below, with the statistics written out in each of hundreds of rules.
+    return out.select(*docs.columns, F.inline(F.array(F.struct(*[f"f_{f}" for f in FEATURES]))))
 
 
 def _gini_split(x: np.ndarray, y: np.ndarray, cols: np.ndarray, least: int) -> tuple | None:
@@ -76,9 +78,13 @@ def fit_rules(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 3, pen
     rules = list(rules)
     if not rules:
         return [], np.zeros(0), float(np.log(y.mean() / (1 - y.mean())))
-    z = np.stack([_holds(r, x) for r in rules], axis=1).astype(float)
+    z = np.empty((len(y), len(rules)))
+    for k, r in enumerate(rules):
+        z[:, k] = _holds(r, x)
     w, b = np.zeros(z.shape[1]), float(np.log(y.mean() / (1 - y.mean())))
-    rate = 4 * len(y) / (np.linalg.norm(np.hstack([z, np.ones((len(y), 1))]), 2) ** 2)
+    ones = z.sum(axis=0)
+    products = np.block([[z.T @ z, ones[:, None]], [ones, np.full(1, len(y))]])  # small, where a norm of z and a column of ones copies all of z
+    rate = 4 * len(y) / np.linalg.eigvalsh(products)[-1]
     for _ in range(steps):
         g = 1 / (1 + np.exp(-(z @ w + b))) - y
         b -= rate * g.mean()

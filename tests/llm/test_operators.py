@@ -557,6 +557,29 @@ def test_quality_keeps_columns(spark):
     assert corpus_quality.select("kept", "_w", "f_n_chars").collect()[0] == (0.25, 3, "q")
 
 
+def test_quality_fit_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 10))
+    y = (x[:, 0] + x[:, 1] * x[:, 2] + rng.normal(size=3000) > 0).astype(float)
+    tracemalloc.start()
+    rules, _, _ = quality.fit_rules(x, y, steps=1, penalty=0.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(rules) > 200 and peak < 1.7 * 8 * len(y) * len(rules)  # one matrix of rows by rules, no copy
+
+
+def test_quality_filter_repeats_no_statistics(spark):
+    docs = spark.createDataFrame([(i, f"{'A' * (i % 7)} b {i}") for i in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 7 > 3)) for i in range(200)], "doc_id long, quality int")
+    every = quality.scored(docs, labels)
+    kept = every.where("quality_score >= 0.5").drop("quality_score")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1 and plan.count("f_upper") >= 1
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in every.collect() if r.quality_score >= 0.5}
+
+
 def test_quality_repeated_rows(spark):
     """Rows of a labelled id that repeat count once, however many there are; very long texts are scored whole."""
     rows = [(i, "plain good words stand here" if i % 2 else "!!! ### $$$") for i in range(60)] + [(70, "long words " * 200_000), (71, None)]
