@@ -27,6 +27,7 @@ PART = 1 << 18
 BITS = 21
 MANY = 32
 FEW = 16
+SLICE = 2 << 20
 NONE = np.int64(-1)
 
 
@@ -50,10 +51,10 @@ def token_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return out, bounds
 
 
-def streams(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def streams(column: pa.Array, limit: int = tokens.BATCH_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """First row, token hashes and offsets of slices of a few megabytes of text."""
     data, offsets = tokens.raw(column)
-    for i, j in tokens.slices(offsets):
+    for i, j in tokens.slices(offsets, limit):
         yield i, *token_hashes(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
 
 
@@ -221,9 +222,9 @@ def planes(x: np.ndarray, kind: str) -> bytes:
     return x.astype(kind).view(np.uint8).reshape(-1, np.dtype(kind).itemsize).T.tobytes()
 
 
-def unplaned(b: bytes, kind: str) -> np.ndarray:
+def unplaned(b: bytes, kind: str, to: str = "<i8") -> np.ndarray:
     width = np.dtype(kind).itemsize
-    return np.frombuffer(b, np.uint8).reshape(width, -1).T.copy().view(kind).ravel().astype(np.int64)
+    return np.frombuffer(b, np.uint8).reshape(width, -1).T.copy().view(kind).ravel().astype(to, copy=False)
 
 
 def trigram_runs(docs: DataFrame, held) -> DataFrame:
@@ -262,7 +263,7 @@ def trigram_runs(docs: DataFrame, held) -> DataFrame:
 
 def starts_of(x: np.ndarray) -> np.ndarray:
     """First places of the stretches of equal values, and the end."""
-    return np.concatenate([[0], np.flatnonzero(np.diff(x)) + 1, [len(x)]]) if len(x) else np.zeros(1, np.int64)
+    return np.concatenate([[0], np.flatnonzero(x[1:] != x[:-1]) + 1, [len(x)]]) if len(x) else np.zeros(1, np.int64)
 
 
 def kinds(c: np.ndarray) -> np.ndarray:
@@ -279,7 +280,7 @@ def pair_arrays(v: np.ndarray, w: np.ndarray, c: np.ndarray) -> dict[str, np.nda
 
 def trigram_arrays(u: np.ndarray, v: np.ndarray, w: np.ndarray, c: np.ndarray) -> dict[str, np.ndarray]:
     """Sorted (v, u, w) with counts; of contexts with over MANY followers their sums too."""
-    pair = starts_of(v * (u.max(initial=0) + 1) + u) if len(u) and int(v.max()) * (int(u.max()) + 1) < 1 << 62 else np.unique(np.concatenate([starts_of(u), starts_of(v)]))
+    pair = np.concatenate([[0], np.flatnonzero((u[1:] != u[:-1]) | (v[1:] != v[:-1])) + 1, [len(u)]]) if len(u) else np.zeros(1, np.int64)
     at = starts_of(v[pair[:-1]])
     big = np.flatnonzero(np.diff(pair) > MANY)
     sums = {}
@@ -287,7 +288,23 @@ def trigram_arrays(u: np.ndarray, v: np.ndarray, w: np.ndarray, c: np.ndarray) -
         inside = np.repeat(pair[big] - np.concatenate([[0], np.cumsum(np.diff(pair)[big])[:-1]]), np.diff(pair)[big]) + np.arange(np.diff(pair)[big].sum())
         first = np.cumsum(np.diff(pair)[big]) - np.diff(pair)[big]
         sums = {k: np.add.reduceat(x.astype(np.int64), first) for k, x in zip(("total", "k1", "k2", "k3"), (c[inside], c[inside] == 1, c[inside] == 2, c[inside] > 2), strict=True)}
-    return {"v": v[pair[:-1]][at[:-1]], "v_at": small(at), "u": small(u[pair[:-1]]), "u_at": small(pair), "w": small(w), "big": small(big)} | {k: small(x) for k, x in sums.items()} | counts_of(c)
+    return {"v": v[pair[:-1]][at[:-1]].astype(np.int64), "v_at": small(at), "u": small(u[pair[:-1]]), "u_at": small(pair), "w": small(w), "big": small(big)} | {k: small(x) for k, x in sums.items()} | counts_of(c)
+
+
+def merged(rows: pd.DataFrame, width: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """u, v, w, c of a bucket's runs as one run in the order of (v, u, w). Ids stay of the width in which they came: a bucket of a frequent word has
+    several times SHARD entries, and all of them are in memory here."""
+    u, w = (np.concatenate([unplaned(b, width, width) for b in rows[k]]) for k in ("u", "w"))
+    v = np.concatenate([np.cumsum(unplaned(b, width, width), dtype=width) for b in rows["v"]])  # steps below zero wrap round and back
+    order = np.lexsort((w, u, v))
+    if len(order) < 1 << 32:
+        order = order.astype(np.uint32)
+    u, v, w = u[order], v[order], w[order]
+    c = np.concatenate([unplaned(b, "<u4", "<u4") for b in rows["c"]])[order]
+    del order
+    other = (u[1:] != u[:-1]) | (v[1:] != v[:-1]) | (w[1:] != w[:-1])
+    first = np.flatnonzero(np.concatenate([[True], other]))
+    return u[first], v[first], w[first], np.add.reduceat(c, first, dtype=np.int64)
 
 
 STATS = "bucket long, path string, pairs string, k array<long>, kp array<long>, v binary, w binary, c binary, n_bucket long, n_w binary, n_c binary"
@@ -301,23 +318,17 @@ def store_trigrams(runs_of: DataFrame, held, folder: str) -> DataFrame:
     """
     def merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         words = held.value
-        width = "<u4" if words.size < 1 << 32 else "<u8"
-        u, w, c = (np.concatenate([unplaned(b, t) for b in rows[k]]) for k, t in (("u", width), ("w", width), ("c", "<u4")))
-        v = np.concatenate([np.cumsum(unplaned(b, width)) for b in rows["v"]])
-        order = np.lexsort((w, u, v))
-        u, v, w, c = u[order], v[order], w[order], c[order]
-        same = (np.diff(u) == 0) & (np.diff(v) == 0) & (np.diff(w) == 0)
-        first = np.flatnonzero(np.concatenate([[True], ~same]))
-        c, u, v, w = np.add.reduceat(c, first), u[first], v[first], w[first]
+        u, v, w, c = merged(rows, "<u4" if words.size < 1 << 32 else "<u8")
         start = 0  # the least hash
         path, ones = save(folder, trigram_arrays(*(x[v != start] for x in (u, v, w, c)))), kinds(c[v != start])
+        del u  # stored
         # Continuations: different words before (v, w); after START the counts themselves, as nothing stands before it.
         order = np.lexsort((w, v))
         v, w, c = v[order], w[order], c[order]
-        first = np.concatenate([[0], np.flatnonzero((np.diff(v) != 0) | (np.diff(w) != 0)) + 1])
+        first = np.concatenate([[0], np.flatnonzero((v[1:] != v[:-1]) | (w[1:] != w[:-1])) + 1])
         n = np.diff(np.append(first, len(v)))
         n = np.where(v[first] == start, np.add.reduceat(c, first), n)
-        v, w = v[first], w[first]
+        v, w = v[first].astype(np.int64), w[first].astype(np.int64)
         split = words.spread(v)[1] > 0
         whole = pair_arrays(v[~split], w[~split], n[~split])
         got = [(int(key[0]), path, save(folder, whole), ones.tolist(), kinds(n[~split]).tolist(), planes(v[split], "<u8"), planes(w[split], "<u8"), planes(n[split], "<u8"), None, None, None)]
@@ -519,7 +530,7 @@ def scored(docs: DataFrame, training: DataFrame) -> DataFrame:
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, scorer = held.value, Scorer(held.value)
         for batch in batches:
-            for i, h, bounds in streams(batch.column(1)):
+            for i, h, bounds in streams(batch.column(1), SLICE):  # what a worker holds while it scores grows with the tokens of a slice
                 known, u, v, w = trigrams(h, bounds)
                 ids = m["words"].ids(known)
                 count = np.zeros(len(known), dtype=np.int64)

@@ -452,6 +452,28 @@ print("same")
     assert "same" in out.stdout, out.stderr[-2000:]
 
 
+def test_kneser_ney_merge_memory():
+    import tracemalloc
+
+    import pandas as pd
+
+    rng, rows, want, n = np.random.default_rng(4), [], Counter(), 0
+    for _ in range(4):
+        at = rng.integers(0, 60, (50_000, 3)) + (1 << 31)  # v, u, w
+        at, c = np.unique(at, axis=0, return_counts=True)
+        want.update(dict(zip(map(tuple, at.tolist()), c.tolist(), strict=True)))
+        n += len(at)
+        rows.append([kneser_ney.planes(x, "<u4") for x in (at[:, 1], np.diff(at[:, 0], prepend=0), at[:, 2], c)])
+    rows = pd.DataFrame(rows, columns=["u", "v", "w", "c"])
+    tracemalloc.start()
+    u, v, w, c = kneser_ney.merged(rows, "<u4")
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert list(zip(v.tolist(), u.tolist(), w.tolist(), strict=True)) == sorted(want)
+    assert dict(zip(zip(v.tolist(), u.tolist(), w.tolist(), strict=True), c.tolist(), strict=True)) == want
+    assert c.dtype == np.int64 and peak < 56 * n  # three ids and a count of eight bytes each, twice, were 64 and more
+
+
 def test_kneser_ney_search(tmp_path):
     from tenement.llm import kneser_ney as K
 
