@@ -112,7 +112,8 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = 20000) -> tuple[list,
     some = labels.where("quality is not null and doc_id is not null").where(fold(F.col("doc_id"), 3) != 1).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     some = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     rows = statistics(docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")).withColumn("text", F.xxhash64(F.coalesce("text", F.lit("")))).distinct()
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(bound).toPandas().sort_values(["doc_id", "text"], kind="stable")
+    # As Arrow columns: rows as Python objects take many times as much of the driver's memory.
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(bound).toArrow().to_pandas().sort_values(["doc_id", "text"], kind="stable")
     return fit_rules(rows[[f"f_{f}" for f in FEATURES]].to_numpy(float), rows["quality"].to_numpy(float))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .common import cut, table, workers
 
 BLOCK = 65536
+PER_TASK = 1 << 18  # links that one task reads at least
 
 
 def majority(h: np.ndarray) -> int:
@@ -77,23 +78,35 @@ def anchor_links(points: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(u, root) for every linked node, by alternating large-star and small-star steps; each round is cut in the shared folder."""
+    """(u, root) for every linked node, by alternating large-star and small-star steps; each round is cut in the shared folder.
+
+    A round has two shuffles, by the node of the large and of the small star: the links of a node lie together, so its least neighbour, the join with it and
+    the removal of repeats need no further one, and a link in gives at most one link out. The driver keeps a record of every task, so few rows are
+    read by few tasks, and tables that differ little in size are merged, as a broadcast collects one of them in the driver.
+    """
     edges = cut(links)
-    seen = None
+    seen = _told(edges)
     for _ in range(max_rounds):
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        few = edges.coalesce(max(1, -(-seen[0] // PER_TASK)))  # no more partitions than there are
+        both = few.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.*").repartition("u")
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
+        large = both.join(low.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").repartition("u").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").union(low.select("u", F.col("m").alias("v"))).distinct()
-        edges = cut(small)
-        now = tuple(edges.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))")).first())
+        # One of a node's links goes to its least neighbour: that one ties the node, the others tie its other neighbours.
+        edges = cut(large.join(low.hint("merge"), "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")))
+        now = _told(edges.coalesce(max(1, -(-seen[0] // PER_TASK))))
         if now == seen:
             return edges.select("u", F.col("v").alias("root"))
         seen = now
     raise RuntimeError("components did not settle")
 
 
+def _told(edges: DataFrame) -> tuple:
+    """The number of links and two sums of their hashes, which tell one set from another, also where links repeat."""
+    h = F.xxhash64("u", "v")
+    return tuple(edges.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))"), F.sum(F.pmod(h, F.lit(1 << 31)))).first())
+
+
 def near_duplicates(docs: DataFrame, k: int = 3) -> DataFrame:
     """doc_id, fp, component_id (smallest doc_id reachable) for every row of documents.
 

@@ -124,6 +124,22 @@ def test_anchors_link_every_pair(spark):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def test_components_few_tasks(spark):
+    sc, chain = spark.sparkContext, spark.range(8, numPartitions=64).select((F.col("id") + 1).alias("u"), F.col("id").alias("v"))
+    repeated = chain.union(spark.createDataFrame([(30, 20), (30, 20), (31, 20), (31, 30), (50, 41), (50, 42), (50, 43)], "u long, v long"))
+    sc.setJobGroup(group := "components-few-tasks", "")
+    try:
+        found = simhash.components(repeated)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    told = sc.statusTracker()
+    stages = {s for j in told.getJobIdsForGroup(group) for s in told.getJobInfo(j).stageIds}
+    done = sum(i.numCompletedTasks for i in map(told.getStageInfo, stages) if i)
+    assert 64 < done < 4 * 64  # the links are written and counted once in as many parts as they come, and then read by few tasks
+    rows = sorted(map(tuple, found.collect()))
+    assert rows == [*((i, 0) for i in range(1, 9)), (30, 20), (31, 20), (42, 41), (43, 41), (50, 41)]
+
+
 def test_pipeline_near_dedup(spark):
     import corpus_pipeline
 
@@ -592,6 +608,23 @@ def test_quality_fit_memory():
     assert len(rules) > 200 and peak < 1.7 * 8 * len(y) * len(rules)  # one matrix of rows by rules, no copy
 
 
+def test_quality_train_memory(spark, monkeypatch):
+    import tracemalloc
+
+    docs = spark.range(30000).select(F.col("id").alias("doc_id"), F.concat(F.lit("some words "), F.col("id")).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    sizes = []
+    monkeypatch.setattr(quality, "fit_rules", lambda x, y: sizes.append((x.shape, y.shape)) or ([], np.zeros(0), 0.0))
+    quality.train(docs.limit(10), labels)
+    tracemalloc.start()
+    quality.train(docs, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    (n, columns), _ = sizes[-1]
+    assert 15000 < n <= 20000 and columns == len(quality.FEATURES)
+    assert peak < 8e6  # two copies of the numbers take 4 MB; rows of Python objects several times that
+
+
 def test_quality_filter_repeats_no_statistics(spark):
     docs = spark.createDataFrame([(i, f"{'A' * (i % 7)} b {i}") for i in range(200)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i % 7 > 3)) for i in range(200)], "doc_id long, quality int")
